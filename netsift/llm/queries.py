@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, urlgraph, warc
+from . import langid, mixing, quality, toxicity, urlgraph, warc
 from .common import table
 
 
@@ -16,12 +16,25 @@ def op3_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlgraph.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op6_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
+
+
 def op7_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix_sources(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_revisits, op3_url_trust, op7_entropy_mix)}
+def op8_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_language_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc_revisits, op3_url_trust, op6_quality_forest, op7_entropy_mix, op8_toxicity_nnpu, op9_language_cnn)}
 
 ORACLE_SQL = {
     "op1_warc_revisits": """
