@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, mixing, quality, toxicity, urlgraph, warc
+from . import jaccard, langid, mixing, quality, toxicity, urlgraph, warc
 from .common import table
 
 
@@ -16,6 +16,10 @@ def op3_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlgraph.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
@@ -34,7 +38,7 @@ def op9_language_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_revisits, op3_url_trust, op6_quality_forest, op7_entropy_mix, op8_toxicity_nnpu, op9_language_cnn)}
+QUERIES = {f.__name__: f for f in (op1_warc_revisits, op3_url_trust, op5_ngram_jaccard, op6_quality_forest, op7_entropy_mix, op8_toxicity_nnpu, op9_language_cnn)}
 
 ORACLE_SQL = {
     "op1_warc_revisits": """
