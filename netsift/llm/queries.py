@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import jaccard, langid, mixing, quality, toxicity, urlgraph, warc
+from . import chunks, jaccard, langid, lblm, mixing, quality, toxicity, urlgraph, warc
 from .common import table
 
 
@@ -12,6 +13,12 @@ def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_gear_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = chunks.dedupe(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select("doc_id", F.coalesce(F.size("spans"), F.lit(0)).alias("n_spans"), F.coalesce(removed, F.lit(0)).alias("removed_bytes"), "spans", "sources", "text")
+
+
 def op3_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlgraph.filter_urls(table(spark, sf_dir, "pages"))
 
@@ -38,7 +45,11 @@ def op9_language_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_revisits, op3_url_trust, op5_ngram_jaccard, op6_quality_forest, op7_entropy_mix, op8_toxicity_nnpu, op9_language_cnn)}
+def op10_logbilinear_nce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lblm.score_texts(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc_revisits, op2_gear_chunks, op3_url_trust, op5_ngram_jaccard, op6_quality_forest, op7_entropy_mix, op8_toxicity_nnpu, op9_language_cnn, op10_logbilinear_nce)}
 
 ORACLE_SQL = {
     "op1_warc_revisits": """
