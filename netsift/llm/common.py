@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -52,6 +53,12 @@ def forget(df: DataFrame | None) -> None:
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of shuffle files that no table refers to any more; otherwise they stay until the driver collects garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -142,8 +149,9 @@ def shingles(words: Words, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
         at = np.where(inside, first + j, 0)
         step = mix((value ^ h[at]) * odd) if len(h) else value
         value = np.where(inside, step, value)
-    order = np.lexsort((value, rows))
-    value, rows = value[order], rows[order]
+    ends = np.cumsum(per_text).tolist()
+    for a, b in zip([0, *ends], ends):
+        value[a:b].sort()
     new = np.ones(len(value), bool)
     new[1:] = (value[1:] != value[:-1]) | (rows[1:] != rows[:-1])
     value, rows = value[new], rows[new]

@@ -25,14 +25,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, buckets_for, by_bucket, forget, keep, mix, shingles, slices
+from .common import Words, buckets_for, by_bucket, forget, keep, mix, release, shingles, slices
 from .components import components
 
 WIDTH = 5
 #: Similarity 3/4 in integers: 4 * common >= 3 * union.
 NUM, DEN = 3, 4
 #: Keys in a bucket, about.
-PER_BUCKET = 1_500_000
+PER_BUCKET = 2_000_000
+#: Parts of the universe in a profile.
+PARTS = 64
 
 
 def bands(largest: int) -> np.ndarray:
@@ -54,6 +56,7 @@ class Scheme:
     def __init__(self, edges: np.ndarray, k: int):
         low, high = int(edges[k]), int(edges[k + 1]) - 1
         self.seed = np.uint64(xxhash.xxh3_64_intdigest(b"band %d" % low))
+        self.salt = np.uint64(xxhash.xxh3_64_intdigest(b"cell %d" % low))
         self.apart = most_apart(high, high)
         self.least = max(1, -(-low * NUM // DEN))
         mid = (low + high) / 2
@@ -77,14 +80,14 @@ def keys(tokens: np.ndarray, rows: np.ndarray, sizes: np.ndarray, scheme: Scheme
     hashed = mix(tokens ^ scheme.seed)
     segment = (hashed >> np.uint64(33)).astype(np.int64) % m
     cell = rows * m + segment
-    order = np.argsort(cell, kind="stable")
+    order = np.argsort(cell)
     cell, value = cell[order], mix(hashed[order] * np.uint64(0x9E3779B97F4A7C15))
     first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, np.int64)
     cells = cell[first]
     total = np.add.reduceat(value, first) if len(first) else np.zeros(0, np.uint64)
     count = np.diff(np.append(first, len(cell)))
     owner = cells // m
-    salt = mix((cells % m).astype(np.uint64) ^ scheme.seed * np.uint64(3))
+    salt = mix((cells % m).astype(np.uint64) ^ scheme.salt)
     present = sizes > 0
     filled = np.bincount(owner, minlength=n)
     single = np.bincount(owner, count == 1, n).astype(np.int64)
@@ -101,7 +104,7 @@ def keys(tokens: np.ndarray, rows: np.ndarray, sizes: np.ndarray, scheme: Scheme
         low = np.flatnonzero((level == 2) & present)
         if len(low):
             missing = np.setdiff1d((low[:, None] * m + np.arange(m)).ravel(), cells)
-            out_keys.append(mix(mix((missing % m).astype(np.uint64) ^ scheme.seed * np.uint64(3))))
+            out_keys.append(mix(mix((missing % m).astype(np.uint64) ^ scheme.salt)))
             out_rows.append(missing // m)
     return np.concatenate(out_keys), np.concatenate(out_rows)
 
@@ -117,14 +120,36 @@ def _sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, and the digest of the shingle set as d1, d2."""
+    """doc_id, n_shingles, the digest of the shingle set as d1, d2, and its profile: shingles in each of PARTS parts of the universe."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            _, starts, high, low = _sets(batch.column("text"))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(starts)), pa.array(high), pa.array(low)], names=["doc_id", "n_shingles", "d1", "d2"])
+            tokens, starts, high, low = _sets(batch.column("text"))
+            n = batch.num_rows
+            cell = np.repeat(np.arange(n), np.diff(starts)) * PARTS + (tokens >> np.uint64(32)).astype(np.int64) % PARTS
+            profile = np.minimum(np.bincount(cell, minlength=n * PARTS), 255).astype(np.uint8).reshape(n, PARTS)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(np.diff(starts)), pa.array(high), pa.array(low), pa.array([p.tobytes() for p in profile], pa.binary())],
+                names=["doc_id", "n_shingles", "d1", "d2", "profile"],
+            )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(work, "doc_id long, n_shingles long, d1 long, d2 long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(work, "doc_id long, n_shingles long, d1 long, d2 long, profile binary")
+
+
+def _pack(key: np.ndarray, owner: np.ndarray, name: np.ndarray) -> bytes:
+    """Keys of one bucket, ordered by owner: 40 bits of each, and each owner's name once with its number of keys."""
+    at = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+    count = np.diff(np.append(at, len(owner))).astype(np.uint32)
+    head = np.array([len(key), len(at)], np.int64)
+    return b"".join([head.tobytes(), (key & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(), ((key >> np.uint64(32)) & np.uint64(0xFF)).astype(np.uint8).tobytes(), name[owner[at]].tobytes(), count.tobytes()])
+
+
+def _unpack(payload: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+    view = memoryview(payload.as_buffer())
+    n, m = np.frombuffer(view[:16], np.int64).tolist()
+    take = lambda kind, a, k: np.frombuffer(view[a : a + k * np.dtype(kind).itemsize], kind)
+    key = take(np.uint32, 16, n).astype(np.uint64) | take(np.uint8, 16 + 4 * n, n).astype(np.uint64) << np.uint64(32)
+    return key, np.repeat(take(np.int64, 16 + 5 * n, m), take(np.uint32, 16 + 5 * n + 8 * m, m))
 
 
 def index(docs: DataFrame, largest: int, n_buckets: int) -> DataFrame:
@@ -151,11 +176,12 @@ def index(docs: DataFrame, largest: int, n_buckets: int) -> DataFrame:
                 all_keys.append(got)
                 all_rows.append(owner)
             key, owner = np.concatenate(all_keys), np.concatenate(all_rows)
-            bucket = (key >> np.uint64(40)).astype(np.int64) % n_buckets
-            order, at = by_bucket(bucket, n_buckets)
-            key, who = key[order], high[owner[order]]
+            order = np.argsort(owner.astype(np.uint32), kind="stable")
+            key, owner = key[order], owner[order]
+            order, at = by_bucket((key >> np.uint64(44)).astype(np.int64) % n_buckets, n_buckets)
+            key, owner = key[order], owner[order]
             full = np.flatnonzero(np.diff(at))
-            payload = [key[at[b] : at[b + 1]].tobytes() + who[at[b] : at[b + 1]].tobytes() for b in full]
+            payload = [_pack(key[at[b] : at[b + 1]], owner[at[b] : at[b + 1]], high) for b in full]
             yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(payload, pa.binary())], names=["bucket", "payload"])
 
     return docs.select("text").mapInArrow(work, "bucket int, payload binary")
@@ -173,9 +199,8 @@ def _meet(tables: pa.Table) -> pa.Table:
 
     The hub is the member that shares keys with most others here; a group's number is a hash of its members.
     """
-    parts = [np.frombuffer(p.as_buffer(), np.uint64).reshape(2, -1) for p in tables.column("payload")]
-    key, who = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-    order = np.argsort(key, kind="stable")
+    key, who = (np.concatenate(c) for c in zip(*map(_unpack, tables.column("payload"))))
+    order = np.argsort(key)
     key, who = key[order], who[order]
     start = np.concatenate([[True], key[1:] != key[:-1]])
     run = np.cumsum(start) - 1
@@ -211,11 +236,21 @@ def _meet(tables: pa.Table) -> pa.Table:
 def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (x, y: first digest halves) that are similar, as a, b (doc_id of a set's first document).
 
-    sets: d1, d2, rep, n_shingles. Only documents in pairs are read again; their shingles are compared in full.
+    sets: d1, d2, rep, n_shingles, profile. Profiles that differ by more than the sets may rule a pair out. Only documents in
+    the other pairs are read again; their shingles are compared in full.
     """
-    one = sets.select(F.col("d1").alias("x"), F.col("rep").alias("a"), F.col("n_shingles").alias("na"))
-    two = sets.select(F.col("d1").alias("y"), F.col("rep").alias("b"), F.col("n_shingles").alias("nb"))
+    one = sets.select(F.col("d1").alias("x"), F.col("rep").alias("a"), F.col("n_shingles").alias("na"), F.col("profile").alias("pa"))
+    two = sets.select(F.col("d1").alias("y"), F.col("rep").alias("b"), F.col("n_shingles").alias("nb"), F.col("profile").alias("pb"))
     pairs = pairs.join(one, "x").join(two, "y").where(f"{DEN} * least(na, nb) >= {NUM} * greatest(na, nb) and a <> b")
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p, q = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, PARTS).astype(np.int64) for c in ("pa", "pb"))
+            most = (batch.column("na").to_numpy() + batch.column("nb").to_numpy()) * (DEN - NUM) // (DEN + NUM)
+            fine = pa.array(np.abs(p - q).sum(axis=1) <= most)
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(fine) for c in ("a", "b")], names=["a", "b"])
+
+    pairs = pairs.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(near, "a long, b long")
     pairs = keep(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     asked = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
 
@@ -241,6 +276,7 @@ def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
     links = keep(both.select("a", "b", "ta", "tb").mapInArrow(compare, "a long, b long"), "links")
     forget(pairs)
     forget(own)
+    release(docs.sparkSession)
     return links
 
 
@@ -272,12 +308,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     info = keep(describe(docs), "shingle-sets")
     held = info.where("n_shingles > 0 and doc_id is not null")
-    sets = keep(held.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep")), "distinct-sets")
+    sets = keep(held.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("profile").alias("profile")), "distinct-sets")
     total = sets.agg(F.sum("n_shingles"), F.max("n_shingles")).first()
     if total[0] is None:
         return info.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    packed = index(docs.where("doc_id is not null"), int(total[1]), buckets_for(0.8 * total[0], PER_BUCKET))
-    groups = keep(packed.groupBy("bucket").applyInArrow(_meet, "group long, hub long, member long"), "groups")
+    n_buckets = buckets_for(0.8 * total[0], PER_BUCKET)
+    groups = keep(index(docs.where("doc_id is not null"), int(total[1]), n_buckets).groupBy("bucket").applyInArrow(_meet, "group long, hub long, member long"), "groups")
+    release(docs.sparkSession)
     stars = groups.where("hub <> member").select(F.least("hub", "member").alias("x"), F.greatest("hub", "member").alias("y")).distinct()
     links = verify(stars, docs, sets)
     found = keep(components(links), "star-components")

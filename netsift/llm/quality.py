@@ -56,6 +56,13 @@ def _repeat_words(words: Words, width: int = 5) -> np.ndarray:
     rows = words.rows
     inside = rows[: n - width + 1] == rows[width - 1 :]
     at = np.flatnonzero(inside)
+    ordered, own = value[at].copy(), rows[at]
+    ends = np.searchsorted(own, np.arange(len(words.starts))).tolist()
+    for a, b in zip(ends, ends[1:]):
+        ordered[a:b].sort()
+    some = np.zeros(len(words.starts) - 1, bool)
+    some[own[1:][(ordered[1:] == ordered[:-1]) & (own[1:] == own[:-1])]] = True
+    at = at[some[own]]
     order = at[np.lexsort((value[at], rows[at]))]
     same = (value[order][1:] == value[order][:-1]) & (rows[order][1:] == rows[order][:-1])
     twice = np.zeros(len(order), bool)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunks, jaccard, langid, lblm, mixing, quality, toxicity, urlgraph, warc
+from . import chunks, decontam, jaccard, langid, lblm, mixing, quality, toxicity, urlgraph, warc
 from .common import table
 
 
@@ -23,6 +23,10 @@ def op3_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlgraph.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op4_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -49,7 +53,7 @@ def op10_logbilinear_nce(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lblm.score_texts(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_revisits, op2_gear_chunks, op3_url_trust, op5_ngram_jaccard, op6_quality_forest, op7_entropy_mix, op8_toxicity_nnpu, op9_language_cnn, op10_logbilinear_nce)}
+QUERIES = {f.__name__: f for f in (op1_warc_revisits, op2_gear_chunks, op3_url_trust, op4_latent_decontamination, op5_ngram_jaccard, op6_quality_forest, op7_entropy_mix, op8_toxicity_nnpu, op9_language_cnn, op10_logbilinear_nce)}
 
 ORACLE_SQL = {
     "op1_warc_revisits": """

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .common import Words, held_out, slices
 
 #: Bounds of the training sample: toxic and unlabelled documents, those whose doc_id has the smallest hash.
-MOST_TOXIC, MOST_UNLABELLED = 6_000, 18_000
+MOST_TOXIC, MOST_UNLABELLED = 5_000, 16_000
 SLOTS = 1 << 20
 #: A feature is learned if so many toxic training documents have it.
 LEAST_DOCS = 4
@@ -52,12 +52,12 @@ def features(texts: pa.Array, used: np.ndarray | None = None) -> tuple[np.ndarra
     return (pairs % SLOTS).astype(np.int32), np.searchsorted(pairs // SLOTS, np.arange(n + 1))
 
 
-def _sample(docs: DataFrame, ids: DataFrame) -> list[np.ndarray]:
-    """Features of the documents with these ids; there are boundedly many, so they are broadcast."""
+def _sample(docs: DataFrame, ids: DataFrame, used: np.ndarray | None = None) -> list[np.ndarray]:
+    """Features (those in used, if given) of the documents with these ids; there are boundedly many, so they are broadcast."""
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            slot, starts = features(batch.column("text"))
+            slot, starts = features(batch.column("text"), used)
             rows = pa.array([slot[a:b].tobytes() for a, b in zip(starts, starts[1:])], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), rows], names=["doc_id", "slots"])
 
@@ -90,6 +90,11 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def common(toxic: list[np.ndarray]) -> np.ndarray:
+    """Which features are learned: those of LEAST_DOCS toxic documents, of a fifth if there are few."""
+    return np.bincount(np.concatenate([np.zeros(0, np.int32), *toxic]), minlength=SLOTS) >= min(LEAST_DOCS, max(1, len(toxic) // 5))
+
+
 def fit(toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, seed: int = 11) -> tuple[np.ndarray, float]:
     """Weights of all slots and a bias that minimise prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)), logistic loss.
 
@@ -99,8 +104,7 @@ def fit(toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, see
     weight = np.zeros(SLOTS, np.float32)
     if not toxic or not unlabelled:
         return weight, -5.0
-    seen = np.bincount(np.concatenate([np.zeros(0, np.int32), *toxic]), minlength=SLOTS)
-    used = np.flatnonzero(seen >= min(LEAST_DOCS, max(1, len(toxic) // 5)))
+    used = np.flatnonzero(common(toxic))
     place = np.full(SLOTS, -1, np.int64)
     place[used] = np.arange(len(used))
     (p_idx, p_at), (u_idx, u_at) = _csr(toxic, place), _csr(unlabelled, place)
@@ -141,7 +145,9 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held: int = HE
     prior = min(max(counts[0] / max(counts[1], 1), 0.01), 0.9)
     bad = known.where("toxic = 1").select("doc_id").distinct()
     toxic = _sample(docs, _smallest(bad, MOST_TOXIC))
-    unlabelled = _sample(docs, _smallest(docs.where(train).select("doc_id").join(bad, "doc_id", "left_anti"), MOST_UNLABELLED))
+    used = common(toxic)
+    toxic = [t[used[t]] for t in toxic]
+    unlabelled = _sample(docs, _smallest(docs.where(train).select("doc_id").join(bad, "doc_id", "left_anti"), MOST_UNLABELLED), used)
     unlabelled += toxic[: int(len(unlabelled) * prior / (1 - prior))]
     return fit(toxic, unlabelled, prior)
 
