@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, slices
+from .common import held_out, slices, smallest
 
 WINDOW, WIDTHS, FILTERS = 256, (2, 3, 4), 12
 #: Bounds of the training sample: documents (smallest hash of doc_id) and windows of each, evenly spaced.
@@ -136,7 +136,7 @@ class Network:
 def learn(docs: DataFrame, folds: int = FOLDS, held: int = HELD) -> Network | None:
     """A network from windows of training documents with a language; None if there are none."""
     train = docs.where(~held_out(F.col("doc_id"), folds, held) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    ids = train.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_DOCS)
+    ids = smallest(train.select("doc_id").where("doc_id is not null").distinct(), MOST_DOCS)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

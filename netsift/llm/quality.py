@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, keep, mix, slices
+from .common import Words, keep, mix, slices, smallest
 
 STATS = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_upper long, n_distinct long"
 SYMBOLS = b"#*$%&|<>"
@@ -175,7 +175,7 @@ def anomaly(forest: dict[str, np.ndarray], rows: np.ndarray) -> np.ndarray:
 
 def fit_forest(stats: DataFrame, most: int = TREES * TREE_ROWS) -> dict[str, np.ndarray]:
     """A forest from at most ``most`` documents with words, those whose doc_id has the smallest hash."""
-    rows = stats.where("n_words > 0").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).toPandas()
+    rows = smallest(stats.where("n_words > 0 and doc_id is not null"), most).toPandas()
     return grow(_matrix({k: rows[k].to_numpy() for k in rows.columns if k != "doc_id"}) if len(rows) else np.zeros((0, 7)))
 
 

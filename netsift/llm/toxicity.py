@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, held_out, slices
+from .common import Words, held_out, slices, smallest
 
 #: Bounds of the training sample: toxic and unlabelled documents, those whose doc_id has the smallest hash.
 MOST_TOXIC, MOST_UNLABELLED = 5_000, 16_000
@@ -67,8 +67,7 @@ def _sample(docs: DataFrame, ids: DataFrame, used: np.ndarray | None = None) ->
 
 
 def _smallest(ids: DataFrame, most: int) -> DataFrame:
-    ids = ids.where("doc_id is not null").select("doc_id").distinct()
-    return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    return smallest(ids.where("doc_id is not null").select("doc_id").distinct(), most)
 
 
 def _csr(docs: list[np.ndarray], place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
