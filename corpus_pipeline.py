@@ -4,18 +4,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from netsift.llm import mixing
+from netsift.llm import chunks, decontam, jaccard, mixing, toxicity
 from netsift.llm.common import keep, table
 
 
-def _mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "rate", "copies", "taken")
-    return mixed
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model rejects go."""
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
-STAGES = [("mixing", _mix)]
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document of the smallest doc_id stays."""
+    return jaccard.one_of_each(docs)
 
-#: Learned classifiers, the gear hash and Newton steps have no SQL.
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that stand earlier elsewhere are cut; documents of which nothing is left go."""
+    return chunks.without_repeats(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontam.without_items(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """How often each document stands in the mix, and its words there."""
+    return mixing.mix_sources(docs)
+
+
+STAGES = [
+    ("toxicity", without_toxic),
+    ("near_copies", one_of_near_copies),
+    ("substrings", without_repeats),
+    ("benchmark", without_benchmark),
+    ("mixing", mixed),
+]
+
+#: Learned classifiers, hashes and Newton steps have no SQL.
 ORACLE_SQL = None
 
 

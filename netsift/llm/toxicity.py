@@ -173,3 +173,9 @@ def classify(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held: int =
     """
     rows = score(docs, learn(docs, labels, folds, held))
     return rows.select("doc_id", held_out(F.col("doc_id"), folds, held).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """docs but for those scored 0.5 or more, with all columns."""
+    gone = classify(docs, labels).where("predicted = 1").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
