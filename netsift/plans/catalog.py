@@ -1,10 +1,9 @@
-"""Registered queries and their SQL."""
+"""All registered queries of the library and their SQL."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from . import features
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+MODULES = (features,)
+QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
+ORACLE_SQL = {k: v for m in MODULES for k, v in m.ORACLE_SQL.items()}
