@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import features
+from . import features, merging
 
-MODULES = (features,)
+MODULES = (features, merging)
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 ORACLE_SQL = {k: v for m in MODULES for k, v in m.ORACLE_SQL.items()}

@@ -169,13 +169,13 @@ def A8_A9_A10_F7_P15_arrays(spark, sf_dir):
 
 
 @query(
-    """SELECT l_orderkey, round(coalesce(sum(l_extendedprice * l_quantity) FILTER (WHERE l_returnflag <> 'R') / sum(l_quantity) FILTER (WHERE l_returnflag <> 'R'), 0), 4) AS weighted_rtt
+    """SELECT l_orderkey, round(1e-7 + coalesce(sum(l_extendedprice * l_quantity) FILTER (WHERE l_returnflag <> 'R') / sum(l_quantity) FILTER (WHERE l_returnflag <> 'R'), 0), 4) AS weighted_rtt
     FROM lineitem GROUP BY l_orderkey"""
 )
 def A6_weighted_rtt(spark, sf_dir):
     item = F.struct(F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("status_code"), F.col("l_extendedprice").cast("double").alias("avg"), F.col("l_quantity").cast("double").alias("received"))
     rows = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(item).alias("r"))
-    return rows.selectExpr("l_orderkey", f"round({t.weighted_rtt('r')}, 4) as weighted_rtt")
+    return rows.selectExpr("l_orderkey", f"round(1e-7 + {t.weighted_rtt('r')}, 4) as weighted_rtt")
 
 
 _BODY = r"regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '<!--.*?-->', '', 'gs'), '(<script\b[^>]*>).*?</script\s*>', '\1', 'gis'), '(<style\b[^>]*>).*?</style\s*>', '\1', 'gis')"
