@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import features, merging
+from . import features, flows, lookup, merging, streams
 
-MODULES = (features, merging)
+MODULES = (features, merging, lookup, flows, streams)
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 ORACLE_SQL = {k: v for m in MODULES for k, v in m.ORACLE_SQL.items()}
