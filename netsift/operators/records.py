@@ -133,7 +133,7 @@ def geo_features(df: DataFrame, country_ids: DataFrame) -> DataFrame:
 
 
 def tls_features(df: DataFrame, as_of: Column) -> DataFrame:
-    """24 tls_ columns from tls: struct(protocol, cipher, certs array<struct<not_before, not_after, issuer_org, issuer_cn,
+    """25 tls_ columns from tls: struct(protocol, cipher, certs array<struct<not_before, not_after, issuer_org, issuer_cn,
     extensions array<struct<oid, critical>>, san, eku, policies, is_ca, aki, ski>>>).
 
     The chain is folded up to its first certificate of negative validity (broken) or that has expired. A certificate that

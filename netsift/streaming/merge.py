@@ -11,8 +11,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from netsift.operators.merge import IP_COLLECTORS
@@ -102,11 +101,10 @@ class Merge(StatefulProcessor):
             self._timer(s, "ip_expiry", at + self.grace)
         return [self._row(domain, s, s["aggregate"]["complete"], at)]
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         domain, s, out = key[0], self._load(), []
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "offset"], kind="stable")
-        for r in batch.itertuples(index=False):
-            at = int(r.ts.timestamp() * 1000)
+        for r in sorted(rows, key=lambda r: (r.at, r.offset)):
+            at = r.at
             out += self._due(domain, s, at - 1)
             entry = {"status_code": int(r.status_code), "ts": at, "offset": int(r.offset), "value": r.value}
             if isinstance(r.ip, str):
@@ -129,8 +127,7 @@ class Merge(StatefulProcessor):
             else:
                 self._timer(s, "domain_expiry", (at + self.domain_life) // SECOND * SECOND)
         self._store(s)
-        if out:
-            yield pd.DataFrame(out)
+        yield from (Row(**r) for r in out)
 
     def _due(self, domain: str, s: dict, upto: int) -> list[dict]:
         """What expires up to a time, in order: rows of one batch are told apart in event time as rows of several are."""
@@ -150,12 +147,11 @@ class Merge(StatefulProcessor):
                 s["ips"], s["aggregate"], s["emitted"] = {}, None, False
         return out
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         s = self._load()
         out = self._due(key[0], s, expiredTimerInfo.getExpiryTimeInMs())
         self._store(s)
-        if out:
-            yield pd.DataFrame(out)
+        yield from (Row(**r) for r in out)
 
     def close(self) -> None:
         pass
@@ -168,9 +164,9 @@ def merge_stream(domain_results: DataFrame, ip_results: DataFrame, out_of_order:
     Each input has its own watermark and the query follows the slower one; there is no idleness setting, so an idle input
     holds results back.
     """
-    columns = ["domain", "ip", "collector", "value", "status_code", "offset", "ts"]
-    own = domain_results.withWatermark("ts", out_of_order).selectExpr("domain", "cast(null as string) as ip", "collector", "value", "status_code", "offset", "ts")
-    both = own.unionByName(ip_results.withWatermark("ts", out_of_order).select(*columns))
+    columns = ["domain", "ip", "collector", "value", "status_code", "offset", "ts", "unix_millis(ts) as at"]
+    own = domain_results.withWatermark("ts", out_of_order).selectExpr("domain", "cast(null as string) as ip", "collector", "value", "status_code", "offset", "ts", "unix_millis(ts) as at")
+    both = own.unionByName(ip_results.withWatermark("ts", out_of_order).selectExpr(*columns))
     return both.groupBy("domain").transformWithState(statefulProcessor=processor or Merge(), outputStructType=MERGED, outputMode="append", timeMode="eventTime")
 
 
