@@ -178,7 +178,7 @@ def identify(docs: DataFrame, folds: int = FOLDS, held: int = HELD) -> DataFrame
             if net is not None:
                 x, rows = windows(batch.column("text"))
                 p = net.probabilities(x) * ((x > 0).sum(axis=1) + 1e-6)[:, None]
-                total = np.stack([np.bincount(rows, p[:, j], n) for j in range(p.shape[1])], axis=1)
+                total = np.stack([np.bincount(rows, p[:, j], n) for j in range(p.shape[1])], axis=1).astype(np.float64)
                 total /= np.maximum(total.sum(axis=1, keepdims=True), 1e-12)
                 best, score = total.argmax(axis=1), total.max(axis=1)
             said = [net.languages[i] for i in best] if net is not None else ["und"] * n

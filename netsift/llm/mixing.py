@@ -110,7 +110,7 @@ def copies(rows: DataFrame, duals: DataFrame) -> DataFrame:
 
     A document keeps the whole part of its rate and one copy more if its margin, the fractional part less a hash of its
     doc_id in [0, 1), lies above its source's cut. The cut is read from a histogram of margins, so that the words taken
-    are at most the target; then single documents, the largest that fits first, fill what is left.
+    are at most the target; then single documents, the one nearest to what is left or over first, gain or lose a copy as long as that comes nearer.
     """
     d = duals.select(F.col("source").alias("_s"), "source_size", "n_docs", "target", "tilt")
     rows = rows.join(d, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
@@ -136,10 +136,12 @@ def copies(rows: DataFrame, duals: DataFrame) -> DataFrame:
     for _ in range(FILL_PASSES):
         left = taken.groupBy("source").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("left"))
         left = left.select(F.col("source").alias("_s"), "left")
-        open_ = taken.join(left, F.col("source").eqNullSafe(F.col("_s"))).where((F.col("copies") < MAX_COPIES) & (F.col("size") > 0) & (F.col("size") <= F.col("left")))
-        pick = open_.groupBy("_s").agg(F.max(F.struct("size", "doc_id")).alias("pick")).select("_s", F.col("pick.doc_id").alias("_d"))
+        room = F.when(F.col("left") > 0, F.col("copies") < MAX_COPIES).otherwise(F.col("copies") > 0)
+        miss = F.abs(F.abs("left") - F.col("size"))
+        open_ = taken.join(left, F.col("source").eqNullSafe(F.col("_s"))).where(room & (F.col("size") > 0) & (miss < F.abs("left")))
+        pick = open_.groupBy("_s").agg(F.min(F.struct(miss, "doc_id", F.signum("left").cast("int").alias("step"))).alias("pick")).select("_s", F.col("pick.doc_id").alias("_d"), F.col("pick.step").alias("_k"))
         same = F.col("source").eqNullSafe(F.col("_s")) & (F.col("doc_id") == F.col("_d"))
-        more = taken.join(pick, same, "left").withColumn("copies", F.col("copies") + F.col("_d").isNotNull().cast("int")).select(taken.columns)
+        more = taken.join(pick, same, "left").withColumn("copies", F.col("copies") + F.coalesce("_k", F.lit(0))).select(taken.columns)
         more = keep(more, "copies")
         forget(taken)
         taken = more
