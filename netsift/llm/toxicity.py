@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 from .common import Words, held_out, slices, smallest
 
 #: Bounds of the training sample: toxic and unlabelled documents, those whose doc_id has the smallest hash.
-MOST_TOXIC, MOST_UNLABELLED = 5_000, 16_000
+MOST_TOXIC, MOST_UNLABELLED = 3_000, 9_000
 SLOTS = 1 << 20
 #: A feature is learned if so many toxic training documents have it.
 LEAST_DOCS = 4
-EPOCHS, BATCH, RATE, SPARSITY = 40, 512, 0.05, 2e-4
+EPOCHS, BATCH, RATE, SPARSITY = 40, 512, 0.1, 2e-4
+LEAST_STEPS = 800
 FOLDS, HELD = 5, 0
 EDGE = " .,;:!?\"'()[]{}|*#%$&-_<>«»“”…"
 
@@ -112,7 +113,7 @@ def fit(toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, see
     rng = np.random.default_rng(seed)
     steps = max(1, len(unlabelled) // BATCH)
     n_p, n_u = min(len(toxic), max(32, BATCH // 3)), min(len(unlabelled), BATCH)
-    for _ in range(EPOCHS * steps if steps > 2 else EPOCHS * 3):
+    for _ in range(max(EPOCHS * steps, LEAST_STEPS)):
         pi, ps = _take(p_idx, p_at, rng.choice(len(toxic), n_p, replace=False))
         ui, us = _take(u_idx, u_at, rng.choice(len(unlabelled), n_u, replace=False))
         sp, su = _sigmoid(_dot(w, pi, ps) + b), _sigmoid(_dot(w, ui, us) + b)
