@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import features, flows, lookup, merging, streams
+from . import features, flows, lookup, merging, shaping, streams
 
-MODULES = (features, merging, lookup, flows, streams)
+MODULES = (features, merging, lookup, flows, shaping, streams)
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 ORACLE_SQL = {k: v for m in MODULES for k, v in m.ORACLE_SQL.items()}
