@@ -18,8 +18,8 @@ MOST_TOXIC, MOST_UNLABELLED = 3_000, 9_000
 SLOTS = 1 << 20
 #: A feature is learned if so many toxic training documents have it.
 LEAST_DOCS = 4
-EPOCHS, BATCH, RATE, SPARSITY = 40, 512, 0.1, 2e-4
-LEAST_STEPS = 800
+EPOCHS, BATCH, RATE, SPARSITY = 40, 512, 0.07, 4e-4
+LEAST_STEPS = 600
 FOLDS, HELD = 5, 0
 EDGE = " .,;:!?\"'()[]{}|*#%$&-_<>«»“”…"
 
@@ -147,8 +147,10 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held: int = HE
     toxic = _sample(docs, _smallest(bad, MOST_TOXIC))
     used = common(toxic)
     toxic = [t[used[t]] for t in toxic]
-    unlabelled = _sample(docs, _smallest(docs.where(train).select("doc_id").join(bad, "doc_id", "left_anti"), MOST_UNLABELLED), used)
-    unlabelled += toxic[: int(len(unlabelled) * prior / (1 - prior))]
+    pool = docs.where(train).select("doc_id").join(bad, "doc_id", "left_anti")
+    unlabelled = _sample(docs, _smallest(pool, MOST_UNLABELLED), used)
+    # confirmed documents at the rate that they have among all, so that the mix has the prior's share
+    unlabelled += toxic[: round(counts[0] * len(unlabelled) / max(pool.count(), 1))]
     return fit(toxic, unlabelled, prior)
 
 

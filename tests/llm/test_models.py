@@ -22,7 +22,7 @@ def test_toxic_documents_are_found(spark):
     bad = "you are a scum and a moron worthless trash idiot"
     rows = [(i, f"plain words number{i} of an honest text {i * 7 % 100} about weather " * 3 + (bad if i % 9 == 0 else "")) for i in range(900)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    labels = docs.where("doc_id % 3 = 0").select("doc_id", (F.col("doc_id") % 9 == 0).cast("int").alias("toxic"))
+    labels = docs.where("doc_id % 2 = 0").select("doc_id", (F.col("doc_id") % 9 == 0).cast("int").alias("toxic"))
     got = {r.doc_id: r.predicted for r in toxicity.classify(docs, labels).where("held_out").collect()}
     assert all(v == int(i % 9 == 0) for i, v in got.items()) and got
 
