@@ -11,12 +11,19 @@ where its segments suffice (level 0), else with deletion neighbours of all segme
 suffice, with the empty ones too (level 2). Of a pair, the set of the lower level has units over H, and the other one has
 indexed all keys that this needs; so every pair meets, whatever the data. Pairs that meet are verified exactly.
 
+A key that many sets have (a line that stands everywhere, a large family of near copies) costs most and tells least. In a
+first round it buys nothing: only keys of at most FEW owners give candidates, so their number grows with the keys. A set
+that still has units over H meets all its partners there. The others, which lost more keys than they could spare, are
+indexed again among themselves with all keys; there each group of sharers is compared with one hub first, and then only
+where verified links have not joined its members.
+
 Keys travel as packed arrays, one row for a batch and bucket, and are matched by sorting within a bucket. Sets are
 identified by digest, so that copies are one entry however many there are.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,8 +40,12 @@ WIDTH = 5
 NUM, DEN = 3, 4
 #: Keys in a bucket, about.
 PER_BUCKET = 2_000_000
-#: Parts of the universe in a profile.
-PARTS = 64
+#: Owners of a key up to which all their pairs are candidates; a key that more have buys nothing.
+FEW = 8
+#: A profile counts the shingles in so many parts of the universe that a part has 1 to 2 of them.
+PART_SHINGLES = 1
+#: Members of a group that are compared with each other at a time.
+BLOCK = 64
 
 
 def bands(largest: int) -> np.ndarray:
@@ -57,7 +68,7 @@ class Scheme:
         low, high = int(edges[k]), int(edges[k + 1]) - 1
         self.seed = np.uint64(xxhash.xxh3_64_intdigest(b"band %d" % low))
         self.salt = np.uint64(xxhash.xxh3_64_intdigest(b"cell %d" % low))
-        self.apart = most_apart(high, high)
+        self.most, self.apart = high, most_apart(high, high)
         self.least = max(1, -(-low * NUM // DEN))
         mid = (low + high) / 2
         # Level 0 needs apart + 1 segments that are not empty; of m segments hashed by mid elements m * (1 - exp(-mid / m)) are.
@@ -73,8 +84,11 @@ class Scheme:
             self.segments = -(-(self.apart + 1) // 2) if self.deletions else m
 
 
-def keys(tokens: np.ndarray, rows: np.ndarray, sizes: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the sets given by (row, token), and the row of each key. sizes: of each row, 0 for rows without tokens here."""
+def keys(tokens: np.ndarray, rows: np.ndarray, sizes: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of the sets given by (row, token), the row of each key, and for each row how many of its keys it can spare.
+
+    sizes: of each row, 0 for rows without tokens here.
+    """
     m = scheme.segments
     n = len(sizes)
     hashed = mix(tokens ^ scheme.seed)
@@ -91,9 +105,12 @@ def keys(tokens: np.ndarray, rows: np.ndarray, sizes: np.ndarray, scheme: Scheme
     present = sizes > 0
     filled = np.bincount(owner, minlength=n)
     single = np.bincount(owner, count == 1, n).astype(np.int64)
-    level = np.where(filled >= scheme.apart + 1, 0, np.where(2 * filled - single >= scheme.apart + 1, 1, 2))
+    needed = (DEN - NUM) * (sizes + np.minimum(scheme.most, sizes * DEN // NUM)) // (DEN + NUM) + 1
+    level = np.where(filled >= needed, 0, np.where(2 * filled - single >= needed, 1, 2))
     if scheme.deletions:
         level = np.maximum(level, 1)
+    units = np.where(level == 0, filled, np.where(level == 1, 2 * filled - single, 2 * m))
+    spare = (units - needed) // np.where(level == 0, 1, 2)
     out_keys, out_rows = [mix(total ^ salt)], [owner]
     if (level > 0).any():
         each = np.repeat(np.arange(len(first)), count)
@@ -106,7 +123,7 @@ def keys(tokens: np.ndarray, rows: np.ndarray, sizes: np.ndarray, scheme: Scheme
             missing = np.setdiff1d((low[:, None] * m + np.arange(m)).ravel(), cells)
             out_keys.append(mix(mix((missing % m).astype(np.uint64) ^ scheme.salt)))
             out_rows.append(missing // m)
-    return np.concatenate(out_keys), np.concatenate(out_rows)
+    return np.concatenate(out_keys), np.concatenate(out_rows), spare
 
 
 def _sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -114,42 +131,58 @@ def _sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     tokens, starts = shingles(Words(texts), WIDTH)
     raw = tokens.view(np.uint8)
     halves = [xxhash.xxh3_128_intdigest(raw[8 * a : 8 * b]) for a, b in zip(starts, starts[1:])]
-    high = np.array([h >> 64 for h in halves], np.uint64).view(np.int64)
+    high = np.array([h >> 65 << 1 for h in halves], np.uint64).view(np.int64)  # the last bit is left free for _pack
     low = np.array([h & 0xFFFFFFFFFFFFFFFF for h in halves], np.uint64).view(np.int64)
     return tokens, starts, high, low
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, the digest of the shingle set as d1, d2, and its profile: shingles in each of PARTS parts of the universe."""
+    """doc_id, n_shingles, the digest of the shingle set as d1, d2, and its profile."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             tokens, starts, high, low = _sets(batch.column("text"))
-            n = batch.num_rows
-            cell = np.repeat(np.arange(n), np.diff(starts)) * PARTS + (tokens >> np.uint64(32)).astype(np.int64) % PARTS
-            profile = np.minimum(np.bincount(cell, minlength=n * PARTS), 255).astype(np.uint8).reshape(n, PARTS)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.diff(starts)), pa.array(high), pa.array(low), pa.array([p.tobytes() for p in profile], pa.binary())],
-                names=["doc_id", "n_shingles", "d1", "d2", "profile"],
-            )
+            profiles = [profile(tokens[a:b]) for a, b in zip(starts, starts[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(starts)), pa.array(high), pa.array(low), pa.array(profiles, pa.binary())], names=["doc_id", "n_shingles", "d1", "d2", "profile"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(work, "doc_id long, n_shingles long, d1 long, d2 long, profile binary")
 
 
-def _pack(key: np.ndarray, owner: np.ndarray, name: np.ndarray) -> bytes:
-    """Keys of one bucket, ordered by owner: 40 bits of each, and each owner's name once with its number of keys."""
+def profile(tokens: np.ndarray) -> bytes:
+    """Counts of a set's shingles by their leading bits, one byte each; empty (no statement) if a count has no room."""
+    bits = max(int(len(tokens) // PART_SHINGLES).bit_length() - 1, 0)
+    counts = np.bincount((tokens >> np.uint64(63 - bits) >> np.uint64(1)).astype(np.int64), minlength=1 << bits)
+    return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else b""
+
+
+def least_apart(p: bytes, q: bytes) -> int:
+    """Elements in which the sets of two profiles differ at least; the finer profile is summed to the other's parts."""
+    if not p or not q:
+        return 0
+    p, q = np.frombuffer(p, np.uint8).astype(np.int64), np.frombuffer(q, np.uint8).astype(np.int64)
+    n = min(len(p), len(q))
+    return int(np.abs(p.reshape(n, -1).sum(axis=1) - q.reshape(n, -1).sum(axis=1)).sum())
+
+
+def _pack(key: np.ndarray, owner: np.ndarray, name: np.ndarray, spare: np.ndarray) -> bytes:
+    """Keys of one bucket, ordered by owner: 40 bits of each, and each owner's name and spare keys once, with its number of keys."""
     at = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
     count = np.diff(np.append(at, len(owner))).astype(np.uint32)
     head = np.array([len(key), len(at)], np.int64)
-    return b"".join([head.tobytes(), (key & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(), ((key >> np.uint64(32)) & np.uint64(0xFF)).astype(np.uint8).tobytes(), name[owner[at]].tobytes(), count.tobytes()])
+    low, high = (key & np.uint64(0xFFFFFFFF)).astype(np.uint32), ((key >> np.uint64(32)) & np.uint64(0xFF)).astype(np.uint8)
+    free = np.minimum(spare[owner[at]], 65535).astype(np.uint16)
+    return b"".join([head.tobytes(), low.tobytes(), high.tobytes(), name[owner[at]].tobytes(), count.tobytes(), free.tobytes()])
 
 
-def _unpack(payload: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+def _unpack(payload: pa.Scalar) -> tuple[np.ndarray, ...]:
+    """Keys, the owner of each, and the owners with what they can spare."""
     view = memoryview(payload.as_buffer())
     n, m = np.frombuffer(view[:16], np.int64).tolist()
     take = lambda kind, a, k: np.frombuffer(view[a : a + k * np.dtype(kind).itemsize], kind)
     key = take(np.uint32, 16, n).astype(np.uint64) | take(np.uint8, 16 + 4 * n, n).astype(np.uint64) << np.uint64(32)
-    return key, np.repeat(take(np.int64, 16 + 5 * n, m), take(np.uint32, 16 + 5 * n + 8 * m, m))
+    at = 16 + 5 * n
+    name, count, spare = take(np.int64, at, m), take(np.uint32, at + 8 * m, m), take(np.uint16, at + 12 * m, m)
+    return key, np.repeat(name, count), name, spare
 
 
 def index(docs: DataFrame, largest: int, n_buckets: int) -> DataFrame:
@@ -168,20 +201,24 @@ def index(docs: DataFrame, largest: int, n_buckets: int) -> DataFrame:
             band = np.searchsorted(edges, sizes, side="right") - 1
             row = np.repeat(np.arange(len(sizes)), sizes)
             all_keys, all_rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            spare = np.zeros(2 * len(sizes), np.int64)
             for k in np.unique(np.concatenate([band[once], band[once] + 1])):
                 scheme = schemes.setdefault(int(k), Scheme(bands_to(edges, k), int(k)))
                 mine = once & ((band == k) | ((band == k - 1) & (sizes >= scheme.least)))
                 held = mine[row]
-                got, owner = keys(tokens[held], row[held], np.where(mine, sizes, 0), scheme)
+                got, owner, free = keys(tokens[held], row[held], np.where(mine, sizes, 0), scheme)
+                upper = (band < k).astype(np.int64)  # a set is one owner under its own band, another one under the next
                 all_keys.append(got)
-                all_rows.append(owner)
+                all_rows.append(2 * owner + upper[owner])
+                spare[2 * np.flatnonzero(mine) + upper[mine]] = free[mine]
             key, owner = np.concatenate(all_keys), np.concatenate(all_rows)
+            name = np.stack([high, high | 1], axis=1).ravel()
             order = np.argsort(owner.astype(np.uint32), kind="stable")
             key, owner = key[order], owner[order]
             order, at = by_bucket((key >> np.uint64(44)).astype(np.int64) % n_buckets, n_buckets)
             key, owner = key[order], owner[order]
             full = np.flatnonzero(np.diff(at))
-            payload = [_pack(key[at[b] : at[b + 1]], owner[at[b] : at[b + 1]], high) for b in full]
+            payload = [_pack(key[at[b] : at[b + 1]], owner[at[b] : at[b + 1]], name, spare) for b in full]
             yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(payload, pa.binary())], names=["bucket", "payload"])
 
     return docs.select("text").mapInArrow(work, "bucket int, payload binary")
@@ -194,16 +231,12 @@ def bands_to(edges: np.ndarray, k: int) -> np.ndarray:
     return edges
 
 
-def _meet(tables: pa.Table) -> pa.Table:
-    """Groups of sets that share a key in this bucket, each group once: group, hub, member.
-
-    The hub is the member that shares keys with most others here; a group's number is a hash of its members.
-    """
-    key, who = (np.concatenate(c) for c in zip(*map(_unpack, tables.column("payload"))))
+def _runs(tables: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of owners that share a key, each owner once: number of the run, owner; and all owners with what they can spare."""
+    key, who, name, spare = (np.concatenate(c) for c in zip(*map(_unpack, tables.column("payload"))))
     order = np.argsort(key)
     key, who = key[order], who[order]
-    start = np.concatenate([[True], key[1:] != key[:-1]])
-    run = np.cumsum(start) - 1
+    run = np.cumsum(np.concatenate([[True], key[1:] != key[:-1]])) - 1
     shared = np.bincount(run)[run] > 1
     run, who = run[shared], who[shared]
     order = np.lexsort((who, run))
@@ -211,26 +244,83 @@ def _meet(tables: pa.Table) -> pa.Table:
     new = np.ones(len(run), bool)
     new[1:] = (run[1:] != run[:-1]) | (who[1:] != who[:-1])
     run, who = run[new], who[new]
-    many = np.bincount(run, minlength=1)[run] > 1 if len(run) else np.zeros(0, bool)
-    run, who = run[many], who[many]
+    many = np.bincount(run)[run] > 1 if len(run) else np.zeros(0, bool)
+    return run[many], who[many], name, spare
+
+
+def _long(x: np.ndarray) -> pa.Array:
+    return pa.array(x.astype(np.uint64).view(np.int64))
+
+
+_MET = "x long, y long, spare int"
+
+
+def _meet_few(tables: pa.Table) -> pa.Table:
+    """Pairs x, y of sets that share a key which at most FEW owners have; and with spare not null, for each owner x its
+    number y of keys that more have, and how many it can spare."""
+    run, who, name, spare = _runs(tables)
+    first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]])) if len(run) else np.zeros(0, np.int64)
+    size = np.diff(np.append(first, len(run)))
+    x, y = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for n in range(2, FEW + 1):
+        block = who[first[size == n][:, None] + np.arange(n)] & ~1
+        for i in range(n):
+            for j in range(i + 1, n):
+                x.append(np.minimum(block[:, i], block[:, j]))
+                y.append(np.maximum(block[:, i], block[:, j]))
+    pairs = np.stack([np.concatenate(x), np.concatenate(y)], axis=1)
+    pairs = pairs[pairs[:, 0] != pairs[:, 1]]
+    order = np.lexsort((pairs[:, 1], pairs[:, 0]))
+    pairs = pairs[order]
+    new = np.ones(len(pairs), bool)
+    new[1:] = (pairs[1:] != pairs[:-1]).any(axis=1)
+    pairs = pairs[new]
+    hot, count = np.unique(who[np.repeat(size > FEW, size)], return_counts=True)
+    own, at = np.unique(name, return_index=True)
+    free = spare[at][np.searchsorted(own, hot)].astype(np.int32)
+    return pa.table({"x": np.concatenate([pairs[:, 0], hot]), "y": np.concatenate([pairs[:, 1], count]), "spare": pa.array([*[None] * len(pairs), *free.tolist()], pa.int32())})
+
+
+def _meet(tables: pa.Table) -> pa.Table:
+    """Groups of sets that share keys in this bucket: group (a hash of its members), member, n (keys that it shares here).
+
+    The sharers of a key join the group that holds most of them already, if that is half of them at least, the largest
+    first: a family of near copies, whose keys all have somewhat different sharers, is one group or few.
+    """
+    run, who, _, _ = _runs(tables)
+    who = who & ~1
     if not len(run):
-        return pa.table({"group": pa.array([], pa.int64()), "hub": pa.array([], pa.int64()), "member": pa.array([], pa.int64())})
+        return pa.table({c: pa.array([], pa.int64()) for c in ("group", "member", "n")})
     first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
     size = np.diff(np.append(first, len(run)))
-    name = mix(np.add.reduceat(mix(who), first) ^ size.astype(np.uint64))
-    _, keep_ = np.unique(name, return_index=True)
-    chosen = np.zeros(len(first), bool)
-    chosen[keep_] = True
-    held = np.repeat(chosen, size)
-    who, group, size = who[held], np.repeat(name[chosen], size[chosen]), size[chosen]
-    ids, inverse = np.unique(who, return_inverse=True)
-    degree = np.bincount(inverse, np.repeat(size, size))[inverse]
-    first = np.cumsum(size) - size
-    at = np.repeat(np.arange(len(size)), size)
-    best = np.lexsort((who, -degree, at))[first]
-    hub = np.repeat(who[best], size)
-    as_long = lambda x: pa.array(x.astype(np.uint64).view(np.int64))
-    return pa.table({"group": as_long(group), "hub": as_long(hub), "member": as_long(who)})
+    ids, shared = np.unique(who, return_counts=True)
+    name = mix(np.add.reduceat(mix(who.view(np.uint64)), first) ^ size.astype(np.uint64))
+    _, once = np.unique(name, return_index=True)
+    groups: list[set[int]] = []
+    home: dict[int, int] = {}
+    for i in once[np.argsort(-size[once], kind="stable")]:
+        members = who[first[i] : first[i] + size[i]].tolist()
+        known = Counter(home[m] for m in members if m in home)
+        at, n = known.most_common(1)[0] if known else (0, 0)
+        if 2 * n < len(members):
+            at = len(groups)
+            groups.append(set())
+        groups[at].update(members)
+        for m in members:
+            home[m] = at
+    own = [np.array(sorted(g), np.int64) for g in groups]
+    sizes = [len(g) for g in own]
+    members = np.concatenate(own)
+    tag = mix(np.add.reduceat(mix(members.view(np.uint64)), np.cumsum([0, *sizes[:-1]])))
+    return pa.table({"group": _long(np.repeat(tag, sizes)), "member": members, "n": shared[np.searchsorted(ids, members)].astype(np.int64)})
+
+
+def _stars(groups: DataFrame) -> DataFrame:
+    """x, y: each member of a group with the group's hub, the member that shares most keys: what others are copies of."""
+    degree = groups.groupBy("member").agg(F.sum("n").alias("degree"))
+    hub = groups.join(degree, "member").groupBy("group").agg(F.max_by("member", F.struct("degree", "member")).alias("hub"))
+    rows = groups.join(hub, "group").where("hub <> member")
+    return rows.select(F.least("hub", "member").alias("x"), F.greatest("hub", "member").alias("y"))
 
 
 def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -245,9 +335,9 @@ def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p, q = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, PARTS).astype(np.int64) for c in ("pa", "pb"))
-            most = (batch.column("na").to_numpy() + batch.column("nb").to_numpy()) * (DEN - NUM) // (DEN + NUM)
-            fine = pa.array(np.abs(p - q).sum(axis=1) <= most)
+            sizes = (batch.column("na").to_numpy() + batch.column("nb").to_numpy()).tolist()
+            both = zip(batch.column("pa").to_pylist(), batch.column("pb").to_pylist(), sizes)
+            fine = pa.array([least_apart(p, q) <= most_apart(n, 0) for p, q, n in both], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(fine) for c in ("a", "b")], names=["a", "b"])
 
     pairs = pairs.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(near, "a long, b long")
@@ -280,21 +370,49 @@ def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
     return links
 
 
+def _folded(profiles: list[bytes]) -> np.ndarray | None:
+    """Profiles as rows of one width, the finer ones summed to the coarsest; None if one makes no statement."""
+    if not all(profiles):
+        return None
+    n = min(map(len, profiles))
+    return np.stack([np.frombuffer(p, np.uint8).reshape(n, -1).sum(axis=1, dtype=np.int16) for p in profiles])
+
+
+def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of two blocks of members the pairs that sizes and profiles don't rule out and that aren't known to be connected."""
+    for batch in batches:
+        out = []
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+            ma, mb, pa_, pb = (np.array([m[k] for m in block], np.int64) for k in ("member", "part") for block in (a, b))
+            na, nb = (np.array([m["n_shingles"] for m in block], np.int64) for block in (a, b))
+            fine = (pa_[:, None] != pb) & (DEN * np.minimum(na[:, None], nb) >= NUM * np.maximum(na[:, None], nb))
+            rows = _folded([m["profile"] for m in [*a, *b]]) if fine.any() else None
+            if rows is not None:
+                p, q = rows[: len(a)], rows[len(a) :]
+                apart = np.stack([np.abs(q - x).sum(axis=1) for x in p])
+                fine &= apart <= (DEN - NUM) * (na[:, None] + nb) // (DEN + NUM)
+            i, j = np.nonzero(fine)
+            out.append(np.stack([np.minimum(ma[i], mb[j]), np.maximum(ma[i], mb[j])]))
+        pairs = np.unique(np.concatenate(out, axis=1), axis=1) if out else np.zeros((2, 0), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["x", "y"])
+
+
 def _across(groups: DataFrame, labels: DataFrame) -> DataFrame:
-    """x, y: all pairs of a group whose members are not known to be connected. labels: member, part.
+    """x, y: pairs of a group whose members are not known to be connected. labels: member, part, n_shingles, profile.
 
-    In each group the largest part is told from the rest: pairs are rest with largest, and rest with rest of another part,
-    so that a group that is one part but for a few members gives few pairs.
+    In each group the largest part is told from the rest: rest is compared with all, block by block, so that a group that
+    is one part but for a few members costs little. A block is a share of the group by hash of the member.
     """
-    rows = groups.select("group", "member").distinct().join(labels, "member", "left").withColumn("part", F.coalesce("part", "member"))
+    rows = groups.select("group", "member").distinct().join(labels, "member")
     counts = rows.groupBy("group", "part").agg(F.count("*").alias("n"))
-    top = counts.groupBy("group").agg(F.max(F.struct("n", "part")).alias("top"), F.count("*").alias("parts")).where("parts > 1").select("group", F.col("top.part").alias("top"))
-    rows = keep(rows.join(top, "group"), "open-groups")
-    rest = rows.where("part <> top").select("group", F.col("member").alias("x"), F.col("part").alias("px"))
-    main = rows.where("part = top").select("group", F.col("member").alias("y"))
-    other = rest.select("group", F.col("x").alias("y"), F.col("px").alias("py"))
-    mixed = rest.join(other, "group").where("x < y and px <> py").select("x", "y")
-    return rest.join(main, "group").select("x", "y").unionByName(mixed).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    top = counts.groupBy("group").agg(F.max(F.struct("n", "part"))["part"].alias("top"), F.sum("n").alias("size"), F.count("*").alias("parts")).where("parts > 1")
+    block = F.pmod(F.xxhash64("member"), F.ceil(F.col("size") / BLOCK))
+    rows = rows.join(top, "group").select("group", (F.col("part") != F.col("top")).alias("rest"), block.alias("block"), F.struct("member", "part", "n_shingles", "profile").alias("m"))
+    blocks = keep(rows.groupBy("group", "rest", "block").agg(F.collect_list("m").alias("ms")), "blocks")
+    one = blocks.where("rest").select("group", F.col("block").alias("i"), F.col("ms").alias("a"))
+    two = blocks.select("group", "rest", F.col("block").alias("j"), F.col("ms").alias("b"))
+    met = one.join(two, "group").where("not rest or i <= j").select("a", "b")
+    return keep(met.mapInArrow(_compare_blocks, "x long, y long").distinct(), "cross")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -313,13 +431,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if total[0] is None:
         return info.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     n_buckets = buckets_for(0.8 * total[0], PER_BUCKET)
-    groups = keep(index(docs.where("doc_id is not null"), int(total[1]), n_buckets).groupBy("bucket").applyInArrow(_meet, "group long, hub long, member long"), "groups")
+    named = docs.where("doc_id is not null")
+    met = keep(index(named, int(total[1]), n_buckets).groupBy("bucket").applyInArrow(_meet_few, _MET), "met")
+    release(docs.sparkSession)
+    lost = met.where("spare is not null").groupBy("x").agg(F.sum("y").alias("hot"), F.min("spare").alias("spare"))
+    tight = lost.where("hot > spare").select(F.col("x").bitwiseAND(F.lit(-2)).alias("d1")).distinct()
+    again = keep(sets.join(tight, "d1", "left_semi").select(F.col("rep").alias("doc_id")), "tight")
+    rest = named.withColumn("doc_id", F.col("doc_id").cast("long")).join(again, "doc_id", "left_semi")
+    few = sets.join(tight, "d1", "left_semi").agg(F.sum("n_shingles")).first()[0] or 0
+    groups = keep(index(rest, int(total[1]), buckets_for(0.8 * few, PER_BUCKET, 12)).groupBy("bucket").applyInArrow(_meet, "group long, member long, n long"), "groups")
     release(docs.sparkSession)
-    stars = groups.where("hub <> member").select(F.least("hub", "member").alias("x"), F.greatest("hub", "member").alias("y")).distinct()
+    stars = _stars(groups).unionByName(met.where("spare is null").select("x", "y")).distinct()
     links = verify(stars, docs, sets)
     found = keep(components(links), "star-components")
-    part = sets.join(found, F.col("rep") == F.col("node"), "left").groupBy("d1").agg(F.min(F.coalesce("component", "rep")).alias("part"))
-    more = verify(_across(groups.select("group", "member"), part.withColumnRenamed("d1", "member")), docs, sets)
+    part = sets.join(tight, "d1", "left_semi").join(found, F.col("rep") == F.col("node"), "left")
+    part = part.groupBy(F.col("d1").alias("member")).agg(F.min(F.coalesce("component", "rep")).alias("part"), F.max("n_shingles").alias("n_shingles"), F.first("profile").alias("profile"))
+    more = verify(_across(groups, part), docs, sets)
     final = found
     if not more.isEmpty():
         joined = found.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
