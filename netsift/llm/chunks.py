@@ -106,6 +106,12 @@ def _send(n_buckets: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             ids, marks = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_id", "_h"))
+            order = np.lexsort((marks, ids))
+            once = np.ones(len(order), bool)  # rows that repeat both are one document, whose chunks don't repeat each other
+            once[1:] = (ids[order[1:]] != ids[order[:-1]]) | (marks[order[1:]] != marks[order[:-1]])
+            if not once.all():
+                own = np.sort(order[once])
+                batch, ids, marks = batch.take(pa.array(own)), ids[own], marks[own]
             text, start, end, halves = chunk(batch.column("text"))
             rank = np.empty(len(ids), np.int64)
             rank[np.lexsort((marks, ids))] = np.arange(len(ids))

@@ -136,6 +136,19 @@ def test_repeated_passages_are_cut_and_others_stay(spark):
     assert all(set(words(got[i].text)) >= set(words(clean[i])[:100]) for i in range(6))
 
 
+@pytest.mark.parametrize("parts", [1, 4])
+def test_repeated_rows_keep_their_text(spark, parts):
+    rng = random.Random(3)
+    text = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+    passage, nameless = text(70), text(90)
+    once = [(1, text(120)), (2, f"{passage} {text(50)} {passage} {text(50)}"), (3, f"{text(50)} {passage}"), (None, nameless), (None, text(100))]
+    run = lambda rows: chunks.dedupe(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)).collect()
+    wanted = sorted((str(r.doc_id), r.text) for r in run(once))
+    assert ("1", once[0][1]) in wanted and ("None", nameless) in wanted
+    assert sorted({(str(r.doc_id), r.text) for r in run(once * 3)}) == wanted
+    assert sum(r.text == nameless for r in run(once * 3)) == 3
+
+
 def test_cuts_resist_insertions():
     rng = random.Random(2)
     text = " ".join("".join(rng.choice("abcdefghij é") for _ in range(6)) for _ in range(4000))
