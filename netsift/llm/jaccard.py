@@ -13,9 +13,12 @@ indexed all keys that this needs; so every pair meets, whatever the data. Pairs
 
 A key that many sets have (a line that stands everywhere, a large family of near copies) costs most and tells least. In a
 first round it buys nothing: only keys of at most FEW owners give candidates, so their number grows with the keys. A set
-that still has units over H meets all its partners there. The others, which lost more keys than they could spare, are
-indexed again among themselves with all keys; there each group of sharers is compared with one hub first, and then only
-where verified links have not joined its members.
+that still has units over H meets all its partners of its level or a higher one there. The others, which lost more keys
+than they could spare, are indexed again among themselves with all keys; there each group of sharers is compared with one
+hub first, and then only where verified links have not joined its members. What a set can spare says nothing on partners of
+a lower level, since these index fewer keys; so where there may be such, one lost key suffices to be indexed again, but for
+the keys of empty segments, which a lower level hasn't: a pair of unequal levels shares a key that the lower one indexes,
+and if the first round met no such key, it was lost to both.
 
 Keys travel as packed arrays, one row for a batch and bucket, and are matched by sorting within a bucket. Sets are
 identified by digest, so that copies are one entry however many there are.
@@ -46,6 +49,8 @@ FEW = 8
 PART_SHINGLES = 1
 #: Members of a group that are compared with each other at a time.
 BLOCK = 64
+#: The bit of a key that tells keys of empty segments, and the bit in spare keys that tells sets that may have partners of a lower level.
+_EMPTY, _STRICT = np.uint64(1), 1 << 15
 
 
 def bands(largest: int) -> np.ndarray:
@@ -84,10 +89,11 @@ class Scheme:
             self.segments = -(-(self.apart + 1) // 2) if self.deletions else m
 
 
-def keys(tokens: np.ndarray, rows: np.ndarray, sizes: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of the sets given by (row, token), the row of each key, and for each row how many of its keys it can spare.
+def keys(tokens: np.ndarray, rows: np.ndarray, sizes: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of the sets given by (row, token), the row of each key, and for each row how many of its keys it can spare,
+    and whether partners may be of a lower level.
 
-    sizes: of each row, 0 for rows without tokens here.
+    sizes: of each row, 0 for rows without tokens here. The last bit of a key tells those of empty segments.
     """
     m = scheme.segments
     n = len(sizes)
@@ -111,19 +117,19 @@ def keys(tokens: np.ndarray, rows: np.ndarray, sizes: np.ndarray, scheme: Scheme
         level = np.maximum(level, 1)
     units = np.where(level == 0, filled, np.where(level == 1, 2 * filled - single, 2 * m))
     spare = (units - needed) // np.where(level == 0, 1, 2)
-    out_keys, out_rows = [mix(total ^ salt)], [owner]
+    out_keys, out_rows = [mix(total ^ salt) & ~_EMPTY], [owner]
     if (level > 0).any():
         each = np.repeat(np.arange(len(first)), count)
         chosen = (level[owner[each]] == 2) | ((level[owner[each]] == 1) & (count[each] > 1))
         each = each[chosen]
-        out_keys.append(mix((total[each] - value[chosen]) ^ salt[each]))
+        out_keys.append(mix((total[each] - value[chosen]) ^ salt[each]) & ~_EMPTY | (count[each] == 1))
         out_rows.append(owner[each])
         low = np.flatnonzero((level == 2) & present)
         if len(low):
             missing = np.setdiff1d((low[:, None] * m + np.arange(m)).ravel(), cells)
-            out_keys.append(mix(mix((missing % m).astype(np.uint64) ^ scheme.salt)))
+            out_keys.append(mix(mix((missing % m).astype(np.uint64) ^ scheme.salt)) | _EMPTY)
             out_rows.append(missing // m)
-    return np.concatenate(out_keys), np.concatenate(out_rows), spare
+    return np.concatenate(out_keys), np.concatenate(out_rows), spare, level > int(scheme.deletions)
 
 
 def _sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -164,13 +170,16 @@ def least_apart(p: bytes, q: bytes) -> int:
     return int(np.abs(p.reshape(n, -1).sum(axis=1) - q.reshape(n, -1).sum(axis=1)).sum())
 
 
-def _pack(key: np.ndarray, owner: np.ndarray, name: np.ndarray, spare: np.ndarray) -> bytes:
-    """Keys of one bucket, ordered by owner: 40 bits of each, and each owner's name and spare keys once, with its number of keys."""
+def _pack(key: np.ndarray, owner: np.ndarray, name: np.ndarray, spare: np.ndarray, strict: np.ndarray) -> bytes:
+    """Keys of one bucket, ordered by owner: 40 bits of each, and each owner's name and spare keys once, with its number of keys.
+
+    The spare keys of owners that may have partners of a lower level have the bit _STRICT.
+    """
     at = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
     count = np.diff(np.append(at, len(owner))).astype(np.uint32)
     head = np.array([len(key), len(at)], np.int64)
     low, high = (key & np.uint64(0xFFFFFFFF)).astype(np.uint32), ((key >> np.uint64(32)) & np.uint64(0xFF)).astype(np.uint8)
-    free = np.minimum(spare[owner[at]], 65535).astype(np.uint16)
+    free = np.minimum(spare[owner[at]], _STRICT - 1).astype(np.uint16) | np.where(strict[owner[at]], _STRICT, 0).astype(np.uint16)
     return b"".join([head.tobytes(), low.tobytes(), high.tobytes(), name[owner[at]].tobytes(), count.tobytes(), free.tobytes()])
 
 
@@ -201,16 +210,17 @@ def index(docs: DataFrame, largest: int, n_buckets: int) -> DataFrame:
             band = np.searchsorted(edges, sizes, side="right") - 1
             row = np.repeat(np.arange(len(sizes)), sizes)
             all_keys, all_rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-            spare = np.zeros(2 * len(sizes), np.int64)
+            spare, strict = np.zeros(2 * len(sizes), np.int64), np.zeros(2 * len(sizes), bool)
             for k in np.unique(np.concatenate([band[once], band[once] + 1])):
                 scheme = schemes.setdefault(int(k), Scheme(bands_to(edges, k), int(k)))
                 mine = once & ((band == k) | ((band == k - 1) & (sizes >= scheme.least)))
                 held = mine[row]
-                got, owner, free = keys(tokens[held], row[held], np.where(mine, sizes, 0), scheme)
+                got, owner, free, lower = keys(tokens[held], row[held], np.where(mine, sizes, 0), scheme)
                 upper = (band < k).astype(np.int64)  # a set is one owner under its own band, another one under the next
                 all_keys.append(got)
                 all_rows.append(2 * owner + upper[owner])
                 spare[2 * np.flatnonzero(mine) + upper[mine]] = free[mine]
+                strict[2 * np.flatnonzero(mine) + upper[mine]] = lower[mine]
             key, owner = np.concatenate(all_keys), np.concatenate(all_rows)
             name = np.stack([high, high | 1], axis=1).ravel()
             order = np.argsort(owner.astype(np.uint32), kind="stable")
@@ -218,7 +228,7 @@ def index(docs: DataFrame, largest: int, n_buckets: int) -> DataFrame:
             order, at = by_bucket((key >> np.uint64(44)).astype(np.int64) % n_buckets, n_buckets)
             key, owner = key[order], owner[order]
             full = np.flatnonzero(np.diff(at))
-            payload = [_pack(key[at[b] : at[b + 1]], owner[at[b] : at[b + 1]], name, spare) for b in full]
+            payload = [_pack(key[at[b] : at[b + 1]], owner[at[b] : at[b + 1]], name, spare, strict) for b in full]
             yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(payload, pa.binary())], names=["bucket", "payload"])
 
     return docs.select("text").mapInArrow(work, "bucket int, payload binary")
@@ -231,21 +241,22 @@ def bands_to(edges: np.ndarray, k: int) -> np.ndarray:
     return edges
 
 
-def _runs(tables: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of owners that share a key, each owner once: number of the run, owner; and all owners with what they can spare."""
+def _runs(tables: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of owners that share a key, each owner once: number of the run, owner, and whether the key is of an empty
+    segment; and all owners with what they can spare."""
     key, who, name, spare = (np.concatenate(c) for c in zip(*map(_unpack, tables.column("payload"))))
     order = np.argsort(key)
     key, who = key[order], who[order]
     run = np.cumsum(np.concatenate([[True], key[1:] != key[:-1]])) - 1
     shared = np.bincount(run)[run] > 1
-    run, who = run[shared], who[shared]
+    run, who, empty = run[shared], who[shared], (key[shared] & _EMPTY).astype(bool)
     order = np.lexsort((who, run))
-    run, who = run[order], who[order]
+    run, who, empty = run[order], who[order], empty[order]
     new = np.ones(len(run), bool)
     new[1:] = (run[1:] != run[:-1]) | (who[1:] != who[:-1])
-    run, who = run[new], who[new]
+    run, who, empty = run[new], who[new], empty[new]
     many = np.bincount(run)[run] > 1 if len(run) else np.zeros(0, bool)
-    return run[many], who[many], name, spare
+    return run[many], who[many], empty[many], name, spare
 
 
 def _long(x: np.ndarray) -> pa.Array:
@@ -257,8 +268,9 @@ _MET = "x long, y long, spare int"
 
 def _meet_few(tables: pa.Table) -> pa.Table:
     """Pairs x, y of sets that share a key which at most FEW owners have; and with spare not null, for each owner x its
-    number y of keys that more have, and how many it can spare."""
-    run, who, name, spare = _runs(tables)
+    number y of keys that more have, and how many it can spare. Where partners may be of a lower level, a key counts as
+    more than can be spared, unless it is of an empty segment."""
+    run, who, empty, name, spare = _runs(tables)
     first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]])) if len(run) else np.zeros(0, np.int64)
     size = np.diff(np.append(first, len(run)))
     x, y = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -275,9 +287,12 @@ def _meet_few(tables: pa.Table) -> pa.Table:
     new = np.ones(len(pairs), bool)
     new[1:] = (pairs[1:] != pairs[:-1]).any(axis=1)
     pairs = pairs[new]
-    hot, count = np.unique(who[np.repeat(size > FEW, size)], return_counts=True)
+    lost = np.repeat(size > FEW, size)
+    hot, part = np.unique(who[lost], return_inverse=True)
     own, at = np.unique(name, return_index=True)
     free = spare[at][np.searchsorted(own, hot)].astype(np.int32)
+    count = np.bincount(part, np.where((free[part] >= _STRICT) & ~empty[lost], _STRICT, 1), len(hot)).astype(np.int64)
+    free %= _STRICT
     return pa.table({"x": np.concatenate([pairs[:, 0], hot]), "y": np.concatenate([pairs[:, 1], count]), "spare": pa.array([*[None] * len(pairs), *free.tolist()], pa.int32())})
 
 
@@ -287,7 +302,7 @@ def _meet(tables: pa.Table) -> pa.Table:
     The sharers of a key join the group that holds most of them already, if that is half of them at least, the largest
     first: a family of near copies, whose keys all have somewhat different sharers, is one group or few.
     """
-    run, who, _, _ = _runs(tables)
+    run, who, *_ = _runs(tables)
     who = who & ~1
     if not len(run):
         return pa.table({c: pa.array([], pa.int64()) for c in ("group", "member", "n")})

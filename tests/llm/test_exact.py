@@ -113,6 +113,45 @@ def test_every_similar_pair_shares_a_key():
             assert got[0] & got[1]
 
 
+def test_pairs_of_unequal_levels_are_not_lost_to_hot_keys():
+    """Where all keys that a pair shares are hot, both sets are indexed again, also if one has keys to spare at its level."""
+    rng = np.random.default_rng(8)
+    edges, n, seen = jaccard.bands(3000), 154, 0
+    scheme = jaccard.Scheme(edges, int(np.searchsorted(edges, n, side="right") - 1))
+    assert not scheme.deletions
+    segments = lambda x: (jaccard.mix(x ^ scheme.seed) >> np.uint64(33)).astype(np.int64) % scheme.segments
+    for _ in range(20):
+        # too few segments are filled for level 0
+        base = rng.integers(0, 2**63, 1000).astype(np.uint64)
+        base = base[segments(base) < 51][:n]
+        # 22 elements are replaced, which is all that the threshold allows: two go from each of 11 segments, 22 others get one more
+        at = segments(base)
+        count = np.bincount(at, minlength=scheme.segments)
+        last = np.concatenate([np.flatnonzero(at == i)[:2] for i in np.flatnonzero(count > 2)[:11]])
+        free = rng.integers(0, 2**63, 4000).astype(np.uint64)
+        new = [free[segments(free) == i][0] for i in [*np.flatnonzero(count == 0)[:1], *np.setdiff1d(at, at[last])[:21]]]
+        other = np.concatenate([np.delete(base, last), np.array(new, np.uint64)])
+        assert len(last) == len(new) == 22
+        rows = np.repeat([0, 1], n)
+        key, owner, *own = jaccard.keys(np.concatenate([base, other]), rows, np.array([n, n]), scheme)
+        filled = [len(np.unique(segments(x))) for x in (base, other)]
+        deeper = np.bincount(owner) > filled
+        if deeper[0] == deeper[1]:
+            continue
+        seen += 1
+        shared = np.intersect1d(key[owner == 0], key[owner == 1])
+        # more sets than FEW have just the shared keys
+        key, owner = [key, *[shared] * jaccard.FEW], [owner, *(np.full(len(shared), 2 + i) for i in range(jaccard.FEW))]
+        key, owner = np.concatenate(key), np.concatenate(owner)
+        order = np.argsort(owner, kind="stable")
+        own = [np.concatenate([x, np.zeros(jaccard.FEW, x.dtype)]) for x in own]
+        payload = jaccard._pack(key[order], owner[order], 2 * np.arange(2 + jaccard.FEW), *own)
+        met = jaccard._meet_few(pa.table({"payload": pa.array([payload], pa.binary())})).to_pylist()
+        tight = {r["x"] for r in met if r["spare"] is not None and r["y"] > r["spare"]}
+        assert {0, 2} <= tight, (deeper, met)
+    assert seen
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (5, 5)], "a long, b long")
     assert {r.node: r.component for r in components(links).collect()} == {i: 0 for i in range(41)} | {100: 100, 101: 100}
