@@ -119,8 +119,7 @@ def lexical_features(spark, sf_dir):
     for n in (2, 3, 4, 5):
         g = names.selectExpr("dict", f"{n} as n", f"explode({t.ngrams('s', n)}) as ngram").groupBy("dict", "n", "ngram").agg(F.count("*").alias("freq")).where("freq > 1")
         grams = g if grams is None else grams.unionByName(g)
-    top = grams.orderBy(F.desc("freq"), "ngram").limit(200)
-    return rounded(lx.lexical_features(hosts(spark, sf_dir), ngrams=top))
+    return rounded(lx.lexical_features(hosts(spark, sf_dir), ngrams=grams))
 
 
 @query(
