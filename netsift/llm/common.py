@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Characters of text that one numpy step holds at most, but for a single longer text.
-SLICE_BYTES = 6_000_000
+SLICE_BYTES = 3_000_000
 
 _own_folder: list[str] = []
 

@@ -23,11 +23,10 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = keep(large.where("u <> v").distinct(), "large-star")
+        large = large.where("u <> v").distinct()
         small_least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(small_least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         after = keep(small.unionByName(small_least.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        forget(large)
         forget(edges)
         edges, now = after, _sum(after)
         if now == before:

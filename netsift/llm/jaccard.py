@@ -11,14 +11,19 @@ where its segments suffice (level 0), else with deletion neighbours of all segme
 suffice, with the empty ones too (level 2). Of a pair, the set of the lower level has units over H, and the other one has
 indexed all keys that this needs; so every pair meets, whatever the data. Pairs that meet are verified exactly.
 
-A key that many sets have (a line that stands everywhere, a large family of near copies) costs most and tells least. In a
-first round it buys nothing: only keys of at most FEW owners give candidates, so their number grows with the keys. A set
-that still has units over H meets all its partners of its level or a higher one there. The others, which lost more keys
-than they could spare, are indexed again among themselves with all keys; there each group of sharers is compared with one
-hub first, and then only where verified links have not joined its members. What a set can spare says nothing on partners of
-a lower level, since these index fewer keys; so where there may be such, one lost key suffices to be indexed again, but for
-the keys of empty segments, which a lower level hasn't: a pair of unequal levels shares a key that the lower one indexes,
-and if the first round met no such key, it was lost to both.
+A key that many sets have (a line that stands everywhere, a large family of near copies) costs most and tells least, so
+keys of more than FEW owners buy nothing: the number of candidates grows with the keys. A set that still has units over H
+has met all its partners of its level or a higher one. What it can spare says nothing on partners of a lower level, since
+these index fewer keys; where there may be such, one lost key makes it tight, but for the keys of empty segments, which a
+lower level hasn't: a pair of unequal levels shares a key that the lower one indexes, and if no such key was met, it was
+lost to both.
+
+Tight sets, those that lost more than they could spare, buy again in the finest partition, where each shingle is a segment
+of its own: a set of n shingles has n units, so it meets all its partners unless over two thirds of its shingles are hot.
+That leaves families of near copies and texts that are mostly one common passage. These first try the hub of a few shared
+shingles; what links they give are components, and a hot key whose owners are all of one component is done with. Owners
+of the others are compared exactly, in blocks: members without a large component with all, whole components with each
+other only where they share a key.
 
 Keys travel as packed arrays, one row for a batch and bucket, and are matched by sorting within a bucket. Sets are
 identified by digest, so that copies are one entry however many there are.
@@ -26,7 +31,6 @@ identified by digest, so that copies are one entry however many there are.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,10 +49,12 @@ NUM, DEN = 3, 4
 PER_BUCKET = 2_000_000
 #: Owners of a key up to which all their pairs are candidates; a key that more have buys nothing.
 FEW = 8
-#: A profile counts the shingles in so many parts of the universe that a part has 1 to 2 of them.
-PART_SHINGLES = 1
-#: Members of a group that are compared with each other at a time.
-BLOCK = 64
+#: A profile counts the shingles in so many parts of the universe that a part has 2 to 4 of them.
+PART_SHINGLES = 2
+#: Smallest shingles by which a set of a family looks for hubs.
+LEADERS = 4
+#: Members of a block, and their shingles together, about; columns of a comparison of two blocks.
+BLOCK, BLOCK_SHINGLES, COLUMNS = 256, 1 << 16, 4096
 #: The bit of a key that tells keys of empty segments, and the bit in spare keys that tells sets that may have partners of a lower level.
 _EMPTY, _STRICT = np.uint64(1), 1 << 15
 
@@ -296,54 +302,58 @@ def _meet_few(tables: pa.Table) -> pa.Table:
     return pa.table({"x": np.concatenate([pairs[:, 0], hot]), "y": np.concatenate([pairs[:, 1], count]), "spare": pa.array([*[None] * len(pairs), *free.tolist()], pa.int32())})
 
 
-def _meet(tables: pa.Table) -> pa.Table:
-    """Groups of sets that share keys in this bucket: group (a hash of its members), member, n (keys that it shares here).
+def finest(held: DataFrame, n_buckets: int) -> DataFrame:
+    """bucket, payload: every shingle of the sets of held (d1, tokens) as a key, as index() packs them.
 
-    The sharers of a key join the group that holds most of them already, if that is half of them at least, the largest
-    first: a family of near copies, whose keys all have somewhat different sharers, is one group or few.
-    """
-    run, who, *_ = _runs(tables)
-    who = who & ~1
-    if not len(run):
-        return pa.table({c: pa.array([], pa.int64()) for c in ("group", "member", "n")})
-    first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
-    size = np.diff(np.append(first, len(run)))
-    ids, shared = np.unique(who, return_counts=True)
-    name = mix(np.add.reduceat(mix(who.view(np.uint64)), first) ^ size.astype(np.uint64))
-    _, once = np.unique(name, return_index=True)
-    groups: list[set[int]] = []
-    home: dict[int, int] = {}
-    for i in once[np.argsort(-size[once], kind="stable")]:
-        members = who[first[i] : first[i] + size[i]].tolist()
-        known = Counter(home[m] for m in members if m in home)
-        at, n = known.most_common(1)[0] if known else (0, 0)
-        if 2 * n < len(members):
-            at = len(groups)
-            groups.append(set())
-        groups[at].update(members)
-        for m in members:
-            home[m] = at
-    own = [np.array(sorted(g), np.int64) for g in groups]
-    sizes = [len(g) for g in own]
-    members = np.concatenate(own)
-    tag = mix(np.add.reduceat(mix(members.view(np.uint64)), np.cumsum([0, *sizes[:-1]])))
-    return pa.table({"group": _long(np.repeat(tag, sizes)), "member": members, "n": shared[np.searchsorted(ids, members)].astype(np.int64)})
-
-
-def _stars(groups: DataFrame) -> DataFrame:
-    """x, y: each member of a group with the group's hub, the member that shares most keys: what others are copies of."""
-    degree = groups.groupBy("member").agg(F.sum("n").alias("degree"))
-    hub = groups.join(degree, "member").groupBy("group").agg(F.max_by("member", F.struct("degree", "member")).alias("hub"))
-    rows = groups.join(hub, "group").where("hub <> member")
-    return rows.select(F.least("hub", "member").alias("x"), F.greatest("hub", "member").alias("y"))
-
-
-def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (x, y: first digest halves) that are similar, as a, b (doc_id of a set's first document).
-
-    sets: d1, d2, rep, n_shingles, profile. Profiles that differ by more than the sets may rule a pair out. Only documents in
-    the other pairs are read again; their shingles are compared in full.
+    Of n shingles a similar set lacks at most what most_apart says, so one of any more than that is shared.
     """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            name = batch.column("d1").to_numpy()
+            each = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("tokens")]
+            if not each:
+                continue
+            sizes = np.array([len(x) for x in each])
+            key, owner = mix(np.concatenate(each)) & ~_EMPTY, np.repeat(np.arange(len(each)), sizes)
+            spare = sizes - most_apart(sizes, sizes * DEN // NUM) - 1
+            order, at = by_bucket((key >> np.uint64(44)).astype(np.int64) % n_buckets, n_buckets)
+            key, owner = key[order], owner[order]
+            full = np.flatnonzero(np.diff(at))
+            payload = [_pack(key[at[b] : at[b + 1]], owner[at[b] : at[b + 1]], name, spare, np.zeros(len(each), bool)) for b in full]
+            yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(payload, pa.binary())], names=["bucket", "payload"])
+
+    return held.select("d1", "tokens").mapInArrow(work, "bucket int, payload binary")
+
+
+def _tight(met: DataFrame) -> DataFrame:
+    """x, hot: the owners that lost more keys than they could spare."""
+    lost = met.where("spare is not null").groupBy("x").agg(F.sum("y").alias("hot"), F.min("spare").alias("spare"))
+    return lost.where("hot > spare").select("x", "hot")
+
+
+def tokens_of(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """d1, tokens: the shingles of the sets asked for (d1, rep), read from the document rep."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            value, starts, high, _ = _sets(batch.column("text"))
+            own = np.flatnonzero(high == batch.column("d1").to_numpy())  # another text may have the same doc_id
+            own = own[np.unique(high[own], return_index=True)[1]]
+            raw = pa.array([value[starts[i] : starts[i + 1]].tobytes() for i in own.tolist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(high[own]), raw], names=["d1", "tokens"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(asked.select("rep", "d1"), "rep").select("text", "d1")
+    out = keep(rows.mapInArrow(work, "d1 long, tokens binary"), "tokens")
+    if out.count() > asked.count():  # rows that repeat
+        once = keep(out.dropDuplicates(["d1"]), "tokens")
+        forget(out)
+        return once
+    return out
+
+
+def plausible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """x, y, a, b: the pairs (x, y: first digest halves) that sizes and profiles don't rule out, with their documents."""
     one = sets.select(F.col("d1").alias("x"), F.col("rep").alias("a"), F.col("n_shingles").alias("na"), F.col("profile").alias("pa"))
     two = sets.select(F.col("d1").alias("y"), F.col("rep").alias("b"), F.col("n_shingles").alias("nb"), F.col("profile").alias("pb"))
     pairs = pairs.join(one, "x").join(two, "y").where(f"{DEN} * least(na, nb) >= {NUM} * greatest(na, nb) and a <> b")
@@ -353,81 +363,163 @@ def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
             sizes = (batch.column("na").to_numpy() + batch.column("nb").to_numpy()).tolist()
             both = zip(batch.column("pa").to_pylist(), batch.column("pb").to_pylist(), sizes)
             fine = pa.array([least_apart(p, q) <= most_apart(n, 0) for p, q, n in both], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(fine) for c in ("a", "b")], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(fine) for c in ("x", "y", "a", "b")], names=["x", "y", "a", "b"])
 
-    pairs = pairs.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(near, "a long, b long")
-    pairs = keep(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    asked = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    return pairs.select("x", "y", "a", "b", "na", "nb", "pa", "pb").mapInArrow(near, "x long, y long, a long, b long")
 
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            value, starts, _, _ = _sets(batch.column("text"))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([value[s:e].tobytes() for s, e in zip(starts, starts[1:])], pa.binary())], names=["doc_id", "tokens"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(asked, "doc_id", "left_semi")
-    own = keep(texts.mapInArrow(tokens, "doc_id long, tokens binary").dropDuplicates(["doc_id"]), "tokens")
-    both = pairs.join(own.select(F.col("doc_id").alias("a"), F.col("tokens").alias("ta")), "a").join(own.select(F.col("doc_id").alias("b"), F.col("tokens").alias("tb")), "b")
+def similar(pairs: DataFrame, held: DataFrame) -> DataFrame:
+    """a, b of the pairs (x, y, a, b) whose shingles (held: d1, tokens), compared in full, are similar."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fine = np.zeros(batch.num_rows, bool)
-            for i, (s, t) in enumerate(zip(batch.column("ta"), batch.column("tb"))):
+            for i, (s, t) in enumerate(zip(batch.column("tx"), batch.column("ty"))):
                 s, t = np.frombuffer(s.as_buffer(), np.uint64), np.frombuffer(t.as_buffer(), np.uint64)
                 at = np.minimum(np.searchsorted(t, s), len(t) - 1)
                 common = int((t[at] == s).sum())
                 fine[i] = DEN * common >= NUM * (len(s) + len(t) - common)
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(fine)) for c in (batch.column("a"), batch.column("b"))], names=["a", "b"])
 
-    links = keep(both.select("a", "b", "ta", "tb").mapInArrow(compare, "a long, b long"), "links")
-    forget(pairs)
-    forget(own)
-    release(docs.sparkSession)
-    return links
+    both = pairs.join(held.select(F.col("d1").alias("x"), F.col("tokens").alias("tx")), "x").join(held.select(F.col("d1").alias("y"), F.col("tokens").alias("ty")), "y")
+    return both.select("a", "b", "tx", "ty").mapInArrow(compare, "a long, b long")
 
 
-def _folded(profiles: list[bytes]) -> np.ndarray | None:
-    """Profiles as rows of one width, the finer ones summed to the coarsest; None if one makes no statement."""
-    if not all(profiles):
-        return None
-    n = min(map(len, profiles))
-    return np.stack([np.frombuffer(p, np.uint8).reshape(n, -1).sum(axis=1, dtype=np.int16) for p in profiles])
+def hubs(held: DataFrame, family: DataFrame) -> DataFrame:
+    """d1, hub for each set of family (d1, share) and each of its LEADERS smallest shingles: of the sets that have it among
+    theirs the one with the largest share of hot shingles, which others are likely copies of."""
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            least = [np.sort(mix(np.frombuffer(x.as_buffer(), np.uint64)))[:LEADERS] for x in batch.column("tokens")]
+            count = np.array([len(x) for x in least], np.int64)
+            columns = [pa.array(np.concatenate([np.zeros(0, np.uint64), *least]).view(np.int64)), *(pa.array(np.repeat(batch.column(c).to_numpy(), count)) for c in ("d1", "share"))]
+            yield pa.RecordBatch.from_arrays(columns, names=["leader", "d1", "share"])
+
+    rows = keep(held.join(family, "d1").select("d1", "share", "tokens").mapInArrow(work, "leader long, d1 long, share double"), "leaders")
+    best = rows.groupBy("leader").agg(F.max_by("d1", F.struct("share", "d1")).alias("hub"))
+    return rows.join(best, "leader").select("d1", "hub")
+
+
+def _parts(blocks: DataFrame, n_buckets: int) -> DataFrame:
+    """bucket, payload: key, block and label (-1 if mixed) of the least shingles of each block's members, as many of each
+    that similar sets share one of them (the prefixes under one order of all shingles)."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ms = batch.column("ms")
+            each = [np.sort(mix(np.frombuffer(x.as_buffer(), np.uint64))) for x in ms.values.field("tokens").slice(ms.offsets[0].as_py(), ms.offsets[-1].as_py() - ms.offsets[0].as_py())]
+            at = (ms.offsets.to_numpy() - ms.offsets[0].as_py()).tolist()
+            prefix = [x[: len(x) + NUM * len(x) // -DEN + 1] for x in each]
+            keys_, own = [], []
+            for i, (s, e) in enumerate(zip(at, at[1:])):
+                keys_.append(np.unique(np.concatenate(prefix[s:e])))
+                own.append(np.full(len(keys_[-1]), i))
+            if not keys_:
+                continue
+            key, own = np.concatenate(keys_), np.concatenate(own)
+            order, cut = by_bucket((key >> np.uint64(44)).astype(np.int64) % n_buckets, n_buckets)
+            key, own = key[order], own[order]
+            block, label = batch.column("block").to_numpy()[own], batch.column("pure").to_numpy()[own]
+            full = np.flatnonzero(np.diff(cut))
+            payload = [b"".join(c[cut[b] : cut[b + 1]].tobytes() for c in (key, block, label)) for b in full]
+            yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(payload, pa.binary())], names=["bucket", "payload"])
+
+    return blocks.select("block", "pure", "ms").mapInArrow(work, "bucket int, payload binary")
+
+
+def _open(table: pa.Table) -> pa.Table:
+    """i, j: blocks that share a key of this bucket and may hold sets of different components."""
+    views = [memoryview(p.as_buffer()) for p in table.column("payload")]
+    sizes = [len(v) // 24 for v in views]
+    key, block, label = (np.concatenate([np.frombuffer(v[8 * c * n : 8 * (c + 1) * n], kind) for v, n in zip(views, sizes)]) for c, kind in enumerate((np.uint64, np.int64, np.int64)))
+    order = np.lexsort((block, key))
+    key, block, label = key[order], block[order], label[order]
+    names, block = np.unique(block, return_inverse=True)
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])).tolist()
+    seen, codes = set(), np.zeros(0, np.int64)
+    more: list[np.ndarray] = []
+    for a, b in zip(first, [*first[1:], len(key)]):
+        own, kind = block[a:b], label[a:b]
+        if (own.tobytes()) in seen or (kind[0] >= 0 and (kind == kind[0]).all()):
+            continue
+        seen.add(own.tobytes())
+        mixed, rest = own[kind < 0], kind >= 0
+        pairs = [(np.repeat(mixed, len(own)), np.tile(own, len(mixed)))]
+        for one in np.unique(kind[rest])[:-1]:
+            here, above = own[kind == one], own[kind > one]
+            pairs.append((np.repeat(here, len(above)), np.tile(above, len(here))))
+        more += [np.minimum(i, j) * len(names) + np.maximum(i, j) for i, j in pairs]
+        if sum(map(len, more)) > 1 << 20:
+            codes, more = np.unique(np.concatenate([codes, *more])), []
+    codes = np.unique(np.concatenate([codes, *more]))
+    return pa.table({"i": names[codes // len(names)], "j": names[codes % len(names)]}) if len(names) else pa.table({"i": pa.array([], pa.int64()), "j": pa.array([], pa.int64())})
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """a, b: components of which two blocks hold similar sets, by their shared shingles counted in full."""
+
+    def opened(cell: pa.ListScalar) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        ms = cell.values
+        each = [np.frombuffer(x.as_buffer(), np.uint64) for x in ms.field("tokens")]
+        sizes = np.array([len(x) for x in each], np.int64)
+        return ms.field("label").to_numpy(), sizes, np.concatenate(each), np.repeat(np.arange(len(each)), sizes)
 
-def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of two blocks of members the pairs that sizes and profiles don't rule out and that aren't known to be connected."""
     for batch in batches:
-        out = []
-        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
-            ma, mb, pa_, pb = (np.array([m[k] for m in block], np.int64) for k in ("member", "part") for block in (a, b))
-            na, nb = (np.array([m["n_shingles"] for m in block], np.int64) for block in (a, b))
-            fine = (pa_[:, None] != pb) & (DEN * np.minimum(na[:, None], nb) >= NUM * np.maximum(na[:, None], nb))
-            rows = _folded([m["profile"] for m in [*a, *b]]) if fine.any() else None
-            if rows is not None:
-                p, q = rows[: len(a)], rows[len(a) :]
-                apart = np.stack([np.abs(q - x).sum(axis=1) for x in p])
-                fine &= apart <= (DEN - NUM) * (na[:, None] + nb) // (DEN + NUM)
+        out = [np.zeros((2, 0), np.int64)]
+        for one, two in zip(batch.column("one"), batch.column("two")):
+            (la, na, ta, ra), (lb, nb, tb, rb) = opened(one), opened(two)
+            both = np.intersect1d(ta, tb)
+            common = np.zeros((len(na), len(nb)), np.float32)
+            places = []
+            for t, r in ((ta, ra), (tb, rb)):
+                at = np.minimum(np.searchsorted(both, t), max(len(both) - 1, 0))
+                held = both[at] == t if len(both) else np.zeros(len(t), bool)
+                order = np.argsort(at[held], kind="stable")
+                places.append((at[held][order], r[held][order]))
+            for c in range(0, len(both), COLUMNS):
+                wide = []
+                for (at, r), n in zip(places, (len(na), len(nb))):
+                    s, e = np.searchsorted(at, [c, c + COLUMNS])
+                    x = np.zeros((n, min(COLUMNS, len(both) - c)), np.float32)
+                    x[r[s:e], at[s:e] - c] = 1
+                    wide.append(x)
+                common += wide[0] @ wide[1].T
+            fine = (la[:, None] != lb) & (DEN * common >= NUM * (na[:, None] + nb - common))
             i, j = np.nonzero(fine)
-            out.append(np.stack([np.minimum(ma[i], mb[j]), np.maximum(ma[i], mb[j])]))
-        pairs = np.unique(np.concatenate(out, axis=1), axis=1) if out else np.zeros((2, 0), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["x", "y"])
+            out.append(np.stack([np.minimum(la[i], lb[j]), np.maximum(la[i], lb[j])]))
+        pairs = np.unique(np.concatenate(out, axis=1), axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
 
-def _across(groups: DataFrame, labels: DataFrame) -> DataFrame:
-    """x, y: pairs of a group whose members are not known to be connected. labels: member, part, n_shingles, profile.
+def _within_families(members: DataFrame, held: DataFrame) -> DataFrame:
+    """a, b: links between components of members (d1, label, n_shingles, hub).
 
-    In each group the largest part is told from the rest: rest is compared with all, block by block, so that a group that
-    is one part but for a few members costs little. A block is a share of the group by hash of the member.
+    A block holds members of one large component, or members of small ones that have their largest hub in common.
     """
-    rows = groups.select("group", "member").distinct().join(labels, "member")
-    counts = rows.groupBy("group", "part").agg(F.count("*").alias("n"))
-    top = counts.groupBy("group").agg(F.max(F.struct("n", "part"))["part"].alias("top"), F.sum("n").alias("size"), F.count("*").alias("parts")).where("parts > 1")
-    block = F.pmod(F.xxhash64("member"), F.ceil(F.col("size") / BLOCK))
-    rows = rows.join(top, "group").select("group", (F.col("part") != F.col("top")).alias("rest"), block.alias("block"), F.struct("member", "part", "n_shingles", "profile").alias("m"))
-    blocks = keep(rows.groupBy("group", "rest", "block").agg(F.collect_list("m").alias("ms")), "blocks")
-    one = blocks.where("rest").select("group", F.col("block").alias("i"), F.col("ms").alias("a"))
-    two = blocks.select("group", "rest", F.col("block").alias("j"), F.col("ms").alias("b"))
-    met = one.join(two, "group").where("not rest or i <= j").select("a", "b")
-    return keep(met.mapInArrow(_compare_blocks, "x long, y long").distinct(), "cross")
+    whole = members.groupBy("label").agg(F.count("*").alias("n")).where(F.col("n") >= BLOCK).select("label", F.lit(True).alias("large"))
+    rows = members.join(whole, "label", "left").withColumn("pure", F.when(F.col("large"), F.col("label")).otherwise(F.lit(-1)))
+    rows = rows.withColumn("home", F.when(F.col("large"), F.col("label")).otherwise(F.col("hub")))
+    parts = rows.groupBy("home", "pure").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).alias("parts"))
+    rows = rows.join(parts, ["home", "pure"]).select("d1", "label", "pure", F.xxhash64("home", "pure", F.pmod(F.xxhash64("d1"), "parts")).alias("block"))
+    each = rows.join(held, "d1").groupBy("block", "pure").agg(F.collect_list(F.struct("label", "tokens")).alias("ms"))
+    blocks = keep(each, "blocks")
+    total = members.agg(F.sum("n_shingles")).first()[0] or 0
+    n_buckets = buckets_for(total * (DEN - NUM) / DEN, PER_BUCKET, 12)
+    met = keep(_parts(blocks, n_buckets).groupBy("bucket").applyInArrow(_open, "i long, j long").distinct(), "block-pairs")
+    both = met.join(blocks.select(F.col("block").alias("i"), F.col("ms").alias("one")), "i").join(blocks.select(F.col("block").alias("j"), F.col("ms").alias("two")), "j")
+    links = keep(both.select("one", "two").mapInArrow(_joined, "a long, b long").distinct(), "links")
+    forget(blocks)
+    forget(met)
+    return links
+
+
+def _relabel(found: DataFrame, links: DataFrame) -> DataFrame:
+    """found (node, component) after its components are joined by links (a, b); components not in found are single nodes."""
+    more = keep(components(links), "joined").withColumnsRenamed({"node": "_n", "component": "_c"})
+    out = found.join(more, F.col("component") == F.col("_n"), "left").select("node", F.coalesce("_c", "component").alias("component"))
+    alone = more.join(found.select("node"), F.col("_n") == F.col("node"), "left_anti").select(F.col("_n").alias("node"), F.col("_c").alias("component"))
+    return keep(out.unionByName(alone), "components")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -439,37 +531,53 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Rows with a null doc_id keep a null component and link nothing; repeated rows give repeated rows. Columns other than
     doc_id and text are ignored; an empty table gives an empty result.
     """
+    spark = docs.sparkSession
     info = keep(describe(docs), "shingle-sets")
-    held = info.where("n_shingles > 0 and doc_id is not null")
-    sets = keep(held.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("profile").alias("profile")), "distinct-sets")
+    known = info.where("n_shingles > 0 and doc_id is not null")
+    sets = keep(known.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"), F.first("profile").alias("profile")), "distinct-sets")
     total = sets.agg(F.sum("n_shingles"), F.max("n_shingles")).first()
     if total[0] is None:
         return info.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    n_buckets = buckets_for(0.8 * total[0], PER_BUCKET)
     named = docs.where("doc_id is not null")
-    met = keep(index(named, int(total[1]), n_buckets).groupBy("bucket").applyInArrow(_meet_few, _MET), "met")
-    release(docs.sparkSession)
-    lost = met.where("spare is not null").groupBy("x").agg(F.sum("y").alias("hot"), F.min("spare").alias("spare"))
-    tight = lost.where("hot > spare").select(F.col("x").bitwiseAND(F.lit(-2)).alias("d1")).distinct()
-    again = keep(sets.join(tight, "d1", "left_semi").select(F.col("rep").alias("doc_id")), "tight")
-    rest = named.withColumn("doc_id", F.col("doc_id").cast("long")).join(again, "doc_id", "left_semi")
-    few = sets.join(tight, "d1", "left_semi").agg(F.sum("n_shingles")).first()[0] or 0
-    groups = keep(index(rest, int(total[1]), buckets_for(0.8 * few, PER_BUCKET, 12)).groupBy("bucket").applyInArrow(_meet, "group long, member long, n long"), "groups")
-    release(docs.sparkSession)
-    stars = _stars(groups).unionByName(met.where("spare is null").select("x", "y")).distinct()
-    links = verify(stars, docs, sets)
-    found = keep(components(links), "star-components")
-    part = sets.join(tight, "d1", "left_semi").join(found, F.col("rep") == F.col("node"), "left")
-    part = part.groupBy(F.col("d1").alias("member")).agg(F.min(F.coalesce("component", "rep")).alias("part"), F.max("n_shingles").alias("n_shingles"), F.first("profile").alias("profile"))
-    more = verify(_across(groups, part), docs, sets)
-    final = found
-    if not more.isEmpty():
-        joined = found.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
-        final = keep(components(joined), "components")
-    named = sets.join(final, F.col("rep") == F.col("node"), "left").select("d1", "d2", F.col("n_shingles").alias("_n"), F.coalesce("component", "rep").alias("_c"))
-    named = named.withColumnsRenamed({"d1": "_1", "d2": "_2"})
+    met = keep(index(named, int(total[1]), buckets_for(0.8 * total[0], PER_BUCKET)).groupBy("bucket").applyInArrow(_meet_few, _MET), "met")
+    release(spark)
+    tight = keep(sets.join(_tight(met).select(F.col("x").bitwiseAND(F.lit(-2)).alias("d1")).distinct(), "d1", "left_semi").select("d1", "rep", "n_shingles"), "tight")
+    hot = tokens_of(named, tight)
+    again = tight.agg(F.sum("n_shingles")).first()[0] or 0
+    met_again = keep(finest(hot, buckets_for(again, PER_BUCKET, 12)).groupBy("bucket").applyInArrow(_meet_few, _MET), "met")
+    family = keep(_tight(met_again).withColumnRenamed("x", "d1").join(tight, "d1").select("d1", "rep", "n_shingles", (F.col("hot") / F.col("n_shingles")).alias("share")), "families")
+    hub = keep(hubs(hot, family.select("d1", "share")), "hubs")
+    star = hub.where("d1 <> hub").select(F.least("d1", "hub").alias("x"), F.greatest("d1", "hub").alias("y"))
+    few = met.unionByName(met_again).where("spare is null").select("x", "y")
+    pairs = keep(plausible(few.unionByName(star).distinct(), sets), "pairs")
+    forget(met)
+    forget(met_again)
+    # a forest first: each set with the least set that it may be similar to, and the members of families with their hubs
+    least = pairs.groupBy("y").agg(F.min("x").alias("x"))
+    first = keep(pairs.join(least.unionByName(star).distinct(), ["x", "y"], "left_semi"), "first-pairs")
+    asked = pairs.select(F.col("x").alias("d1"), F.col("a").alias("rep")).unionByName(pairs.select(F.col("y").alias("d1"), F.col("b").alias("rep"))).distinct()
+    held = tokens_of(named, keep(asked, "asked"))
+    release(spark)
+    found = keep(components(keep(similar(first, held), "links")), "components")
+    of = lambda side: found.withColumnsRenamed({"node": side, "component": f"c{side}"})
+    rest = pairs.join(first, ["x", "y"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left").select("x", "y", F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b")
+    links = keep(similar(rest, held).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+    forget(held)
+    if not links.isEmpty():
+        found = _relabel(found, links)
+    size = hub.groupBy("hub").agg(F.count("*").alias("size"))
+    home = hub.join(size, "hub").groupBy("d1").agg(F.max_by("hub", F.struct("size", "hub")).alias("hub"))
+    members = family.join(found, F.col("rep") == F.col("node"), "left").select("d1", F.coalesce("component", "rep").alias("label"), "n_shingles").join(home, "d1")
+    links = _within_families(members, hot)
+    forget(hot)
+    release(spark)
+    if not links.isEmpty():
+        found = _relabel(found, links)
+    several = sets.join(found, F.col("rep") == F.col("node"), "left").withColumn("_c", F.coalesce("component", "rep")).where("_c <> rep or last <> rep")
+    named_sets = several.select(F.col("d1").alias("_1"), F.col("d2").alias("_2"), F.col("n_shingles").alias("_n"), "_c")
     same = (F.col("d1") == F.col("_1")) & (F.col("d2") == F.col("_2")) & (F.col("n_shingles") == F.col("_n"))
-    return info.join(named, same, "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("_c", "doc_id")).alias("component_id"))
+    rows = info.select("doc_id", "n_shingles", "d1", "d2").join(named_sets, same, "left")
+    return rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("_c", "doc_id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

@@ -91,6 +91,33 @@ def test_near_duplicates_equal_brute_force(spark):
     assert got == brute_components(enumerate(texts))
 
 
+def test_families_with_outliers_equal_brute_force(spark, monkeypatch):
+    """Large families around one base, variants that are near to some members only, and texts that are mostly one passage."""
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    rng = random.Random(17)
+    base = [f"b{rng.randrange(900)}" for _ in range(90)]
+    texts = [edited(rng, base, rng.randrange(0, 3)) for _ in range(70)]
+    for _ in range(25):
+        far = edited(rng, base, rng.randrange(3, 7)).split()
+        texts += [" ".join(far), edited(rng, far, 1)]
+    passage = [f"p{i}" for i in range(80)]
+    texts += [" ".join([*passage, *(f"q{i}r{k}" for k in range(rng.choice([8, 24, 40])))]) for i in range(60)]
+    rng.shuffle(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(df).collect()}
+    assert got == brute_components(enumerate(texts))
+    assert len({c for _, c in got.values()}) > 20
+
+
+def test_a_small_set_within_many_larger_ones_keeps_its_links(spark):
+    """One set of 86 shingles and ten sets of 114 that hold it: all keys that they share are hot, their levels differ."""
+    own = [f"s{i}" for i in range(90)]
+    texts = [" ".join(own)] + [" ".join([*own, *(f"t{j}u{k}" for k in range(28))]) for j in range(10)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(df).collect()}
+    assert got == brute_components(enumerate(texts)) and {c for _, c in got.values()} == {0}
+
+
 def test_every_similar_pair_shares_a_key():
     """The pigeonhole argument itself, on sets at the very edge of the threshold."""
     rng = np.random.default_rng(5)
