@@ -55,6 +55,8 @@ PART_SHINGLES = 2
 LEADERS = 4
 #: Members of a block, and their shingles together, about; columns of a comparison of two blocks.
 BLOCK, BLOCK_SHINGLES, COLUMNS = 256, 1 << 16, 4096
+#: Rows of two numbers that are broadcast at most.
+MOST_SENT = 1_000_000
 #: The bit of a key that tells keys of empty segments, and the bit in spare keys that tells sets that may have partners of a lower level.
 _EMPTY, _STRICT = np.uint64(1), 1 << 15
 
@@ -333,7 +335,10 @@ def _tight(met: DataFrame) -> DataFrame:
 
 
 def tokens_of(docs: DataFrame, asked: DataFrame) -> DataFrame:
-    """d1, tokens: the shingles of the sets asked for (d1, rep), read from the document rep."""
+    """d1, tokens: the shingles of the sets asked for (d1, rep, a kept table), read from the document rep.
+
+    Up to MOST_SENT of them go to where the texts are; more are joined, which shuffles the texts once.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -343,9 +348,10 @@ def tokens_of(docs: DataFrame, asked: DataFrame) -> DataFrame:
             raw = pa.array([value[starts[i] : starts[i + 1]].tobytes() for i in own.tolist()], pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(high[own]), raw], names=["d1", "tokens"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(asked.select("rep", "d1"), "rep").select("text", "d1")
+    n, wanted = asked.count(), asked.select("rep", "d1")
+    rows = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(F.broadcast(wanted) if n <= MOST_SENT else wanted, "rep").select("text", "d1")
     out = keep(rows.mapInArrow(work, "d1 long, tokens binary"), "tokens")
-    if out.count() > asked.count():  # rows that repeat
+    if out.count() > n:  # rows that repeat
         once = keep(out.dropDuplicates(["d1"]), "tokens")
         forget(out)
         return once
@@ -386,7 +392,7 @@ def similar(pairs: DataFrame, held: DataFrame) -> DataFrame:
 
 
 def hubs(held: DataFrame, family: DataFrame) -> DataFrame:
-    """d1, hub for each set of family (d1, share) and each of its LEADERS smallest shingles: of the sets that have it among
+    """d1, hub, hub_share for each set of family (d1, share) and each of its LEADERS smallest shingles: of the sets that have it among
     theirs the one with the largest share of hot shingles, which others are likely copies of."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -397,8 +403,8 @@ def hubs(held: DataFrame, family: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["leader", "d1", "share"])
 
     rows = keep(held.join(family, "d1").select("d1", "share", "tokens").mapInArrow(work, "leader long, d1 long, share double"), "leaders")
-    best = rows.groupBy("leader").agg(F.max_by("d1", F.struct("share", "d1")).alias("hub"))
-    return rows.join(best, "leader").select("d1", "hub")
+    best = rows.groupBy("leader").agg(F.max_by("d1", F.struct("share", "d1")).alias("hub"), F.max("share").alias("hub_share"))
+    return rows.join(best, "leader").select("d1", "hub", "hub_share")
 
 
 def _parts(blocks: DataFrame, n_buckets: int) -> DataFrame:
@@ -495,7 +501,7 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _within_families(members: DataFrame, held: DataFrame) -> DataFrame:
     """a, b: links between components of members (d1, label, n_shingles, hub).
 
-    A block holds members of one large component, or members of small ones that have their largest hub in common.
+    A block holds members of one large component, or members of small ones that have their best hub in common.
     """
     whole = members.groupBy("label").agg(F.count("*").alias("n")).where(F.col("n") >= BLOCK).select("label", F.lit(True).alias("large"))
     rows = members.join(whole, "label", "left").withColumn("pure", F.when(F.col("large"), F.col("label")).otherwise(F.lit(-1)))
@@ -565,8 +571,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     forget(held)
     if not links.isEmpty():
         found = _relabel(found, links)
-    size = hub.groupBy("hub").agg(F.count("*").alias("size"))
-    home = hub.join(size, "hub").groupBy("d1").agg(F.max_by("hub", F.struct("size", "hub")).alias("hub"))
+    home = hub.groupBy("d1").agg(F.max_by("hub", F.struct("hub_share", "hub")).alias("hub"))
     members = family.join(found, F.col("rep") == F.col("node"), "left").select("d1", F.coalesce("component", "rep").alias("label"), "n_shingles").join(home, "d1")
     links = _within_families(members, hot)
     forget(hot)
