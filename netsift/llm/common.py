@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -22,17 +23,28 @@ _own_folder: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; where that is unset, as in tests, one temporary folder."""
+    """The folder named in spark.checkpoint.dir. Where that is unset: one in the warehouse, which all executors share, or, with
+    a local master, a temporary one."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not _own_folder:
-        _own_folder.append("file://" + tempfile.mkdtemp(prefix="spark-shared-"))
-    return _own_folder[0]
+    if not named and re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        if not _own_folder:
+            _own_folder.append("file://" + tempfile.mkdtemp(prefix="spark-shared-"))
+        named = _own_folder[0]
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared").rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/netsift/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/netsift/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete all tables that keep() wrote in this application; call it when results that read them are written or collected."""
+    remove(spark, f"{shared_folder(spark)}/netsift/{spark.sparkContext.applicationId}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def keep(df: DataFrame, name: str) -> DataFrame:
@@ -48,9 +60,7 @@ def forget(df: DataFrame | None) -> None:
     """Delete a table that keep() wrote, when nothing reads it any more."""
     path = getattr(df, "_kept_at", None)
     if path:
-        spark = df.sparkSession
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        remove(df.sparkSession, path)
 
 
 def release(spark: SparkSession) -> None:
@@ -88,15 +98,15 @@ def held_out(doc_id, folds: int, fold: int):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut record batches so that a piece has about SLICE_BYTES of the column, or one row."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut record batches so that a piece has about as many bytes of the column, or one row."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        if sizes.sum() <= SLICE_BYTES:
+        if sizes.sum() <= most:
             if len(sizes):
                 yield batch
             continue
-        piece = (np.cumsum(sizes) - 1) // SLICE_BYTES
+        piece = (np.cumsum(sizes) - 1) // most
         cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(sizes)]
         for a, b in zip(cuts, cuts[1:]):
             yield batch.slice(a, b - a)
