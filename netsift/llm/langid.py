@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .common import held_out, slices, smallest
 
 WINDOW, WIDTHS, FILTERS = 256, (2, 3, 4), 12
-#: Bounds of the training sample: documents (smallest hash of doc_id) and windows of each, evenly spaced.
+#: Bounds of the training sample: documents (smallest hash of doc_id), as many of each language, and windows of each, evenly spaced.
 MOST_DOCS, MOST_WINDOWS = 6_000, 3
 EPOCHS, BATCH, RATE = 6, 128, 0.01
 FOLDS, HELD = 5, 0
@@ -136,7 +136,18 @@ class Network:
 def learn(docs: DataFrame, folds: int = FOLDS, held: int = HELD) -> Network | None:
     """A network from windows of training documents with a language; None if there are none."""
     train = docs.where(~held_out(F.col("doc_id"), folds, held) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    ids = smallest(train.select("doc_id").where("doc_id is not null").distinct(), MOST_DOCS)
+    named = train.where("doc_id is not null").select("doc_id", "lang").distinct()
+    sizes = {r.lang: r.n for r in named.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not sizes:
+        return None
+    # languages that have less than their part leave it to the others
+    part, left, open_ = {}, MOST_DOCS, sorted(sizes, key=lambda v: (sizes[v], v))
+    for i, v in enumerate(open_):
+        part[v] = min(sizes[v], max(left // (len(open_) - i), 1))
+        left -= part[v]
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+    bound = F.create_map(*[F.lit(x) for v in open_ for x in (v, int(part[v] / sizes[v] * (1 << 40)))])
+    ids = smallest(named.where(place < bound[F.col("lang")]).select("doc_id").distinct(), MOST_DOCS)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

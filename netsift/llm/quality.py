@@ -16,8 +16,9 @@ STATS = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines
 SYMBOLS = b"#*$%&|<>"
 #: Trees and rows of each tree; the forest learns from TREES * TREE_ROWS documents at most, those of smallest hash.
 TREES, TREE_ROWS = 100, 256
-#: Of the labelled good documents the forest may reject at most this share.
-MOST_GOOD_LOST = 0.005
+#: Of the labelled good documents the forest may reject at most MOST_GOOD_LOST; a share of them that it rejects must be
+#: worth LOSS times as large a share of the labelled bad ones. Without labelled bad documents it may reject GOOD_ALONE.
+MOST_GOOD_LOST, LOSS, GOOD_ALONE = 0.02, 5.0, 0.005
 BINS = 2000
 
 
@@ -195,21 +196,29 @@ def base_failed():
     return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
 
-def calibrate(rows: DataFrame, labels: DataFrame, most_good_lost: float = MOST_GOOD_LOST) -> float:
-    """The lowest threshold over which at most most_good_lost of the labelled good documents lie; 2 without any.
+def threshold(good: np.ndarray, bad: np.ndarray, most_good_lost: float = MOST_GOOD_LOST, loss: float = LOSS) -> float:
+    """The bound of the score for which the share of bad documents over it less loss times that of good ones is largest.
 
-    Labelled rows are counted by quality and bin of the score; only those counts come to the driver.
+    good, bad: labelled documents by bin of the score. At most most_good_lost of the good ones (GOOD_ALONE without bad
+    ones) lie over it; of equally good bounds the highest; 2 without good documents.
     """
-    known = labels.where("quality = 1").select("doc_id").distinct()
-    bins = rows.where(~base_failed()).join(known, "doc_id").groupBy(F.floor(F.col("anomaly") * BINS).cast("int").alias("bin")).agg(F.count("*").alias("n")).collect()
-    counts = np.zeros(BINS + 1)
-    for b, n in bins:
-        counts[min(b, BINS)] += n
-    if not counts.sum():
+    if not good.sum():
         return 2.0
-    above = np.cumsum(counts[::-1])[::-1]
-    fine = np.flatnonzero(above <= most_good_lost * counts.sum())
-    return (fine[0] if len(fine) else BINS + 1) / BINS
+    lost, caught = (np.append(np.cumsum(n[::-1])[::-1], 0) / max(n.sum(), 1) for n in (good, bad))
+    fine = np.flatnonzero(lost <= (most_good_lost if bad.sum() else GOOD_ALONE))
+    gain = caught[fine] - loss * lost[fine] if bad.sum() else -fine
+    return float(fine[len(fine) - 1 - np.argmax(gain[::-1])]) / BINS
+
+
+def calibrate(rows: DataFrame, labels: DataFrame) -> float:
+    """The threshold from all labelled rows that pass the base, counted by quality and bin; only the counts come to the driver."""
+    known = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    part = F.least(F.floor(F.col("anomaly") * BINS), F.lit(BINS)).cast("int").alias("bin")
+    bins = rows.where(~base_failed()).select("doc_id", part).join(known, "doc_id").groupBy("quality", "bin").agg(F.count("*").alias("n")).collect()
+    counts = np.zeros((2, BINS + 1))
+    for quality, at, n in bins:
+        counts[int(quality == 1), at] += n
+    return threshold(counts[1], counts[0])
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -218,7 +227,8 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     base_failed: fewer than 10 words, or over 20 % of the words in repeated five-word windows. Others are kept if their
     anomaly is under the calibrated threshold. Null and empty texts have zero counts and fail the base. doc_id may be null
     or repeated: rows are judged one by one. Columns other than doc_id and text (labels: doc_id, quality) are ignored.
-    Without labelled rows nothing is rejected but by the base; an empty table gives an empty result.
+    A document labelled twice counts by its better label. Without labelled good rows nothing is rejected but by the base; an
+    empty table gives an empty result.
     """
     stats = keep(statistics(docs), "rule-stats")
     rows = keep(scored(stats, fit_forest(stats)), "anomaly")

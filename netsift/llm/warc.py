@@ -16,10 +16,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import keep, new_path
+from .common import forget, keep, new_path, remove, text_bytes
 
 #: Payloads of fewer bytes are always written in full.
 LEAST_BYTES = 100
+#: Bytes of payload in one archive, about, before compression; records of an archive at most.
+ARCHIVE_BYTES, ARCHIVE_RECORDS = 64_000_000, 20_000
 RECORD = "page_id long, url string, record_type string, refers_to long, header_digest string, block_digest string, block_bytes long"
 EOL = "\r\n"
 
@@ -71,9 +73,13 @@ def records(pages: DataFrame, revisits: DataFrame) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, path: str) -> None:
-    """Deduplicated gzipped archives of pages under path."""
+    """Deduplicated gzipped archives of pages under path; pages are dealt out so that each has about ARCHIVE_BYTES."""
     revisits = keep(resolve(headers(pages)), "revisits")
-    (records(pages, revisits).write.option("lineSep", EOL + EOL).option("compression", "gzip").option("maxRecordsPerFile", 20_000).text(path))
+    n = -(-text_bytes(pages, "html") // ARCHIVE_BYTES)
+    rows = records(pages, revisits)
+    rows = rows.repartition(n) if n > 1 else rows
+    rows.write.option("lineSep", EOL + EOL).option("compression", "gzip").option("maxRecordsPerFile", ARCHIVE_RECORDS).text(path)
+    forget(revisits)
 
 
 def _parse(stream) -> Iterator[tuple]:
@@ -137,7 +143,8 @@ def resolved(records: DataFrame) -> DataFrame:
 
 
 def archive_pages(pages: DataFrame) -> DataFrame:
-    """Write pages (page_id, url, html; others ignored) as deduplicated archives in the shared folder and read them back.
+    """Write pages (page_id, url, html; others ignored) as deduplicated archives in the shared folder, read them back and
+    delete them; write_archives() writes some that stay.
 
     Null html is an empty payload, a null url an empty one; control characters and blanks of a url are written %20. A row
     with a null page_id is never an original if another page has its payload. Rows that repeat the smallest page_id are all
@@ -146,4 +153,6 @@ def archive_pages(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     path = new_path(spark, "warc")
     write_archives(pages, path)
-    return resolved(keep(read_archives(spark, path), "records"))
+    out = resolved(keep(read_archives(spark, path), "records"))
+    remove(spark, path)
+    return out

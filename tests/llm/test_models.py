@@ -41,6 +41,14 @@ def test_forest_keeps_good_documents(spark):
     assert sum(good) >= 0.99 * len(good) and sum(bad) < sum(good) / len(good) * len(bad)
 
 
+@pytest.mark.parametrize("folder", [MEDIUM, "/root/testdata/sf0.1"])
+def test_the_language_model_beats_its_base(spark, folder):
+    """Held-out texts have a higher probability under the trained model than under add-one counts, by a tenth of a decade a token."""
+    rows = lblm.score_texts(spark.read.parquet(f"{folder}/documents.parquet")).where("held_out")
+    n, base, own = rows.agg(F.sum("n_tokens"), F.sum("base_score"), F.sum("score")).first()
+    assert own / n > base / n + 0.1, (own / n, base / n)
+
+
 LABELS = "doc_id long, quality int, toxic int"
 OPERATORS = {
     "near_duplicates": lambda d, lab, ben: jaccard.near_duplicates(d), "chunks": lambda d, lab, ben: chunks.dedupe(d), "contaminated": lambda d, lab, ben: decontam.contaminated(d, ben),
