@@ -18,7 +18,7 @@ SYMBOLS = b"#*$%&|<>"
 TREES, TREE_ROWS = 100, 256
 #: Of the labelled good documents the forest may reject at most MOST_GOOD_LOST; a share of them that it rejects must be
 #: worth LOSS times as large a share of the labelled bad ones. Without labelled bad documents it may reject GOOD_ALONE.
-MOST_GOOD_LOST, LOSS, GOOD_ALONE = 0.02, 5.0, 0.005
+MOST_GOOD_LOST, LOSS, GOOD_ALONE = 0.01, 5.0, 0.005
 BINS = 2000
 
 
