@@ -5,6 +5,11 @@ from __future__ import annotations
 VOWELS, CONSONANTS, HEX = "aeiouyAEIOUY", "bcdfghjklmnpqrstvwxyz", "0-9A-Fa-f"
 
 
+def let(value: str, name: str, body: str) -> str:
+    """body with name for value, which is computed once; a lambda's variable is what SQL has for that."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
 def chars(s: str) -> str:
     """Array of the characters of s."""
     return f"regexp_extract_all({s}, '(?s).', 0)"
@@ -12,9 +17,8 @@ def chars(s: str) -> str:
 
 def entropy_of(a: str) -> str:
     """Shannon entropy in bits of the values of array a; 0 for an empty one. Quadratic in the distinct values."""
-    n = f"size({a})"
-    each = f"cast(size(filter({a}, y -> y <=> x)) as double) / {n}"
-    return f"if({n} > 0, abs(aggregate(transform(array_distinct({a}), x -> {each}), 0D, (z, p) -> z - p * log2(p))), 0D)"
+    each = "cast(size(filter(_e, y -> y <=> x)) as double) / size(_e)"
+    return let(a, "_e", f"if(size(_e) > 0, abs(aggregate(transform(array_distinct(_e), x -> {each}), 0D, (z, p) -> z - p * log2(p))), 0D)")
 
 
 def norm_entropy(s: str) -> str:
@@ -36,9 +40,9 @@ def simhash32(s: str) -> str:
 
     An empty string gives 4294967295.
     """
-    low = "cast(conv(substr(md5(x), 25, 8), 16, 10) as bigint)"
-    vote = f"aggregate({chars(s)}, 0, (k, x) -> k + if((shiftright({low}, i) & 1) = 1, 1, -1))"
-    return f"aggregate(sequence(0, 31), 0L, (z, i) -> z + if({vote} >= 0, shiftleft(1L, i), 0L))"
+    low = f"transform({chars(s)}, x -> cast(conv(substr(md5(x), 25, 8), 16, 10) as bigint))"
+    vote = "aggregate(_m, 0, (k, x) -> k + if((shiftright(x, i) & 1) = 1, 1, -1))"
+    return let(low, "_m", f"aggregate(sequence(0, 31), 0L, (z, i) -> z + if({vote} >= 0, shiftleft(1L, i), 0L))")
 
 
 def md5_mod(s: str) -> str:
@@ -85,8 +89,8 @@ def mean_of(a: str, default: str = "0D") -> str:
 
 def stddev_of(a: str, default: str = "0D") -> str:
     """Population standard deviation; default for at most one value."""
-    m = f"(aggregate({a}, 0D, (z, x) -> z + x) / size({a}))"
-    return f"if(size({a}) > 1, sqrt(aggregate({a}, 0D, (z, x) -> z + (x - {m}) * (x - {m})) / size({a})), {default})"
+    spread = let(f"aggregate({a}, 0D, (z, x) -> z + x) / size({a})", "_mean", f"sqrt(aggregate({a}, 0D, (z, x) -> z + (x - _mean) * (x - _mean)) / size({a}))")
+    return f"if(size({a}) > 1, {spread}, {default})"
 
 
 def mode_share(a: str) -> str:

@@ -21,21 +21,26 @@ def email_extras(txt: Column) -> Column:
 def ip_records(ips: Column, results: Column) -> Column:
     """A struct for each DNS address: asn, as_address, rdap, geo, average_rtt and reputation from the map of results.
 
-    A reputation of 0 counts as missing, -1.
+    A collector that failed has no data. The round-trip time is weighted over all collectors whose name begins with rtt, 0
+    without any answer. A reputation of 0 counts as missing, -1.
     """
 
     def one(x: Column) -> Column:
         own = results[x["ip"]]
-        ok = lambda c, f: F.when(own[c]["statusCode"] == 0, own[c]["data"][f])
-        rep = ok("nerd", "reputation")
-        net = F.concat_ws("/", F.regexp_replace(ok("geo-asn", "networkAddress"), "^/", ""), ok("geo-asn", "prefixLength").cast("string"))
+        of = lambda c, f: own[c]["data"][f]
+        rep = of("nerd", "reputation")
+        net = F.concat_ws("/", F.regexp_replace(of("geo-asn", "networkAddress"), "^/", ""), of("geo-asn", "prefixLength").cast("string"))
+        answers = F.filter(F.map_values(F.map_filter(own, lambda k, _: k.startswith("rtt"))), lambda r: r["statusCode"] == 0)
+        count = F.aggregate(answers, F.lit(0.0), lambda z, r: z + F.coalesce(r["data"]["received"], F.lit(0)))
+        total = F.aggregate(answers, F.lit(0.0), lambda z, r: z + F.coalesce(r["data"]["avg"] * r["data"]["received"], F.lit(0.0)))
+        version = of("rdap-ip", "ipVersion")
         return F.struct(
-            x["ip"].alias("ip"), x["rrType"].alias("from_record"), ok("geo-asn", "asn").alias("asn"), F.when(ok("geo-asn", "networkAddress").isNotNull(), net).alias("as_address"),
-            ok("geo-asn", "countryCode").alias("country"), ok("geo-asn", "latitude").alias("latitude"), ok("geo-asn", "longitude").alias("longitude"), ok("rtt", "avg").alias("average_rtt"),
-            F.when(rep.isNull() | (rep == 0), -1.0).otherwise(rep).alias("reputation"), F.struct(ok("rdap-ip", "ipVersion").alias("ip_version"), ok("rdap-ip", "prefixLen").alias("prefix_len"), ok("rdap-ip", "adminName").alias("admin_name"), ok("rdap-ip", "adminEmail").alias("admin_email")).alias("rdap"),
+            x["ip"].alias("ip"), x["rrType"].alias("from_record"), of("geo-asn", "asn").alias("asn"), F.when(of("geo-asn", "networkAddress").isNotNull(), net).alias("as_address"),
+            of("geo-asn", "countryCode").alias("country"), of("geo-asn", "latitude").alias("latitude"), of("geo-asn", "longitude").alias("longitude"), F.when(count > 0, total / count).otherwise(0.0).alias("average_rtt"),
+            F.when(rep.isNull() | (rep == 0), -1.0).otherwise(rep).alias("reputation"), F.struct(F.regexp_replace(version, "^v(?=[46]$)", "").alias("ip_version"), of("rdap-ip", "prefixLen").alias("prefix_len"), of("rdap-ip", "adminName").alias("admin_name"), of("rdap-ip", "adminEmail").alias("admin_email")).alias("rdap"),
         )
 
-    return F.transform(ips, one)
+    return F.transform(F.coalesce(ips, F.array().cast("array<struct<ip:string,rrType:string>>")), one)
 
 
 def flatten_geo(data: Column) -> dict[str, Column]:
@@ -47,30 +52,38 @@ def flatten_geo(data: Column) -> dict[str, Column]:
 def flat_record(merged: DataFrame) -> DataFrame:
     """domain_name and the columns of features from domain, zone, dnsResult, tlsResult, rdapDomainResult and ipResults."""
     dns = "dnsResult.dnsData"
+    soa = F.col("zone.soa")
+    names = {"primary_ns": "primaryNS", "resp_mailbox_dname": "respMailboxDname", "refresh": "refresh", "retry": "retry", "expire": "expire", "min_ttl": "minTTL"}
     rows = merged.select(
-        F.col("domain").alias("domain_name"), F.col("zone.zone").alias("dns_zone"), F.col("zone.soa").alias("_soa"), F.timestamp_millis("dnsResult.lastAttempt").alias("dns_evaluated_on"), F.map_values(f"{dns}.ttlValues").alias("dns_ttls"),
-        *[F.col(f"{dns}.{x}").alias(f"dns_{x}") for x in ("A", "AAAA", "CNAME", "NS", "TXT")], F.transform(f"{dns}.MX", lambda x: F.struct(x["value"].alias("name"), x["priority"])).alias("dns_MX"),
+        F.col("domain").alias("domain_name"), F.col("zone.zone").alias("dns_zone"), F.when(soa.isNotNull(), F.struct(*[soa[v].alias(k) for k, v in names.items()])).alias("_soa"), F.timestamp_millis("dnsResult.lastAttempt").alias("dns_evaluated_on"),
+        F.map_values(f"{dns}.ttlValues").alias("dns_ttls"), *[F.col(f"{dns}.{x}").alias(f"dns_{x}") for x in ("A", "AAAA", "NS", "TXT")], F.col(f"{dns}.CNAME.value").alias("dns_CNAME"),
+        F.transform(f"{dns}.MX", lambda x: F.struct(x["value"].alias("name"), x["priority"])).alias("dns_MX"),
         # the flag is looked for beside the DNS data, where it never is
-        F.lit(0).alias("dns_has_dnskey"), F.col("tlsResult.tlsData").alias("tls"), F.col("tlsResult.html").alias("html"), F.timestamp_millis("rdapDomainResult.lastAttempt").alias("rdap_evaluated_on"),
-        F.col("rdapDomainResult.rdapData").alias("_rdap"), ip_records(F.col("dnsResult.ips"), F.col("ipResults")).alias("ip_data"),
+        F.lit(0).alias("dns_has_dnskey"), F.col("tlsResult.tlsData").alias("tls"), F.coalesce("tlsResult.html", F.lit("")).alias("html"), F.timestamp_millis("rdapDomainResult.lastAttempt").alias("rdap_evaluated_on"),
+        F.col("rdapDomainResult").alias("_rdap"), ip_records(F.col("dnsResult.ips"), F.col("ipResults")).alias("ip_data"),
     )
     rows = rows.withColumns(soa_split(F.col("domain_name"), F.col("dns_zone"), F.col("_soa")) | {"dns_email_extras": email_extras(F.col("dns_TXT"))} | flatten_geo(F.col("ip_data")))
-    return rdap_columns(rows, F.col("_rdap")).drop("_soa", "_rdap")
+    rows = rdap_columns(rows, F.col("_rdap.rdapData"), F.col("_rdap.entities"))
+    dates = whois_dates(whois_fields(F.col("_rdap.whoisParsed")), F.col("_rdap.whoisRaw"))
+    no_rdap = F.col("_rdap.rdapData").isNull()
+    return rows.withColumns({c: F.when(no_rdap, dates[k]).otherwise(F.col(c)) for k, c in (("created", "rdap_registration_date"), ("expires", "rdap_expiration_date"), ("updated", "rdap_last_changed_date"))}).drop("_soa", "_rdap")
 
 
 RDAP = "events array<map<string,string>>, entities array<struct<roles: string, vcardArray: string, entities: string>>, secureDNS struct<delegationSigned: boolean>"
 
 
-def rdap_columns(df: DataFrame, body: Column) -> DataFrame:
+def rdap_columns(df: DataFrame, body: Column, entities: Column | None = None) -> DataFrame:
     """Dates, roles and the DNSSEC flag from an RDAP body (JSON text): what can't be read is null.
 
-    Event keys come in case variants, roles as text or as objects with a value.
+    Event keys come in case variants, roles as text or as objects with a value. Entities that were asked for one by one
+    (JSON text) stand for those in the body.
     """
     got = F.from_json(body, RDAP)
+    own = got["entities"] if entities is None else F.coalesce(F.from_json(entities, "array<struct<roles: string, vcardArray: string, entities: string>>"), got["entities"])
     date = lambda action: F.get(F.filter(got["events"], lambda e: F.lower(F.coalesce(e["eventAction"], e["EventAction"], e["eventaction"])) == action), 0)
     when = lambda action: F.try_to_timestamp(F.coalesce(date(action)["eventDate"], date(action)["EventDate"], date(action)["eventdate"]))
     return df.withColumns(
-        {"rdap_registration_date": when("registration"), "rdap_expiration_date": when("expiration"), "rdap_last_changed_date": when("last changed"), "rdap_dnssec": got["secureDNS"]["delegationSigned"], "rdap_entities": entities_by_role(got["entities"])}
+        {"rdap_registration_date": when("registration"), "rdap_expiration_date": when("expiration"), "rdap_last_changed_date": when("last changed"), "rdap_dnssec": got["secureDNS"]["delegationSigned"], "rdap_entities": entities_by_role(own)}
     )
 
 
@@ -87,11 +100,27 @@ def entities_by_role(entities: Column) -> Column:
     return F.map_from_entries(F.transform(roles, lambda r: F.struct(r.alias("role"), F.transform(F.filter(one, lambda x: F.array_contains(x["roles"], r)), lambda x: x["e"]).alias("of"))))
 
 
-def whois_dates(parsed: Column) -> dict[str, Column]:
+def whois_fields(parsed: Column) -> Column:
+    """WHOIS fields from JSON text: a map of names to arrays of text, for values that are one text or a list."""
+    return F.transform_values(F.from_json(parsed, "map<string,string>"), lambda _, v: F.coalesce(F.from_json(v, "array<string>"), F.array(v)))
+
+
+# How lines of a WHOIS answer begin that hold the dates.
+WHOIS_LINES = {"created": "creation date|created|created on|registered on", "expires": "registry expiry date|registrar registration expiration date|expiration date|expiry date|expires|paid-till", "updated": "updated date|last updated|last-update|last modified|changed"}
+
+
+def whois_dates(parsed: Column, raw: Column | None = None) -> dict[str, Column]:
     """created, expires, updated from WHOIS fields (map of text to array of text): the first creation date, the last other
-    ones; two spellings of each; no ISO date is null."""
-    pick = lambda names, at: F.try_to_timestamp(F.try_element_at(F.coalesce(*[parsed[n] for n in names]), F.lit(at)))
-    return {"created": pick(("creation_date", "created"), 1), "expires": pick(("expiration_date", "expires"), -1), "updated": pick(("updated_date", "updated"), -1)}
+    ones; two spellings of each; what the fields lack is looked for in the answer's text; no ISO date is null."""
+
+    def pick(key: str, names: tuple[str, ...], at: int) -> Column:
+        found = F.try_element_at(F.coalesce(*[parsed[n] for n in names]), F.lit(at))
+        if raw is not None:
+            lines = F.regexp_extract_all(raw, F.lit(rf"(?im)^\s*(?:{WHOIS_LINES[key]})\s*:\s*(\S+)"), F.lit(1))
+            found = F.coalesce(found, F.try_element_at(lines, F.lit(at)))
+        return F.try_to_timestamp(found)
+
+    return {"created": pick("created", ("created_date", "created", "creation_date"), 1), "expires": pick("expires", ("expires_date", "expires", "expiration_date"), -1), "updated": pick("updated", ("updated_date", "updated"), -1)}
 
 
 def strip_empty(fields: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from netsift.functions import domains as d
 from netsift.functions import text as t
@@ -28,16 +29,19 @@ def part_columns(s: str, prefix: str) -> dict[str, str]:
 def ngram_matches(df: DataFrame, ngrams: DataFrame | None, s: str = "_sub") -> DataFrame:
     """Columns lex_<dict>_<n>gram_matches: dictionary n-grams that s contains, each counted once; 0 without a dictionary.
 
-    ngrams: dict, n, ngram. Each dictionary becomes one array in one row, joined to all rows: the tables hold the most
-    frequent n-grams of a class and are bounded by that; larger ones belong into an exploded join.
+    ngrams: dict, n, ngram. Each distinct s gives its n-grams as rows, which meet the dictionaries in an equi-join, however
+    large these are.
     """
-    wanted = [(k, word, n) for k, sizes in DICTIONARIES.items() for word, n in sizes.items()]
+    wanted = [(f"lex_{k}_{word}gram_matches", k, n) for k, sizes in DICTIONARIES.items() for word, n in sizes.items()]
     if ngrams is None:
-        return df.selectExpr("*", *[f"0 as lex_{k}_{word}gram_matches" for k, word, _ in wanted])
-    sets = ngrams.selectExpr(*[f"collect_set(case when dict = '{k}' and n = {n} then ngram end) as _{k}{n}" for k, _, n in wanted])
-    joined = df.crossJoin(sets)  # one row
-    out = joined.selectExpr("*", *[f"size(array_intersect({t.ngrams(s, n)}, _{k}{n})) as lex_{k}_{word}gram_matches" for k, word, n in wanted])
-    return out.drop(*[f"_{k}{n}" for k, _, n in wanted])
+        return df.selectExpr("*", *[f"0 as {name}" for name, *_ in wanted])
+    lengths = sorted({n for *_, n in wanted})
+    each = ", ".join(f"transform({t.ngrams(s, n)}, g -> named_struct('n', {n}, 'ngram', g))" for n in lengths)
+    own = df.where(F.col(s).isNotNull()).select(s).distinct().selectExpr(s, f"inline(concat({each}))")
+    hits = own.join(ngrams.select("dict", "n", "ngram").distinct(), ["n", "ngram"]).groupBy(s)
+    counts = hits.agg(*[F.count_if((F.col("dict") == k) & (F.col("n") == n)).cast("int").alias(name) for name, k, n in wanted])
+    out = df.join(counts.withColumnRenamed(s, "_s"), F.col(s) == F.col("_s"), "left").drop("_s")
+    return out.withColumns({name: F.when(F.col(s).isNotNull(), F.coalesce(name, F.lit(0))) for name, *_ in wanted})
 
 
 def lexical_features(df: DataFrame, suffixes: DataFrame | None = None, ngrams: DataFrame | None = None) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Lookups of domains and addresses in tables: all equi-joins, ranges by buckets of their leading bits."""
+"""Lookups of domains and addresses in tables: all equi-joins, networks by their leading bits."""
 
 from __future__ import annotations
 
@@ -34,27 +34,30 @@ def known_names(seeds: DataFrame, known: DataFrame, force: bool = False) -> tupl
     return fresh, counts
 
 
-def _bucketed(networks: DataFrame) -> DataFrame:
-    """Networks with the 16-bit buckets that they reach into; shorter prefixes reach into several."""
-    part = lambda c: F.conv(F.substring(c, 1, 4), 16, 10).cast("int")
-    return networks.withColumn("_b", F.explode(F.sequence(part("ip_start"), part("ip_end"))))
-
-
 def range_lookup(addresses: DataFrame, networks: DataFrame, ip: str = "ip", out: str = "network") -> DataFrame:
     """addresses with struct ``out``: the network with the longest prefix that holds the address; null if none does.
 
-    networks: version, ip_start, ip_end (hex), prefix_len, others. Addresses are looked up once each, by version and the
-    leading 16 bits, so that the range condition is tried only within a bucket.
+    networks: version, ip_start, ip_end (hex), prefix_len, others. A network is the addresses that share its first prefix_len
+    bits, so this is an equi-join: each distinct address is asked once for every prefix length that its version has (the
+    lengths are a table of at most 162 rows). The longest wins, of equals the one that starts last.
     """
-    hexed = addresses.select(ip).distinct().withColumn("_x", address_hex(F.col(ip))).where("_x is not null")
-    keys = hexed.withColumns({"_v": F.when(F.length("_x") == 8, 4).otherwise(6), "_b": F.conv(F.substring("_x", 1, 4), 16, 10).cast("int")})
-    nets = _bucketed(networks).withColumnRenamed("version", "_v")
-    kept = [c for c in networks.columns if c not in ("version",)]
-    hit = keys.join(nets, ["_v", "_b"]).where((F.col("_x") >= F.col("ip_start")) & (F.col("_x") <= F.col("ip_end")))
+    lengths = networks.select(F.col("version").alias("_v"), F.col("prefix_len").alias("_p")).distinct().groupBy("_v").agg(F.collect_set("_p").alias("_ps"))
+    hexed = addresses.select(ip).distinct().withColumn("_x", address_hex(F.col(ip))).where("_x is not null").withColumn("_v", F.when(F.length("_x") == 8, 4).otherwise(6))
+    keys = hexed.join(F.broadcast(lengths), "_v").select(ip, "_v", "_x", F.explode("_ps").alias("_p")).select(ip, "_v", "_p", _leading(F.col("_x"), F.col("_p")).alias("_k"))
+    nets = networks.withColumns({"_v": F.col("version"), "_p": F.col("prefix_len"), "_k": _leading(F.col("ip_start"), F.col("prefix_len"))})
+    kept = [c for c in networks.columns if c != "version"]
+    hit = keys.join(nets, ["_v", "_p", "_k"])
     best = hit.groupBy(ip).agg(F.max_by(F.struct(*kept), F.struct("prefix_len", "ip_start")).alias(out))
     return addresses.join(best, ip, "left")
 
 
+def _leading(hexed: Column, bits: Column) -> Column:
+    """The first bits of a number in hex, as its whole leading digits and what is left of the next one."""
+    whole, left = F.floor(bits / 4).cast("int"), F.pmod(bits, F.lit(4)).cast("int")
+    digit = F.conv(F.substring(hexed, whole + 1, F.lit(1)), 16, 10).cast("int")
+    return F.concat(F.substring(hexed, F.lit(1), whole), F.lit("/"), F.when(left > 0, F.call_function("shiftright", digit, 4 - left)).otherwise(0).cast("string"))
+
+
 def geo_asn(addresses: DataFrame, cities: DataFrame, networks: DataFrame, ip: str = "ip") -> DataFrame:
     """addresses with geo, asn and status_code: both tables are searched independently; neither found is NOT_FOUND."""
     rows = range_lookup(range_lookup(addresses, cities, ip, "geo"), networks, ip, "asn")

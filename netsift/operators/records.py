@@ -15,6 +15,7 @@ from netsift.functions import text as t
 VERIFIERS = ("google-site-verification=", "ms=", "apple-domain-verification=", "facebook-domain-verification=")
 BAD_HOSTING_COUNTRIES = (187, 144, 37, 24, 192, 184, 78)
 UNKNOWN_COUNTRY = 300
+MOST_COUNTRIES = 10_000
 TLS_VERSIONS = {"TLSv1": 0, "TLSv1.1": 1, "TLSv1.2": 2, "TLSv1.3": 3}
 TLS_CIPHERS = {
     "ECDHE-RSA-AES128-GCM-SHA256": 0, "TLS_AES_128_GCM_SHA256": 1, "TLS_AES_256_GCM_SHA384": 2, "ECDHE-ECDSA-CHACHA20-POLY1305": 3, "ECDHE-RSA-AES128-SHA": 3,
@@ -110,11 +111,13 @@ def ip_features(df: DataFrame) -> DataFrame:
 def geo_features(df: DataFrame, country_ids: DataFrame) -> DataFrame:
     """18 geo_ columns from countries, latitudes, longitudes (arrays); country_ids: country, id.
 
-    country_ids is a table of a few hundred rows and becomes one map in one row. Continents are looked up by name where
+    country_ids is a table of a few hundred rows and becomes one map in one row; more than MOST_COUNTRIES stop the job. Continents are looked up by name where
     codes are given, so every country lies on continent 0: the count is 1 and the hash 0. The hash of countries takes ids
     in ascending order, an id over the table's size doubling it.
     """
-    one = country_ids.agg(F.map_from_entries(F.collect_list(F.struct("country", "id"))).alias("_ids"), F.count("*").alias("_n"))
+    few = country_ids.limit(MOST_COUNTRIES + 1)
+    one = few.agg(F.map_from_entries(F.collect_list(F.struct("country", "id"))).alias("_ids"), F.count("*").alias("_n"))
+    one = one.where(F.assert_true(F.col("_n") <= MOST_COUNTRIES, F.lit("country_ids has too many rows")).isNull())
     df = df.crossJoin(one).selectExpr("*", f"array_sort(array_distinct(transform(countries, x -> coalesce(element_at(_ids, x), {UNKNOWN_COUNTRY})))) as _own")
     some = "coalesce(size(countries) > 0, false)"
     cols = {
@@ -133,7 +136,7 @@ def geo_features(df: DataFrame, country_ids: DataFrame) -> DataFrame:
 
 
 def tls_features(df: DataFrame, as_of: Column) -> DataFrame:
-    """25 tls_ columns from tls: struct(protocol, cipher, certs array<struct<not_before, not_after, issuer_org, issuer_cn,
+    """24 tls_ columns from tls: struct(protocol, cipher, certs array<struct<not_before, not_after, issuer_org, issuer_cn,
     extensions array<struct<oid, critical>>, san, eku, policies, is_ca, aki, ski>>>).
 
     The chain is folded up to its first certificate of negative validity (broken) or that has expired. A certificate that
@@ -141,12 +144,13 @@ def tls_features(df: DataFrame, as_of: Column) -> DataFrame:
     """
     seconds = "86400D"
     full = "filter(tls.certs, c -> c is not null)"
-    days = f"transform({full}, c -> named_struct('c', c, 'valid', cast(bround((unix_seconds(c.not_after) - unix_seconds(c.not_before)) / {seconds}) as bigint), 'life', cast(bround((_now - unix_seconds(c.not_before)) / {seconds}) as bigint), 'left', cast(bround((unix_seconds(c.not_after) - _now) / {seconds}) as bigint)))"
+    days = f"transform({full}, c -> named_struct('c', c, 'valid', cast(bround((unix_seconds(c.not_after) - unix_seconds(c.not_before)) / {seconds}) as bigint), 'left', cast(bround((unix_seconds(c.not_after) - _now) / {seconds}) as bigint)))"
     df = df.withColumn("_now", F.unix_seconds(as_of.cast("timestamp"))).selectExpr("*", f"{days} as _all")
     stop = "filter(sequence(1, size(_all)), i -> _all[i - 1].valid < 0 or _all[i - 1].left < 0)"
     df = df.selectExpr("*", f"if(size(_all) > 0, coalesce(array_min({stop}), 0), 0) as _stop")
     df = df.selectExpr("*", "if(_stop > 0, slice(_all, 1, _stop - 1), _all) as _ok", "if(_stop > 0, _stop, size(_all)) as _seen")
     total = lambda f: f"aggregate(_ok, 0, (z, x) -> z + {f})"
+    with_policies = "cast(coalesce(size(x.c.policies) > 0, false) as int)"
     policies = "flatten(transform(_ok, x -> coalesce(x.c.policies, cast(array() as array<string>))))"
     usage = "flatten(transform(_ok, x -> coalesce(x.c.eku, cast(array() as array<string>))))"
     ext = "if(x.c.extensions is null, 0, size(x.c.extensions))"
@@ -157,15 +161,15 @@ def tls_features(df: DataFrame, as_of: Column) -> DataFrame:
         "tls_chain_len": "size(_all)", "tls_is_self_signed": f"cast(coalesce({leaf}.c.aki = {leaf}.c.ski, false) as int)",
         "tls_root_authority_hash": t.md5_mod(f"coalesce({root}.c.issuer_org, '')"), "tls_leaf_authority_hash": t.md5_mod(f"coalesce({leaf}.c.issuer_org, '')"),
         "tls_negotiated_version_id": f"coalesce(element_at({_map(TLS_VERSIONS)}, tls.protocol), 0)", "tls_negotiated_cipher_id": f"coalesce(element_at({_map(TLS_CIPHERS)}, tls.cipher), 0)",
-        "tls_root_cert_validity_len": f"coalesce({root}.valid, -1)", "tls_leaf_cert_validity_len": f"coalesce({leaf}.valid, -1)", "tls_root_cert_lifetime": f"coalesce({root}.life, -1)", "tls_leaf_cert_lifetime": f"coalesce({leaf}.life, -1)",
-        "tls_mean_certs_validity_len": "coalesce(bround(aggregate(_ok, 0D, (z, x) -> z + x.valid) / nullif(size(_ok), 0), 1), -1D)",
+        "tls_root_cert_validity_len": f"coalesce({root}.valid, -1)", "tls_leaf_cert_validity_len": f"coalesce({leaf}.valid, -1)",
         "tls_broken_chain": "cast(_stop > 0 and _all[_stop - 1].valid < 0 as int)", "tls_expired_chain": "cast(_stop > 0 and _all[_stop - 1].valid >= 0 as int)",
         # both counters begin at -1
         "tls_total_extension_count": f"{total(ext)} - 1", "tls_critical_extensions": f"{total('if(x.c.extensions is null, 0, size(filter(x.c.extensions, e -> e.critical)))')} - 1",
-        "tls_percentage_crt_with_policies": f"{total('cast(coalesce(size(x.c.policies) > 0, false) as int)')} / _seen",
+        "tls_with_policies_crt_count": total(with_policies), "tls_percentage_crt_with_policies": f"{total(with_policies)} / _seen",
         "tls_x509_anypolicy_crt_count": "0", "tls_iso_policy_crt_count": f"size(filter({policies}, p -> startswith(p, '1.')))", "tls_joint_isoitu_policy_crt_count": f"size(filter({policies}, p -> startswith(p, '2.')))",
         "tls_subject_count": f"if(size(filter({sans}, a -> size(a) > 0)) > 0, size(element_at(filter({sans}, a -> size(a) > 0), -1)), 0)", "tls_server_auth_crt_count": f"size(filter({usage}, u -> u = 'serverAuth'))", "tls_client_auth_crt_count": f"size(filter({usage}, u -> u = 'clientAuth'))",
         "tls_CA_certs_in_chain_ratio": f"{total('cast(coalesce(x.c.is_ca, false) as int)')} / _seen", "tls_unique_SLD_count": f"size(array_distinct(filter(flatten({sans}), n -> length(n) >= 2)))",
+        "tls_common_name_count": total("cast(x.c.issuer_cn is not null as int)"),
     }
     has = "coalesce(size(_all) > 0, false)"
     return df.selectExpr("*", f"{has} as tls_has_tls", *[f"if({has}, {v}, null) as {k}" for k, v in cols.items()]).drop("_now", "_all", "_stop", "_ok", "_seen")

@@ -111,14 +111,27 @@ def lexical_core(spark, sf_dir):
     return rounded(out.drop("lex_consecutive_chars", *[c for c in out.columns if c.endswith("gram_matches")]))
 
 
-@query()
+def _duck_grams(s: str) -> str:
+    return f"unnest(list_distinct(list_transform(range(1, greatest(length({s}) - n + 1, 1) + 1), lambda i: substr({s}, i, n))))"
+
+
+_RUNS = "|".join([*(f"{c}+" for c in "abcdefghijklmnopqrstuvwxyz0123456789"), "-+", "[.]+"])
+_GRAM_COLUMNS = ", ".join(f"(count(*) FILTER (WHERE dict = '{k}' AND n = {n}))::INTEGER AS lex_{k}_{word}gram_matches" for k, sizes in lx.DICTIONARIES.items() for word, n in sizes.items())
+_GRAM_NAMES = ", ".join(f"coalesce(lex_{k}_{word}gram_matches, 0)::INTEGER AS lex_{k}_{word}gram_matches" for k, sizes in lx.DICTIONARIES.items() for word in sizes)
+
+
+@query(
+    f"""WITH core AS ({LEXICAL_SQL}), subs AS (WITH {SPLIT_SQL} SELECT page_id, replace(subdomain, '.', '') || sld AS sub FROM parts), sizes AS (SELECT unnest([2, 3, 4, 5]) AS n),
+    names AS (SELECT CASE p_partkey % 3 WHEN 0 THEN 'phishing' WHEN 1 THEN 'malware' ELSE 'dga' END AS dict, p_partkey, lower(replace(p_name, ' ', '')) AS s FROM part),
+    known AS (SELECT dict, n, gram FROM (SELECT dict, n, {_duck_grams("s")} AS gram FROM names, sizes) GROUP BY ALL HAVING count(*) > 1),
+    own AS (SELECT page_id, n, {_duck_grams("sub")} AS gram FROM subs, sizes), hits AS (SELECT page_id, {_GRAM_COLUMNS} FROM own JOIN known USING (n, gram) GROUP BY 1)
+    SELECT core.*, coalesce(list_max(list_transform(regexp_extract_all(domain_name, '{_RUNS}'), lambda x: length(x))), 0)::INTEGER AS lex_consecutive_chars, {_GRAM_NAMES} FROM core LEFT JOIN hits USING (page_id)"""
+)
 def lexical_features(spark, sf_dir):
     """All 62 columns; the dictionaries are the n-grams of the part names that stand in several of them."""
     names = read(spark, sf_dir, "part").selectExpr("lower(replace(p_name, ' ', '')) as s", "case pmod(p_partkey, 3) when 0 then 'phishing' when 1 then 'malware' else 'dga' end as dict")
-    grams = None
-    for n in (2, 3, 4, 5):
-        g = names.selectExpr("dict", f"{n} as n", f"explode({t.ngrams('s', n)}) as ngram").groupBy("dict", "n", "ngram").agg(F.count("*").alias("freq")).where("freq > 1")
-        grams = g if grams is None else grams.unionByName(g)
+    each = ", ".join(f"transform({t.ngrams('s', n)}, g -> named_struct('n', {n}, 'ngram', g))" for n in (2, 3, 4, 5))
+    grams = names.selectExpr("dict", f"inline(concat({each}))").groupBy("dict", "n", "ngram").agg(F.count("*").alias("freq")).where("freq > 1")
     return rounded(lx.lexical_features(hosts(spark, sf_dir), ngrams=grams))
 
 
@@ -127,8 +140,9 @@ def lexical_features(spark, sf_dir):
     SELECT page_id, count(ngram) AS bigram_matches FROM hosts LEFT JOIN g ON contains(s, ngram) GROUP BY page_id"""
 )
 def F10_ngram_matches(spark, sf_dir):
-    rows = hosts(spark, sf_dir).selectExpr("page_id", f"{t.ngrams('domain_name', 2)} as grams")
-    return rows.selectExpr("page_id", "cast(size(array_intersect(grams, array('th', 'ex', 'er', 'co', 'zz'))) as bigint) as bigram_matches")
+    grams = spark.sql("SELECT 'phishing' AS dict, 2 AS n, ngram FROM VALUES ('th'), ('ex'), ('er'), ('co'), ('zz') AS t(ngram)")
+    out = lx.ngram_matches(hosts(spark, sf_dir), grams, "domain_name")
+    return out.select("page_id", F.col("lex_phishing_bigram_matches").cast("bigint").alias("bigram_matches"))
 
 
 @query(

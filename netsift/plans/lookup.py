@@ -118,13 +118,11 @@ def P8_rdap_target(spark, sf_dir):
 _LINES = "WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL), w AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '# ' || line WHEN 1 THEN substr(line, 1, 5) || ' www.site' || doc_id || '.example.com/x' WHEN 2 THEN '' ELSE line END AS line FROM l)"
 
 
-@query(_LINES + r""" SELECT doc_id, regexp_extract(line, '(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z][A-Za-z0-9-]{0,61}[A-Za-z0-9]') AS name, count(*) AS n FROM w WHERE trim(line) <> '' AND NOT regexp_matches(line, '^\s*(#|;|//)') AND name <> '' GROUP BY 1, 2""")
+@query(_LINES + r""" SELECT regexp_extract(line, '(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z][A-Za-z0-9-]{0,61}[A-Za-z0-9]') AS name, 'listed' AS category, count(*) AS n FROM w WHERE trim(line) <> '' AND NOT regexp_matches(line, '^\s*(#|;|//)') AND name <> '' GROUP BY 1, 2""")
 def S7_plain_list(spark, sf_dir):
     lines = read(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
     value = "case doc_id % 4 when 0 then concat('# ', line) when 1 then concat(substr(line, 1, 5), ' www.site', doc_id, '.example.com/x') when 2 then '' else line end"
-    rows = lines.selectExpr("doc_id", f"{value} as value")
-    kept = rows.select("doc_id", F.trim("value").alias("line")).where((F.col("line") != "") & ~F.col("line").rlike(r.COMMENT))
-    return kept.select("doc_id", F.regexp_extract("line", r.HOST, 0).alias("name")).where("name <> ''").groupBy("doc_id", "name").agg(F.count("*").alias("n"))
+    return r.plain_list(lines.selectExpr("doc_id", f"{value} as value"), "listed").groupBy("name", "category").agg(F.count("*").alias("n"))
 
 
 @query(
@@ -168,6 +166,33 @@ def P5_P11_ips_from_records(spark, sf_dir):
     return ro.ips_from_records(records(spark, sf_dir))
 
 
+@query(_REC + ", u AS (SELECT domain, unnest(a) AS ip FROM r WHERE domain % 4 <> 0) SELECT domain, ip, count(*) AS n FROM u GROUP BY ALL")
+def P5_route_dns_ips(spark, sf_dir):
+    rows = records(spark, sf_dir).select("domain", F.col("A").alias("ips"), F.when(F.col("domain") % 4 == 0, 10).otherwise(0).alias("status_code"))
+    return ro.route_dns_ips(rows).groupBy("domain", "ip").agg(F.count("*").alias("n"))
+
+
+@query("SELECT 'd' || o_custkey AS domain, epoch_us(min(o_orderdate)::TIMESTAMP) AS last_update_us FROM orders WHERE o_custkey % 4 <> 0 GROUP BY 1")
+def O3_new_domains(spark, sf_dir):
+    merged = read(spark, sf_dir, "orders").selectExpr("concat('d', o_custkey) as domain", "cast(o_orderdate as timestamp) as last_update")
+    stored = read(spark, sf_dir, "customer").where("c_custkey % 4 = 0").selectExpr("concat('d', c_custkey) as domain")
+    return st.new_domains(merged, stored).select("domain", F.unix_micros("last_update").alias("last_update_us"))
+
+
+@query("SELECT 'd' || o_custkey AS domain, 'qradar' AS collector, max_by(o_orderkey, o_orderkey) AS latest, count(*) FILTER (WHERE o_orderstatus = 'F') > 0 AS failed FROM orders GROUP BY 1")
+def O11_siem_results(spark, sf_dir):
+    rows = read(spark, sf_dir, "orders").selectExpr("concat('d', o_custkey) as domain", "'1.1.1.1' as ip", "timestamp '2024-01-01' as ts", "if(o_orderstatus = 'F', 10, 0) as status_code", "cast(null as string) as error", "cast(o_orderkey as string) as raw", "o_orderkey as offset")
+    found = st.siem_results(rows)
+    failed = found.groupBy("domain").agg((F.max("status_code") > 0).alias("failed"))
+    return st.collection_results(found).join(failed, "domain").select("domain", "collector", F.col("raw").cast("bigint").alias("latest"), "failed")
+
+
+@query("SELECT 'd' || o_orderkey AS domain, o_orderkey * 1000 AS start FROM orders")
+def O14_domain_and_start(spark, sf_dir):
+    rows = read(spark, sf_dir, "orders").selectExpr("concat('d', o_orderkey) as key", "concat('{\"dnsResult\":{\"lastAttempt\":', o_orderkey * 1000, '}}') as value")
+    return st.with_domain_and_start(rows).select(F.col("domainName").alias("domain"), F.col("processingStart").alias("start"))
+
+
 @query(_REC + " SELECT domain, coalesce(list_min(cname), list_min(a), list_min(aaaa)) AS ip FROM r")
 def P6_ip_for_tls(spark, sf_dir):
     return records(spark, sf_dir).select("domain", ro.ip_for_tls().alias("ip"))
@@ -205,12 +230,12 @@ def J10_rdap_entities_resolve(spark, sf_dir):
     return lk.resolve_entities(rec, ents).select("domain", F.array_join(F.transform("entities", lambda x: x["name"]), ",").alias("names"))
 
 
-@query("WITH r AS (SELECT l_orderkey AS k, list(DISTINCT l_suppkey) AS ns, min(l_suppkey) AS p FROM lineitem GROUP BY 1) SELECT k AS zone, array_to_string(list_sort(list_filter(ns, lambda x: x <> p)), ',') AS secondary FROM r")
+@query("WITH r AS (SELECT l_orderkey AS k, list(DISTINCT l_suppkey) AS ns, min(l_suppkey) AS p FROM lineitem GROUP BY 1) SELECT k AS zone, array_to_string(list_sort(list_filter(ns, lambda x: x <> p)), ',') AS secondary, array_to_string(list_sort(list_transform(list_filter(ns, lambda x: x <> p), lambda x: x::VARCHAR)), ',') AS secondary_ips FROM r")
 def J7_zone_nameservers(spark, sf_dir):
     rows = read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("zone")).agg(F.collect_set("l_suppkey").alias("nameservers"), F.min("l_suppkey").alias("primary"))
     rows = rows.selectExpr("zone", "primary", "nameservers", "array(cast(primary as string)) as primary_ips", "map_from_arrays(nameservers, transform(nameservers, x -> array(cast(x as string)))) as nameserver_ips")
     out = lk.zone_nameservers(rows)
-    return out.select("zone", F.array_join(F.transform("secondary", lambda x: x.cast("string")), ",").alias("secondary"))
+    return out.select("zone", F.array_join(F.transform("secondary", lambda x: x.cast("string")), ",").alias("secondary"), F.array_join(F.array_sort("secondary_ips"), ",").alias("secondary_ips"))
 
 
 @query("SELECT o_custkey, max_by(o_orderkey, (o_orderdate, o_orderkey)) AS latest, count(*) AS n FROM orders GROUP BY 1")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,10 +12,11 @@ _own: list[str] = []
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A new path in the folder named in spark.checkpoint.dir; where that is unset, as in tests, in a temporary one."""
+    """A new path in the folder named in spark.checkpoint.dir. Where that is unset: in the warehouse, which all executors
+    share, or, with a local master, in a temporary folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
+    if not base and re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         if not _own:
             _own.append("file://" + tempfile.mkdtemp(prefix="spark-folders-"))
         base = _own[0]
-    return f"{base.rstrip('/')}/netsift-{name}-{uuid.uuid4().hex}"
+    return f"{(base or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/netsift-{name}-{uuid.uuid4().hex}"

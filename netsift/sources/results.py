@@ -22,6 +22,17 @@ def read_folder(spark: SparkSession, path: str, files: int = 1000) -> DataFrame:
     return spark.readStream.schema(RAW).option("maxFilesPerTrigger", files).parquet(path)
 
 
+#: A merged record; certificates come decoded, registration bodies as JSON text.
+MERGED = """zone struct<zone:string, soa:struct<primaryNS:string,respMailboxDname:string,serial:string,refresh:bigint,retry:bigint,expire:bigint,minTTL:bigint>>,
+    dnsResult struct<statusCode:int, error:string, lastAttempt:bigint, ips:array<struct<ip:string,rrType:string>>, dnsData:struct<ttlValues:map<string,bigint>, A:array<string>, AAAA:array<string>,
+        CNAME:struct<value:string,relatedIPs:array<string>>, MX:array<struct<value:string,priority:int,relatedIPs:array<string>>>, NS:array<struct<nameserver:string,relatedIPs:array<string>>>, TXT:array<string>>>,
+    tlsResult struct<statusCode:int, error:string, lastAttempt:bigint, html:string, tlsData:struct<fromIP:string, protocol:string, cipher:string, certs:array<struct<not_before:timestamp, not_after:timestamp, issuer_org:string,
+        issuer_cn:string, extensions:array<struct<oid:string,critical:boolean>>, san:array<string>, eku:array<string>, policies:array<string>, is_ca:boolean, aki:string, ski:string>>>>,
+    rdapDomainResult struct<statusCode:int, error:string, lastAttempt:bigint, rdapTarget:string, rdapData:string, entities:string, whoisStatusCode:int, whoisError:string, whoisRaw:string, whoisParsed:string>,
+    ipResults map<string,map<string,struct<statusCode:int, error:string, lastAttempt:bigint, collector:string, data:struct<asn:bigint, asnOrg:string, networkAddress:string, prefixLength:bigint, countryCode:string,
+        latitude:double, longitude:double, avg:double, received:bigint, reputation:double, ipVersion:string, prefixLen:int, adminName:string, adminEmail:string>>>>""".replace("\n", " ")
+
+
 def status_meta(value: str = "value") -> dict[str, Column]:
     """status_code (-1), error and collector of a result from the top level of its JSON, without decoding the body."""
     get = lambda name: F.get_json_object(value, f"$.{name}")

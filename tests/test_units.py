@@ -1,13 +1,15 @@
 """Hand-computed cases of what SQL oracles don't pin."""
 
 import hashlib
+import json
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from netsift.functions import text as t
 from netsift.operators import conversion as cv
-from netsift.operators import html, lookups, merge, records, routing, scoring, stored
+from netsift.operators import extract, html, lookups, merge, records, routing, scoring, stored
 from netsift.sources import results
 
 
@@ -82,7 +84,8 @@ def test_tls_chain_stops_at_expiry(spark):
     assert (full.tls_chain_len, full.tls_expired_chain, full.tls_broken_chain, full.tls_leaf_cert_validity_len, full.tls_root_cert_validity_len) == (3, 1, 0, 366, -1)
     assert (full.tls_total_extension_count, full.tls_critical_extensions, full.tls_subject_count, full.tls_CA_certs_in_chain_ratio, full.tls_negotiated_version_id) == (0, 0, 1, 0.5, 3)
     assert next(r for r in got if not r.tls_has_tls).tls_chain_len is None
-    assert len([c for c in full.asDict() if c.startswith("tls_")]) == 25
+    assert (full.tls_with_policies_crt_count, full.tls_common_name_count, full.tls_percentage_crt_with_policies) == (1, 1, 0.5)
+    assert len([c for c in full.asDict() if c.startswith("tls_")]) == 24
 
 
 def test_reading_of_results(spark):
@@ -137,3 +140,64 @@ def test_rdap_and_whois_conversion(spark):
     who = spark.sql("SELECT map('creation_date', array('2001-01-01', '2002-01-01'), 'expires', array('2003-01-01', '2004-01-01'), 'x', null) AS m")
     dates = who.select(*[c.alias(k) for k, c in cv.whois_dates(F.col("m")).items()], cv.strip_empty(F.col("m")).alias("m")).first()
     assert (dates.created.year, dates.expires.year, dates.updated, sorted(dates.m)) == (2001, 2004, None, ["creation_date", "expires"])
+
+
+RECORD = {
+    "zone": {"zone": "example.com", "soa": {"primaryNS": "ns.example.com", "respMailboxDname": "m.example.com", "serial": "1", "refresh": 7, "retry": 8, "expire": 9, "minTTL": 10}},
+    "dnsResult": {"statusCode": 0, "lastAttempt": 1700000000000, "ips": [{"ip": "1.2.3.4", "rrType": "A"}, {"ip": "2001:db8::1", "rrType": "AAAA"}], "dnsData": {"ttlValues": {"A": 60, "MX": 200}, "A": ["1.2.3.4"], "CNAME": {"value": "x.y", "relatedIPs": []}, "MX": [{"value": "mail.example.com", "priority": 5}], "NS": [{"nameserver": "ns"}], "TXT": ["v=spf1 -all", "ms=1"]}},
+    "tlsResult": {"statusCode": 0, "html": "<p>hello</p>", "tlsData": {"protocol": "TLSv1.3", "cipher": "AES128-SHA", "certs": [{"not_before": "2024-01-01T00:00:00Z", "not_after": "2030-01-01T00:00:00Z", "issuer_org": "o", "issuer_cn": "c", "extensions": [{"oid": "2", "critical": True}], "policies": ["2.5"]}]}},
+    "rdapDomainResult": {"statusCode": 0, "whoisParsed": {"created_date": "2001-01-01", "expires": ["2030-01-01", "2031-01-01"]}, "whoisRaw": "Domain: x\nUpdated Date: 2020-05-06\n"},
+    "ipResults": {
+        "1.2.3.4": {"rtt": {"statusCode": 0, "data": {"avg": 10.0, "received": 1}}, "rtt-2": {"statusCode": 0, "data": {"avg": 40.0, "received": 2}}, "nerd": {"statusCode": 0, "data": {"reputation": 0}}, "geo-asn": {"statusCode": 0, "data": {"asn": 5, "networkAddress": "/1.2.0.0", "prefixLength": 16, "countryCode": "CZ", "latitude": 50.0, "longitude": 14.0}}},
+        "2001:db8::1": {"rdap-ip": {"statusCode": 0, "data": {"ipVersion": "v6", "prefixLen": 32, "adminName": "abab"}}},
+    },
+}
+
+
+def groups(spark):
+    return extract.feature_groups(spark.sql("SELECT 'CZ' AS country, 24 AS id"), F.lit("2024-06-01").cast("timestamp"))
+
+
+def test_flat_record(spark):
+    row = cv.flat_record(results.parse_merged(spark.createDataFrame([("example.com", json.dumps(RECORD))], "key string, value string"), results.MERGED).select(F.col("domain_name").alias("domain"), "data.*")).first()
+    assert (row.domain_name, row.dns_zone, row.dns_SOA.primary_ns, row.dns_SOA.min_ttl, row.dns_zone_SOA, row.dns_CNAME, sorted(row.dns_ttls)) == ("example.com", "example.com", "ns.example.com", 10, None, "x.y", [60, 200])
+    assert (row.dns_email_extras.spf, row.dns_email_extras.dkim, row.html, row.countries, row.latitudes) == (True, False, "<p>hello</p>", ["CZ"], [50.0])
+    four, six = row.ip_data
+    assert (four.average_rtt, four.as_address, four.reputation, six.average_rtt, six.reputation, six.rdap.ip_version, six.rdap.prefix_len, six.as_address) == (30.0, "1.2.0.0/16", -1.0, 0.0, -1.0, "6", 32, None)
+    assert [d and d.year for d in (row.rdap_registration_date, row.rdap_expiration_date, row.rdap_last_changed_date)] == [2001, 2031, 2020]
+
+
+def test_files_of_records_give_whole_vectors(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/list.json").write_text(json.dumps([{"domain_name": "example.com", **RECORD}, {"domain_name": "b.org"}, {"zone": None}]))
+    (tmp_path / "in/one.json").write_text(json.dumps({"domain_name": "c.net", "dnsResult": {"statusCode": 0}}))
+    (tmp_path / "in/broken.json").write_text("{")
+    errors = extract.extract_files(spark, f"file://{tmp_path}/in", f"file://{tmp_path}/out", groups(spark)).collect()
+    assert sorted((r.domain_name or "", r.error) for r in errors) == [("", "Invalid data"), ("", "Missing domain name")]
+    rows = {r.domain_name: r for r in spark.read.parquet(f"file://{tmp_path}/out").collect()}
+    assert set(rows) == {"example.com", "b.org", "c.net"}
+    full = rows["example.com"].asDict()
+    assert len(full) == 264 and {p: sum(c.startswith(p) for c in full) for p in ("lex_", "html_", "dns_", "ip_", "geo_", "tls_", "rdap_ip_")} == {"lex_": 62, "html_": 87, "dns_": 40, "ip_": 8, "geo_": 18, "tls_": 24, "rdap_ip_": 10}
+    assert (full["ip_mean_average_rtt"], full["dns_soa_retry"], full["tls_leaf_cert_validity_len"], full["lex_name_len"], full["html_num_of_paragraphs"], full["rdap_ip_longest_v6_prefix_len"]) == (15.0, 8, 2192, 11, 1, 32)
+    assert rows["b.org"].tls_has_tls is False and rows["b.org"].ip_count == 0
+
+
+def test_groups_can_be_left_out(spark):
+    rows, errors = extract.extract(spark.createDataFrame([("a.com", json.dumps(RECORD)), (None, "{}"), ("x", None)], "key string, value string"), groups(spark), ["drop", "ip"])
+    assert [c for c in rows.columns if c not in ("domain_name", "dns_has_dnskey")] == [c for c in rows.columns if c.startswith("ip_")]
+    assert [r.error for r in errors.collect()] == ["Missing domain name"] and rows.count() == 1
+
+
+def test_networks_by_prefix(spark):
+    nets = [(4, "0a000000", 8, "ten"), (4, "0a020000", 15, "deep"), (4, "0a030180", 25, "deepest"), (4, "00000000", 0, "all"), (6, "20010db8" + "0" * 24, 32, "doc"), (6, "20010db8" + "8000" + "0" * 20, 33, "half"), (6, "2" + "0" * 31, 3, "global")]
+    table = spark.createDataFrame(nets, "version int, ip_start string, prefix_len int, label string").withColumn("ip_end", F.lit(""))
+    asked = ["10.0.0.1", "10.3.1.127", "10.3.1.128", "11.0.0.1", "2001:db8::5", "2001:db8:8000::5", "3fff::1", "fe80::1", "none", None, "10.0.0.1"]
+    got = lookups.range_lookup(spark.createDataFrame([(x,) for x in asked], "ip string"), table).collect()
+    wanted = {"10.0.0.1": "ten", "10.3.1.127": "deep", "10.3.1.128": "deepest", "11.0.0.1": "all", "2001:db8::5": "doc", "2001:db8:8000::5": "half", "3fff::1": "global", "fe80::1": None, "none": None, None: None}
+    assert len(got) == len(asked) and all((r.network and r.network.label) == wanted[r.ip] for r in got)
+
+
+def test_too_many_countries_stop_the_job(spark):
+    ids = spark.range(records.MOST_COUNTRIES + 1).selectExpr("cast(id as string) as country", "id")
+    with pytest.raises(Exception, match="too many rows"):
+        records.geo_features(spark.sql("SELECT array('1') AS countries, array(1D) AS latitudes, array(1D) AS longitudes"), ids).collect()
