@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buckets_for, by_bucket, keep, mix, slices, text_bytes
+from .common import buckets_for, by_bucket, free_name, keep, mix, slices, text_bytes
 
 #: Bytes that the rolling hash sees; a cut is never nearer to the start of a text.
 SEEN = 16
@@ -97,11 +97,6 @@ _EARLIER = (*_PLACE, np.int64)
 _CHUNK = (np.uint64, np.uint64, *_PLACE)
 
 
-def _named(docs: DataFrame) -> DataFrame:
-    """docs with _id (doc_id, null as the largest) and _h (a hash of the text): together they name a text."""
-    return docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(_NONE)), "_h": F.xxhash64("text")})
-
-
 def _send(n_buckets: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -121,7 +116,7 @@ def _send(n_buckets: int):
             place = [ids[text[order]], marks[text[order]], start[order].astype(np.uint32), (end - start)[order].astype(np.uint16)]
             again = np.zeros(len(order), bool)
             again[1:] = (hi[1:] == hi[:-1]) & (lo[1:] == lo[:-1])
-            bucket = np.where(again, mix(place[0].astype(np.uint64)), hi).astype(np.uint64) % np.uint64(n_buckets)
+            bucket = np.where(again, mix((place[0] ^ place[1]).astype(np.uint64)), hi).astype(np.uint64) % np.uint64(n_buckets)
             lead = np.maximum.accumulate(np.where(again, 0, np.arange(len(order)))) if len(order) else np.zeros(0, np.int64)
             place.append(place[0][lead])
             key = bucket.astype(np.int64) * 2 + again
@@ -165,7 +160,7 @@ def _find(n_buckets: int):
         out = again & ~at_first & ~itself
         columns = [np.concatenate([c[out], *(k[j] for k in known)]) for j, c in enumerate(where)]
         columns.append(np.concatenate([first_id[out], *(k[4] for k in known)]))
-        bucket = (mix(columns[0].astype(np.uint64)) >> np.uint64(20)).astype(np.int64) % n_buckets
+        bucket = (mix((columns[0] ^ columns[1]).astype(np.uint64)) >> np.uint64(20)).astype(np.int64) % n_buckets
         by, at = by_bucket(bucket, n_buckets)
         full = np.flatnonzero(np.diff(at))
         return pa.table({"bucket": pa.array(full.astype(np.int32)), "payload": pa.array([_pack(*(c[by][at[b] : at[b + 1]] for c in columns)) for b in full], pa.binary())})
@@ -207,31 +202,38 @@ def _spans(table: pa.Table) -> pa.Table:
     )
 
 
-def dedupe(docs: DataFrame) -> DataFrame:
+def dedupe(docs: DataFrame, spans: str = "spans", sources: str = "sources") -> DataFrame:
     """docs with ``text`` cut, and spans (array of start and end in UTF-8 bytes) and sources (doc_ids) added.
 
     A passage that stands in several places stays where (doc_id, offset) is smallest and is cut elsewhere, also within one
     text, as far as whole chunks cover it and a run of them has LEAST_RUN bytes. sources names documents in which the
     cut chunks stand earlier: the first one, or the first of a batch. Texts without a cut are unchanged and have null spans;
-    null and empty texts stay as they are. A null doc_id counts as the largest. Rows that repeat
-    doc_id and text are one document. Columns named _id, _h, spans or sources are replaced; an empty table stays empty.
+    null and empty texts stay as they are. A null doc_id counts as the largest. Rows that repeat doc_id and text are one
+    document. Columns that have the names of spans or sources are replaced; an empty table stays empty.
     """
-    docs = docs.drop("spans", "sources", "_id", "_h")
+    docs = docs.select([c for c in docs.columns if c.lower() not in (spans.lower(), sources.lower())])
+    own, mark, cuts_ = (free_name(docs.columns, c) for c in ("_id", "_h", "_cuts"))
     n_buckets = buckets_for(text_bytes(docs) / MEAN_CHUNK, PER_BUCKET)
-    texts = _named(docs)
-    sent = texts.select("_id", "_h", "text").mapInArrow(_send(n_buckets), "bucket int, payload binary")
+    # doc_id, null as the largest, and a hash of the text: together they name a text
+    texts = docs.withColumns({own: F.coalesce(F.col("doc_id").cast("long"), F.lit(_NONE)), mark: F.xxhash64("text")})
+    sent = texts.select(F.col(own).alias("_id"), F.col(mark).alias("_h"), "text").mapInArrow(_send(n_buckets), "bucket int, payload binary")
     found = sent.groupBy("bucket").applyInArrow(_find(n_buckets), "bucket int, payload binary")
-    spans = keep(found.groupBy("bucket").applyInArrow(_spans, _SPANS), "spans")
-    rows = texts.join(spans, ["_id", "_h"], "left")
-    edges = "concat(array(0), flatten(transform(spans, s -> array(s.start, s.end))), array(octet_length(text)))"
-    kept = f"transform(sequence(0, size(spans)), i -> decode(substring(cast(text as binary), ({edges})[2 * i] + 1, ({edges})[2 * i + 1] - ({edges})[2 * i]), 'utf-8'))"
-    cut = F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.expr(f"array_join({kept}, '')"))
-    return rows.select(*[cut.alias("text") if c == "text" else F.col(c) for c in docs.columns], "spans", "sources")
+    runs = keep(found.groupBy("bucket").applyInArrow(_spans, _SPANS), "spans")
+    runs = runs.select(F.col("_id").alias(own), F.col("_h").alias(mark), F.col("spans").alias(cuts_), F.col("sources").alias(sources))
+    rows = texts.join(runs, [own, mark], "left")
+    edges = f"concat(array(0), flatten(transform({cuts_}, s -> array(s.start, s.end))), array(octet_length(text)))"
+    kept = f"transform(sequence(0, size({cuts_})), i -> decode(substring(cast(text as binary), ({edges})[2 * i] + 1, ({edges})[2 * i + 1] - ({edges})[2 * i]), 'utf-8'))"
+    cut = F.when(F.col(cuts_).isNull(), F.col("text")).otherwise(F.expr(f"array_join({kept}, '')"))
+    return rows.select(*[cut.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns], F.col(cuts_).alias(spans), sources)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """docs with repeated passages cut and n_chars, if there, counted anew; rows of which only blanks are left go."""
-    out = dedupe(docs).where(r"spans is null or text rlike '[^\\x20\\x09-\\x0D]'")
+    """docs with repeated passages cut and n_chars, if there, counted anew; rows of which only blanks are left go.
+
+    Rows without a cut stay as they are, null and blank texts too. All columns come back, whatever their names.
+    """
+    spans = free_name(docs.columns, "_spans")
+    out = dedupe(docs, spans, free_name(docs.columns, "_sources")).where(F.col(spans).isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+        out = out.withColumn("n_chars", F.when(F.col(spans).isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
+    return out.select([F.col(f"`{c}`") for c in docs.columns])

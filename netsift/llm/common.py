@@ -80,6 +80,33 @@ def smallest(df: DataFrame, most: int, key: str = "doc_id") -> DataFrame:
     return df.where(place < F.lit(int(part * (1 << 40)))).orderBy(place, key).limit(most)
 
 
+def _mean(table: pa.Table) -> pa.Table:
+    weight = table.column("weight").to_numpy()
+    total = sum(w * np.frombuffer(p.as_buffer(), np.float32).astype(np.float64) for w, p in zip(weight, table.column("params")))
+    return pa.table({"weight": pa.array([int(weight.sum())]), "params": pa.array([(total / weight.sum()).astype(np.float32).tobytes()], pa.binary())})
+
+
+def average(params: DataFrame, fan_in: int) -> np.ndarray | None:
+    """The mean of rows (weight long, params: 32-bit floats), fan_in at a time until one is left; None without rows."""
+    rows = keep(params.withColumn("i", F.spark_partition_id()), "params")
+    while (n := rows.count()) > 1:
+        grouped = rows.withColumn("g", F.col("i") % F.lit(-(-n // fan_in))).groupBy("g")
+        after = keep(grouped.applyInArrow(_mean, "weight long, params binary").withColumn("i", F.spark_partition_id()), "params")
+        forget(rows)
+        rows = after
+    last = rows.select("params").first()
+    forget(rows)
+    return np.frombuffer(bytes(last.params), np.float32) if last else None
+
+
+def free_name(columns: list[str], name: str) -> str:
+    """name with underscores before it until no column has it, whatever the case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
