@@ -1,4 +1,9 @@
-"""Toxicity from confirmed toxic examples and unlabelled text: a linear model under the non-negative PU risk."""
+"""Toxicity from confirmed toxic examples and unlabelled text: a linear model under the non-negative PU risk.
+
+Every text is reduced once to the features that toxic examples have, a small packed table that training and scoring read.
+All training documents are the unlabelled side: in each round every partition takes steps over its own documents, a chunk
+at a time, against the toxic sample that all have; then the partitions' parameters are averaged.
+"""
 
 from __future__ import annotations
 
@@ -11,15 +16,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, held_out, slices, smallest
+from .common import Words, average, held_out, keep, slices, smallest
 
-#: Bounds of the training sample: toxic and unlabelled documents, those whose doc_id has the smallest hash.
-MOST_TOXIC, MOST_UNLABELLED = 3_000, 9_000
+#: Bound of the toxic labelled documents that are learned from, those whose doc_id has the smallest hash.
+MOST_TOXIC = 3_000
 SLOTS = 1 << 20
 #: A feature is learned if so many toxic training documents have it.
 LEAST_DOCS = 4
-EPOCHS, BATCH, RATE, SPARSITY = 40, 512, 0.07, 4e-4
-LEAST_STEPS = 600
+BATCH, RATE, SPARSITY = 512, 0.07, 4e-4
+#: Rounds of averaging; in each a partition takes so many steps for each chunk of its documents.
+ROUNDS, STEPS, CHUNK = 2, 300, 16_384
+#: Partitions whose parameters are averaged at a time.
+FAN_IN = 64
 FOLDS, HELD = 5, 0
 EDGE = " .,;:!?\"'()[]{}|*#%$&-_<>«»“”…"
 
@@ -53,12 +61,12 @@ def features(texts: pa.Array, used: np.ndarray | None = None) -> tuple[np.ndarra
     return (pairs % SLOTS).astype(np.int32), np.searchsorted(pairs // SLOTS, np.arange(n + 1))
 
 
-def _sample(docs: DataFrame, ids: DataFrame, used: np.ndarray | None = None) -> list[np.ndarray]:
-    """Features (those in used, if given) of the documents with these ids; there are boundedly many, so they are broadcast."""
+def _sample(docs: DataFrame, ids: DataFrame) -> list[np.ndarray]:
+    """Features of the documents with these ids; there are boundedly many, so they are broadcast."""
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            slot, starts = features(batch.column("text"), used)
+            slot, starts = features(batch.column("text"))
             rows = pa.array([slot[a:b].tobytes() for a, b in zip(starts, starts[1:])], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), rows], names=["doc_id", "slots"])
 
@@ -95,87 +103,146 @@ def common(toxic: list[np.ndarray]) -> np.ndarray:
     return np.bincount(np.concatenate([np.zeros(0, np.int32), *toxic]), minlength=SLOTS) >= min(LEAST_DOCS, max(1, len(toxic) // 5))
 
 
-def fit(toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, seed: int = 11) -> tuple[np.ndarray, float]:
-    """Weights of all slots and a bias that minimise prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)), logistic loss.
+class Fit:
+    """Weights and a bias that minimise prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)), logistic loss.
 
     Where the corrected negative part of a batch falls under 0, the step goes up along it, as the non-negative estimator
     has it. Soft thresholding after each step leaves weights only where they pay.
     """
-    weight = np.zeros(SLOTS, np.float32)
-    if not toxic or not unlabelled:
-        return weight, -5.0
-    used = np.flatnonzero(common(toxic))
-    place = np.full(SLOTS, -1, np.int64)
-    place[used] = np.arange(len(used))
-    (p_idx, p_at), (u_idx, u_at) = _csr(toxic, place), _csr(unlabelled, place)
-    w, b = np.zeros(len(used)), -2.0
-    sums, b_sum = np.full(len(used), 1e-4), 1e-4
-    rng = np.random.default_rng(seed)
-    steps = max(1, len(unlabelled) // BATCH)
-    n_p, n_u = min(len(toxic), max(32, BATCH // 3)), min(len(unlabelled), BATCH)
-    for _ in range(max(EPOCHS * steps, LEAST_STEPS)):
-        pi, ps = _take(p_idx, p_at, rng.choice(len(toxic), n_p, replace=False))
-        ui, us = _take(u_idx, u_at, rng.choice(len(unlabelled), n_u, replace=False))
-        sp, su = _sigmoid(_dot(w, pi, ps) + b), _sigmoid(_dot(w, ui, us) + b)
-        negative = np.mean(-np.log1p(-np.minimum(su, 1 - 1e-12))) - prior * np.mean(-np.log1p(-np.minimum(sp, 1 - 1e-12)))
+
+    def __init__(self, params: np.ndarray, prior: float, seed: int):
+        self.w, self.b, self.prior = params[:-1].astype(np.float64), float(params[-1]), prior
+        self.sums, self.b_sum, self.rng = np.full(len(self.w), 1e-4), 1e-4, np.random.default_rng(seed)
+
+    def params(self) -> np.ndarray:
+        return np.append(self.w, self.b)
+
+    def gradients(self, p: tuple[np.ndarray, np.ndarray], u: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, float]:
+        """Of the risk of toxic examples p and unlabelled ones u, each as features and where each text's begin."""
+        sp, su = (_sigmoid(_dot(self.w, *x) + self.b) for x in (p, u))
+        negative = np.mean(-np.log1p(-np.minimum(su, 1 - 1e-12))) - self.prior * np.mean(-np.log1p(-np.minimum(sp, 1 - 1e-12)))
         if negative >= 0:
-            gp, gu = (prior * (sp - 1) - prior * sp) / len(sp), su / len(su)
+            gp, gu = (self.prior * (sp - 1) - self.prior * sp) / len(sp), su / len(su)
         else:
-            gp, gu = prior * sp / len(sp), -su / len(su)
-        g = np.bincount(pi, np.repeat(gp, np.diff(ps)), len(used)) + np.bincount(ui, np.repeat(gu, np.diff(us)), len(used))
-        gb = gp.sum() + gu.sum()
-        sums += g * g
-        b_sum += gb * gb
-        step = RATE / np.sqrt(sums)
-        w -= step * g
-        w = np.sign(w) * np.maximum(np.abs(w) - step * SPARSITY, 0)
-        b -= RATE / np.sqrt(b_sum) * gb
-    weight[used] = w
-    return weight, float(b)
-
-
-def learn(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held: int = HELD) -> tuple[np.ndarray, float]:
-    """A model from training rows: toxic labels are confirmed examples, all other training documents unlabelled.
-
-    The class prior is the share of toxic rows among labelled training rows; a label 0 is used for nothing else.
+            gp, gu = self.prior * sp / len(sp), -su / len(su)
+        n = len(self.w)
+        return np.bincount(p[0], np.repeat(gp, np.diff(p[1])), n) + np.bincount(u[0], np.repeat(gu, np.diff(u[1])), n), gp.sum() + gu.sum()
+
+    def steps(self, toxic: tuple[np.ndarray, np.ndarray], unlabelled: tuple[np.ndarray, np.ndarray], n: int) -> None:
+        many = [len(x[1]) - 1 for x in (toxic, unlabelled)]
+        size = [min(many[0], max(32, BATCH // 3)), min(many[1], BATCH)]
+        order, at = self.rng.permutation(many[1]), 0
+        for _ in range(n):
+            if at + size[1] > many[1]:
+                order, at = self.rng.permutation(many[1]), 0
+            chosen, at = order[at : at + size[1]], at + size[1]
+            g, gb = self.gradients(_take(*toxic, self.rng.choice(many[0], size[0], replace=False)), _take(*unlabelled, chosen))
+            self.sums += g * g
+            self.b_sum += gb * gb
+            step = RATE / np.sqrt(self.sums)
+            self.w -= step * g
+            self.w = np.sign(self.w) * np.maximum(np.abs(self.w) - step * SPARSITY, 0)
+            self.b -= RATE / np.sqrt(self.b_sum) * gb
+
+
+def pack(docs: DataFrame, used: np.ndarray, folds: int, held: int) -> DataFrame:
+    """doc_id, held_out, trained (neither held out nor without doc_id), ids: the places of each text's features among used."""
+    place = np.full(SLOTS, -1, np.int32)
+    place[used] = np.arange(len(used))
+    shared = docs.sparkSession.sparkContext.broadcast(place)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            slot, starts = features(batch.column("text"), shared.value >= 0)
+            ids = shared.value[slot]
+            rows = pa.array([ids[a:b].tobytes() for a, b in zip(starts, starts[1:])], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), rows], names=["doc_id", "held_out", "ids"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id"), folds, held).alias("held_out"), "text")
+    return rows.mapInArrow(work, "doc_id long, held_out boolean, ids binary")
+
+
+def _packed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    each = [np.frombuffer(x.as_buffer(), np.int32) for x in column]
+    return np.concatenate([np.zeros(0, np.int32), *each]).astype(np.int64), np.cumsum([0, *map(len, each)])
+
+
+def train(packed: DataFrame, toxic: tuple[np.ndarray, np.ndarray], n_features: int, prior: float, rounds: int = ROUNDS) -> np.ndarray:
+    """Weights and the bias after as many rounds over all training rows of packed."""
+    own = packed.where("not held_out and doc_id is not null").select("ids")
+    n = own.count()
+    params = np.append(np.zeros(n_features), -2.0).astype(np.float32)
+    own = own.coalesce(max(1, n // CHUNK))
+    for r in range(rounds if n else 0):
+        start, seed = params, 100 + r
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            fit, held, seen = Fit(start, prior, seed), [], 0
+
+            def use() -> None:
+                idx, starts = zip(*held)
+                ends = np.cumsum([0, *(len(x) for x in idx)])
+                fit.steps(toxic, (np.concatenate(idx), np.concatenate([[0], *(s[1:] + e for s, e in zip(starts, ends))])), STEPS)
+
+            for batch in batches:
+                if batch.num_rows:
+                    held.append(_packed(batch.column("ids")))
+                    seen += batch.num_rows
+                if sum(len(s) - 1 for _, s in held) >= CHUNK:
+                    use()
+                    held = []
+            if held:
+                use()
+            if seen:
+                yield pa.RecordBatch.from_arrays([pa.array([seen]), pa.array([fit.params().astype(np.float32).tobytes()], pa.binary())], names=["weight", "params"])
+
+        last = average(own.mapInArrow(work, "weight long, params binary"), FAN_IN)
+        params = last if last is not None else params
+    return params
+
+
+def learn(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held: int = HELD) -> tuple[np.ndarray, np.ndarray, DataFrame | None]:
+    """The features in use, their weights with the bias, and the packed table of docs (None if there is nothing to learn from).
+
+    Toxic labels of training rows are the confirmed examples, all training documents the unlabelled ones. The class prior is
+    the share of toxic rows among labelled training rows; a label 0 is used for nothing else.
     """
-    train = ~held_out(F.col("doc_id"), folds, held)
-    known = labels.where(train)
+    train_rows = ~held_out(F.col("doc_id"), folds, held)
+    known = labels.where(train_rows)
     counts = known.agg(F.count_if(F.col("toxic") == 1), F.count("toxic")).first()
     prior = min(max(counts[0] / max(counts[1], 1), 0.01), 0.9)
-    bad = known.where("toxic = 1").select("doc_id").distinct()
-    toxic = _sample(docs, _smallest(bad, MOST_TOXIC))
-    used = common(toxic)
-    toxic = [t[used[t]] for t in toxic]
-    pool = docs.where(train).select("doc_id").join(bad, "doc_id", "left_anti")
-    unlabelled = _sample(docs, _smallest(pool, MOST_UNLABELLED), used)
-    # confirmed documents at the rate that they have among all, so that the mix has the prior's share
-    unlabelled += toxic[: round(counts[0] * len(unlabelled) / max(pool.count(), 1))]
-    return fit(toxic, unlabelled, prior)
+    toxic = _sample(docs, _smallest(known.where("toxic = 1"), MOST_TOXIC))
+    used = np.flatnonzero(common(toxic)) if toxic else np.zeros(0, np.int64)
+    if not len(used):
+        return used, np.array([-5.0]), None
+    place = np.full(SLOTS, -1, np.int64)
+    place[used] = np.arange(len(used))
+    packed = keep(pack(docs, used, folds, held), "toxicity-features")
+    return used, train(packed, _csr(toxic, place), len(used), prior), packed
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
-    """docs' doc_id with score in [0, 1]; every word of a text counts."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def score_packed(packed: DataFrame, params: np.ndarray) -> DataFrame:
+    """doc_id, held_out and score of packed texts."""
+    shared = packed.sparkSession.sparkContext.broadcast(params.astype(np.float64))
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight, bias = shared.value
-        for batch in slices(batches):
-            slot, starts = features(batch.column("text"), weight != 0)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(_sigmoid(_dot(weight.astype(np.float64), slot, starts) + bias))], names=["doc_id", "score"])
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(_sigmoid(_dot(shared.value[:-1], *_packed(batch.column("ids"))) + shared.value[-1]))], names=["doc_id", "held_out", "score"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scores, "doc_id long, score double")
+    return packed.mapInArrow(scores, "doc_id long, held_out boolean, score double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held: int = HELD) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted.
 
     Null and empty texts get the model's score of no feature. Rows with a null doc_id are scored and never trained on;
-    repeated rows get equal scores. Without toxic labels or unlabelled rows every score is near 0. Columns other than
+    repeated rows get equal scores. Without toxic labels, or words in toxic texts, every score is near 0. Columns other than
     doc_id and text (labels: doc_id, toxic) are ignored; an empty table gives an empty result.
     """
-    rows = score(docs, learn(docs, labels, folds, held))
-    return rows.select("doc_id", held_out(F.col("doc_id"), folds, held).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    used, params, packed = learn(docs, labels, folds, held)
+    if packed is None:
+        packed = pack(docs, used, folds, held)
+    return score_packed(packed, params).select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
