@@ -1,12 +1,17 @@
 """Learned operators by their held-out accuracy, and all operators on odd rows and empty tables."""
 
+from collections import Counter
+
+import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
 from netsift.llm import chunks, decontam, jaccard, langid, lblm, mixing, quality, queries, toxicity, urlgraph, warc
 
+from netsift.llm.common import keep
+
 from ..conftest import SMALL
-from .test_exact import DOCS, documents, odd_rows
+from .test_exact import DOCS, brute_components, documents, odd_rows, words
 
 MEDIUM = "/root/testdata/sf0.01"
 
@@ -90,9 +95,61 @@ def test_warc_query_equals_sql(spark, duck):
     assert sorted(map(repr, (tuple(r[c] for c in columns) for r in df.collect()))) == sorted(map(repr, wanted))
 
 
-def test_pipeline(spark):
-    import corpus_pipeline
+STAGE_COLUMNS = ("_id", "_h", "spans", "_spans", "Sources", "x", "node", "component", "size", "rate", "share", "items", "hub", "label", "predicted")
 
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_on_odd_rows_and_empty_tables(spark, tmp_path, name):
+    stage = dict(corpus_pipeline.STAGES)[name]
+    odd = odd_rows(spark)
+    odd = odd.withColumns({c: F.lit(f"own {c}") for c in STAGE_COLUMNS if c not in odd.columns})
+    spark.createDataFrame([(2, 1, 1), (4, 0, None), (6, None, 0), (None, 1, 1)], LABELS).write.parquet(f"file://{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, None), (None, "a b"), (2, ""), (3, "no text of these rows holds an item that reads like this one")], "item_id long, text string").write.parquet(f"file://{tmp_path}/benchmark.parquet")
+    out = stage(spark, odd, f"file://{tmp_path}")
+    rows = out.collect()
+    if name == "mixing":
+        assert len(rows) == odd.count() or {r.doc_id for r in rows} <= {r.doc_id for r in odd.collect()}
+    else:
+        assert out.columns == odd.columns
+        own = {r.doc_id: r for r in rows}
+        assert all(r["spans"] == "own spans" and r["Sources"] == "own Sources" and r["_h"] is not None for r in rows)
+        # what is near to nothing, repeats nothing and is not toxic stays: null, blank and long texts, a null doc_id, repeated rows
+        assert {1, 3, 5, None} <= set(own) and sum(r.doc_id == 4 for r in rows) == 2
+        if name != "substrings":  # that text repeats itself
+            assert own[5].text == next(r.text for r in odd.collect() if r.doc_id == 5)
+        if name == "near_copies":
+            assert 6 in own and 7 not in own
+    none = stage(spark, odd.where("false"), f"file://{tmp_path}")
+    assert none.count() == 0 and none.columns == out.columns
+
+
+def test_stages_equal_brute_force(spark):
+    """Exact stages against their definition on all that the stage before kept; learned ones keep to what labels say."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
+    stages = dict(corpus_pipeline.STAGES)
+    before = docs.collect()
+    after = keep(stages["toxicity"](spark, docs, SMALL), "t")
+    gone = {r.doc_id for r in before} - {r.doc_id for r in after.collect()}
+    assert sum(labels.get(i) == 0 for i in gone) <= 0.05 * len(before)
+    near = keep(stages["near_copies"](spark, after, SMALL), "n")
+    texts = [(r.doc_id, r.text) for r in after.collect()]
+    assert {r.doc_id for r in near.collect()} == {i for i, (_, c) in brute_components(texts).items() if i == c}
+    cut = keep(stages["substrings"](spark, near, SMALL), "s")
+    grams = Counter(g for r in cut.collect() for g in set(zip(*[words(r.text)[k:] for k in range(60)])))
+    assert max(grams.values(), default=1) == 1
+    clean = keep(stages["benchmark"](spark, cut, SMALL), "b")
+    items = [words(r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
+    held = lambda t: any(f" {' '.join(x)} " in f" {' '.join(words(t))} " for x in items if x)
+    left = {r.doc_id for r in clean.collect()}
+    assert not any(held(r.text) for r in cut.collect() if r.doc_id in left)
+    six = {g for x in items for g in zip(*[x[k:] for k in range(6)])}
+    assert all(r.doc_id in left for r in cut.collect() if not six & set(zip(*[words(r.text)[k:] for k in range(6)])))
+    mixed = stages["mixing"](spark, clean, SMALL).collect()
+    assert {r.doc_id for r in mixed} == left
+
+
+def test_pipeline(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, SMALL)
