@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from netsift.llm import chunks, decontam, jaccard, mixing, toxicity
-from netsift.llm.common import keep, table
+from netsift.llm.common import forget, keep, table
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +46,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of the documents table: doc_id and the rest of mix_sources() for each row that the stages before keep.
+
+    Nulls in any column, empty and very long texts, repeated rows and extra columns pass through: such rows are clean unless
+    their text says otherwise. A null doc_id is never a copy of another row nor contaminated, so it stays. Repeated rows are
+    judged alike. Empty tables give no rows. Each stage's table is deleted once the next one is written.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = keep(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        after = keep(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        forget(docs)
+        docs = after
     return STAGES[-1][1](spark, docs, sf_dir)

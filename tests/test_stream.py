@@ -1,6 +1,7 @@
 """The stream merge, against the cases of its rules."""
 
 import datetime as dt
+import json
 
 import pytest
 
@@ -10,27 +11,50 @@ NONE, SOME = '{"ips":[]}', '{"ips":["1.1.1.1"]}'
 BASE = dt.datetime(2024, 1, 1)
 
 
-def run(spark, tmp_path, own, ips):
-    """Feed rows (domain, ip, collector, value, status, second) as files, one a batch, and give the results in order."""
-    schema = "domain string, ip string, collector string, value string, status_code int, offset long, ts timestamp"
-    for name, rows in (("own", own), ("ips", ips)):
-        # a last row far ahead moves the watermark past all timers
-        rows = [*rows, ("end", None if name == "own" else "9.9.9.9", "zone" if name == "own" else "rtt", "{}", 0, 10_000)]
-        for i, (d, ip, c, v, s, at) in enumerate(rows):
-            data = [(d, ip, c, v, s, i, BASE + dt.timedelta(seconds=at))]
-            spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(f"file://{tmp_path}/{name}")
-    read = lambda name: spark.readStream.schema(schema).parquet(f"file://{tmp_path}/{name}")
+SCHEMA = "domain string, ip string, collector string, value string, status_code int, offset long, ts timestamp"
+
+
+def feed(spark, tmp_path, name, rows, first=0):
+    """Write rows (domain, ip, collector, value, status, second) as files of one row each."""
+    for i, (d, ip, c, v, s, at) in enumerate(rows):
+        spark.createDataFrame([(d, ip, c, v, s, first + i, BASE + dt.timedelta(seconds=at))], SCHEMA).coalesce(1).write.mode("append").parquet(f"file://{tmp_path}/{name}")
+
+
+def merge_all(spark, tmp_path):
+    """Read what is there and was not read yet, and stop; all results so far in order."""
+    for name in ("own", "ips"):
+        (tmp_path / name).mkdir(exist_ok=True)
+    read = lambda name: spark.readStream.schema(SCHEMA).parquet(f"file://{tmp_path}/{name}")
     rows = sm.merge_stream(read("own"), read("ips"))
     rows.writeStream.option("checkpointLocation", f"file://{tmp_path}/at").trigger(availableNow=True).format("parquet").option("path", f"file://{tmp_path}/out").start().awaitTermination()
-    got = spark.read.schema(sm.MERGED).parquet(f"file://{tmp_path}/out").where("domain <> 'end'").orderBy("emitted_at").collect()
+    return spark.read.schema(sm.MERGED).parquet(f"file://{tmp_path}/out").where("domain <> 'end'").orderBy("emitted_at").collect()
+
+
+def times(rows):
     start = int(BASE.replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
-    return [(r.domain, r.is_complete, (r.emitted_at - start) / 1000) for r in got]
+    return [(r.domain, r.is_complete, (r.emitted_at - start) / 1000) for r in rows]
+
+
+# rows far ahead move the watermark past all timers
+ENDS = {"own": ("end", None, "zone", "{}", 0, 10_000), "ips": ("end", "9.9.9.9", "rtt", "{}", 0, 10_000)}
+
+
+def run(spark, tmp_path, own, ips):
+    for name, rows in (("own", own), ("ips", ips)):
+        feed(spark, tmp_path, name, [*rows, ENDS[name]])
+    return merge_all(spark, tmp_path)
 
 
 def own(*rows):
     return [("d", None, c, v, s, at) for c, v, s, at in rows]
 
 
+def four(ip, at):
+    return [("d", ip, c, "{}", 0, at + i) for i, c in enumerate(("geo-asn", "nerd", "rdap-ip", "rtt"))]
+
+
+COMPLETE = own(("zone", "{}", 0, 1), ("dns", SOME, 0, 2), ("rdap-dn", "{}", 0, 3), ("tls", "{}", 0, 4))
+LATE = own(("zone", "{}", 0, 30), ("dns", SOME, 0, 31), ("rdap-dn", "{}", 0, 32), ("tls", "{}", 0, 33))
 CASES = {
     "complete without addresses": (own(("zone", "{}", 0, 1), ("dns", NONE, 0, 2), ("rdap-dn", "{}", 0, 3)), [], [("d", True, 3.0)]),
     "partial": (own(("zone", "{}", 0, 1), ("dns", NONE, 0, 2)), [], [("d", False, 62.0)]),
@@ -40,6 +64,14 @@ CASES = {
         [("d", "1.1.1.1", c, "{}", 0, 5 + i) for i, c in enumerate(("geo-asn", "nerd", "rdap-ip", "rtt"))], [("d", True, 8.0)],
     ),
     "addresses without a domain": ([], [("d", "1.1.1.1", "rtt", "{}", 0, 5)], []),
+    "after completion, within the grace time": (own(("zone", "{}", 0, 1), ("dns", NONE, 0, 2), ("rdap-dn", "{}", 0, 3), ("dns", NONE, 0, 5)), [], [("d", True, 3.0), ("d", True, 5.0)]),
+    "after cleanup a new entry begins": (own(("zone", "{}", 0, 1), ("dns", NONE, 0, 2), ("rdap-dn", "{}", 0, 3), ("dns", NONE, 0, 20)), [], [("d", True, 3.0)]),
+    "an extra address has to be complete too": (
+        COMPLETE, [*four("1.1.1.1", 5), ("d", "2.2.2.2", "rtt", "{}", 0, 6)], [("d", False, 68.0)],
+    ),
+    "an extra address that is": (COMPLETE, [*four("1.1.1.1", 5), *four("2.2.2.2", 9)], [("d", True, 8.0), ("d", True, 12.0)]),
+    "addresses first": (LATE, four("1.1.1.1", 1), [("d", True, 33.0)]),
+    "one collector before the domain": (LATE, [("d", "1.1.1.1", "geo-asn", "{}", 0, 1)], [("d", False, 43.0)]),
     "one collector only": (own(("zone", "{}", 0, 1), ("dns", SOME, 0, 2), ("rdap-dn", "{}", 0, 3), ("tls", "{}", 0, 4)), [("d", "1.1.1.1", "geo-asn", "{}", 0, 6)], [("d", False, 66.0)]),
 }
 
@@ -47,4 +79,22 @@ CASES = {
 @pytest.mark.parametrize("case", CASES)
 def test_cases(spark, tmp_path, case):
     domain_rows, ip_rows, wanted = CASES[case]
-    assert run(spark, tmp_path, domain_rows, ip_rows) == wanted
+    assert times(run(spark, tmp_path, domain_rows, ip_rows)) == wanted
+
+
+@pytest.mark.parametrize("second", [("dns", NONE, 0, 1), ("dns", NONE, 10, 4)])
+def test_the_more_useful_result_stays(spark, tmp_path, second):
+    """A good result stays if a bad one is newer, whichever comes first."""
+    good = ("dns", NONE, 0, 2)
+    rows = own(("zone", "{}", 0, 1), *((("dns", NONE, 10, 3), second) if second[3] == 1 else (good, second)), ("rdap-dn", "{}", 0, 5))
+    got = run(spark, tmp_path, rows, [])
+    assert times(got) == [("d", True, 5.0)] and json.loads(got[0].entries)["dns"]["status_code"] == 0
+
+
+def test_a_restart_goes_on_with_what_was_read(spark, tmp_path):
+    feed(spark, tmp_path, "own", own(("zone", "{}", 0, 1), ("dns", NONE, 0, 2)))
+    assert merge_all(spark, tmp_path) == []
+    feed(spark, tmp_path, "own", [*own(("rdap-dn", "{}", 0, 3)), ENDS["own"]], first=2)
+    feed(spark, tmp_path, "ips", [ENDS["ips"]])
+    assert times(merge_all(spark, tmp_path)) == [("d", True, 3.0)]
+    assert times(merge_all(spark, tmp_path)) == [("d", True, 3.0)]
