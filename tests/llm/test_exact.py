@@ -14,7 +14,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from netsift.llm import chunks, decontam, jaccard, lblm, mixing, quality, urlgraph, warc
+from netsift.llm import chunks, decontam, jaccard, langid, lblm, mixing, quality, toxicity, urlgraph, warc
 from netsift.llm.components import components
 
 from ..conftest import SMALL
@@ -285,6 +285,55 @@ def test_pagerank_equals_power_iteration(spark):
     assert all(abs(got[k] - v) < 1e-12 for k, v in score.items())
 
 
+def test_verdicts_equal_brute_force(spark):
+    """Trust and distrust over links, domain edges and seeds, written out with dictionaries; many pages with real links."""
+    rng = random.Random(21)
+    hosts = [f"{a}.{b}" for a in ("a", "b", "c.d", "e", "f") for b in ("org", "com", "net", "xx")] + ["lone.yy"]
+    rows = []
+    for i in range(120):
+        links = "".join(f'<a href="{rng.choice(["http:", "https:", ""])}//{rng.choice(hosts)}/p">x</a>' for _ in range(rng.randrange(4)))
+        rows.append((i, f"http://{rng.choice(hosts)}{rng.choice(['/', '/fr/1', '/de/2'])}", links or None))
+    got = {r.page_id: r for r in urlgraph.filter_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    of = {i: (u.split("/")[2], "/" + u.split("/", 3)[3]) for i, u, _ in rows}
+
+    def rule(host, path):
+        fits = [(v, x) for v, x in urlgraph.RULES if (host == x.split("/")[0] or host.endswith("." + x.split("/")[0])) and path.startswith("/" + x.split("/", 1)[1])]
+        return max(fits, key=lambda f: len(f[1]), default=(None, None))
+
+    edges = Counter()
+    for i, _, html in rows:
+        for dst in re.findall(r'href="(?:https?:)?//([^/]+)/', html or ""):
+            if dst != of[i][0]:
+                edges[of[i][0], dst] += 1
+    names = [h.split(".") for h in {h for h, _ in of.values()} | {d for _, d in edges}]
+    for a, b in {(".".join(n[k:]), ".".join(n[k + 1 :])) for n in names for k in range(len(n) - 1)}:
+        edges[a, b] += 1
+        edges[b, a] += 1
+
+    def spread(edges, seeds):
+        out = Counter()
+        for (a, _), n in edges.items():
+            out[a] += n
+        score = dict(seeds)
+        for _ in range(urlgraph.STEPS):
+            fresh = Counter({h: (1 - urlgraph.DAMPING) * v for h, v in seeds.items()})
+            for (a, b), n in edges.items():
+                fresh[b] += urlgraph.DAMPING * score.get(a, 0) * n / out[a]
+            score = fresh
+        return score
+
+    verdicts = {i: rule(*of[i]) for i in of}
+    seeds = {v: Counter(of[i][0] for i in of if verdicts[i][0] == v) for v in ("allow", "block")}
+    share = lambda c: {h: n / sum(c.values()) for h, n in c.items()}
+    trust, distrust = spread(edges, share(seeds["allow"])), spread({(b, a): n for (a, b), n in edges.items()}, share(seeds["block"]))
+    for i, (host, path) in of.items():
+        t, d = trust.get(host, 0.0), distrust.get(host, 0.0)
+        assert (got[i].host, got[i].path, got[i].rule) == (host, path, verdicts[i][1])
+        assert abs(got[i].trust - t) < 1e-9 and abs(got[i].distrust - d) < 1e-9
+        assert got[i].verdict == (verdicts[i][0] or ("block" if d > urlgraph.BLOCK_OVER * (t + d) else "allow"))
+    assert {got[i].verdict for i in of if not verdicts[i][0]} == {"allow", "block"}
+
+
 # Quality -------------------------------------------------------------------------------------------------------------
 
 
@@ -304,6 +353,108 @@ def test_rule_statistics_equal_brute_force(spark):
     assert got == Counter({(r.doc_id, *brute_stats(r.text)) for r in texts})
 
 
+def test_anomalies_equal_path_lengths_by_hand():
+    rng = np.random.default_rng(3)
+    rows = rng.normal(size=(300, 7))
+    rows[0] += 9
+    forest = quality.grow(rows)
+
+    def expected(n):
+        return 2 * (np.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n if n > 1 else 0.0
+
+    def depth(node, row, at):
+        f = forest["feature"][node]
+        return at + 0 * f if f < 0 else depth(forest["left" if row[f] < forest["cut"][node] else "right"][node], row, at + 1)
+
+    def leaf(node, row):
+        f = forest["feature"][node]
+        return node if f < 0 else leaf(forest["left" if row[f] < forest["cut"][node] else "right"][node], row)
+
+    got = quality.anomaly(forest, rows[:40])
+    for row, value in zip(rows[:40], got):
+        # a leaf's length is its depth and what its rows would need further
+        total = [forest["length"][leaf(r, row)] for r in forest["roots"]]
+        assert all(x >= depth(r, row, 0) for x, r in zip(total, forest["roots"]))
+        assert abs(value - 2 ** (-np.mean(total) / expected(quality.TREE_ROWS))) < 1e-12
+    assert got[0] == got.max() and len(forest["roots"]) == quality.TREES
+    small = quality.grow(np.array([[1.0] * 7, [2.0] * 7]))
+    assert set(small["length"][small["feature"] < 0]) == {1.0}
+
+
+def test_the_threshold_weighs_both_classes():
+    good, bad = np.zeros(quality.BINS + 1), np.zeros(quality.BINS + 1)
+    good[800], good[1200], good[1500], bad[1300], bad[1100], bad[700] = 990, 8, 2, 50, 30, 20
+    best = max((k / quality.BINS for k in range(quality.BINS + 2)), key=lambda t: (
+        (lambda lost: -1e9 if lost > quality.MOST_GOOD_LOST else bad[int(round(t * quality.BINS)):].sum() / bad.sum() - quality.LOSS * lost)(good[int(round(t * quality.BINS)):].sum() / good.sum()), t))
+    assert quality.threshold(good, bad) == best
+    assert quality.threshold(good, bad * 0) > 1200 / quality.BINS and quality.threshold(good * 0, bad) == 2.0
+
+
+# Toxicity ------------------------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("prior", [0.1, 0.9])
+def test_gradients_of_the_non_negative_risk_equal_differences(prior):
+    """Both branches: the corrected negative part over 0, and under it, where the step goes up along that part alone."""
+    rng = np.random.default_rng(1)
+    make = lambda n: (lambda rows: (np.concatenate(rows), np.cumsum([0, *map(len, rows)])))([rng.choice(9, 4, replace=False) for _ in range(n)])
+    p, u = make(5), make(8)
+    fit = toxicity.Fit(np.append(rng.normal(size=9) * (3 if prior > 0.5 else 1), 0.4), prior, 1)
+
+    def parts(w, b):
+        z = lambda x: np.array([w[x[0][s:e]].sum() + b for s, e in zip(x[1], x[1][1:])])
+        soft = lambda v: np.mean(np.log1p(np.exp(v)))
+        return prior * soft(-z(p)), soft(z(u)) - prior * soft(z(p))
+
+    positive, negative = parts(fit.w, fit.b)
+    risk = (lambda w, b: sum(parts(w, b))) if negative >= 0 else (lambda w, b: -parts(w, b)[1])
+    g, gb = fit.gradients(p, u)
+    for i in range(9):
+        step = np.eye(9)[i] * 1e-6
+        assert abs((risk(fit.w + step, fit.b) - risk(fit.w - step, fit.b)) / 2e-6 - g[i]) < 1e-6
+    assert abs((risk(fit.w, fit.b + 1e-6) - risk(fit.w, fit.b - 1e-6)) / 2e-6 - gb) < 1e-6
+
+
+# Language ------------------------------------------------------------------------------------------------------------
+
+
+def test_windows_hold_every_byte():
+    texts = ["", None, "Abc é 1", "x" * 700]
+    x, rows = langid.windows(pa.array(texts))
+    for i, t in enumerate(texts):
+        raw = (t or "").encode()
+        own = x[rows == i].ravel()[: len(raw)]
+        assert own.tolist() == [b - 64 if 65 <= b <= 90 else b - 96 if 97 <= b <= 122 else b - 101 if b > 127 else 0 for b in raw] and not x[rows == i].ravel()[len(raw) :].any()
+
+
+def test_the_network_equals_loops_and_its_gradients_equal_differences(monkeypatch):
+    monkeypatch.setattr(langid, "WINDOW", 12)
+    rng = np.random.default_rng(4)
+    net = langid.Network(["a", "b", "c"])
+    net.filters, net.out = [f.astype(np.float64) for f in net.filters], net.out.astype(np.float64)
+    x, y, weight = rng.integers(0, 20, (3, 12)).astype(np.uint8), np.array([0, 2, 1]), np.array([1.0, 0.5, 2.0])
+
+    def loss():
+        total = 0.0
+        for row, want, w in zip(x, y, weight):
+            pooled = [max(0.0, max(sum(f[j, row[i + j], k] for j in range(width)) for i in range(12 - width + 1))) for width, f in zip(langid.WIDTHS, net.filters) for k in range(langid.FILTERS)]
+            z = np.array(pooled) @ net.out + net.bias
+            total -= w / len(y) * (z[want] - np.log(np.exp(z).sum()))
+        return total
+
+    got = net._gradients(x, y, weight)
+    p = net.ready().probabilities(x)
+    assert abs(-(weight / len(y) * np.log(p[np.arange(3), y])).sum() - loss()) < 1e-6
+    for grad, part in zip(got, [*net.filters, net.out, net.bias]):
+        for at in [tuple(a) for a in np.argwhere(np.abs(grad) > 1e-4)[:6]]:
+            old, sides = part[at], []
+            for step in (1e-4, -1e-4):
+                part[at] = old + step
+                sides.append(loss())
+            part[at] = old
+            assert abs((sides[0] - sides[1]) / 2e-4 - grad[at]) < 2e-3
+
+
 # Mixing --------------------------------------------------------------------------------------------------------------
 
 
