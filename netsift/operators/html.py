@@ -28,10 +28,10 @@ HIDING = ("display: none", "visibility: hidden", "opacity: 0", "position: absolu
 
 def attribute(attrs: str, name: str) -> str:
     """SQL: an attribute's value, empty if it has none; null if the attribute isn't there."""
-    found = f"regexp_extract({attrs}, '(?is)(?:^|[\\\\s/\"\\'])({name})\\\\s*=\\\\s*(?:\"([^\"]*)\"|\\'([^\\']*)\\'|([^\\\\s\"\\'>]+))'"
-    value = f"concat({found}, 2), {found}, 3), {found}, 4))"
+    found = f"regexp_extract({attrs}, '(?is)(?:^|[\\\\s/\"\\'])(?:{name})\\\\s*=\\\\s*(\"[^\"]*\"|\\'[^\\']*\\'|[^\\\\s\"\\'>]+)', 1)"
     there = f"{attrs} rlike '(?is)(?:^|[\\\\s/\"\\'])({name})(?:\\\\s*=|[\\\\s/]|$)'"
-    return f"if({there}, {value}, null)"
+    value = t.let(found, "_v", f"if(_v <> '', regexp_replace(_v, '^[\"\\']|[\"\\']$', ''), if({there}, '', null))")
+    return f"if({attrs} = '', null, {value})"
 
 
 def text_columns(html: str) -> dict[str, str]:
@@ -52,9 +52,9 @@ def with_tags(df: DataFrame) -> DataFrame:
     body = f"regexp_replace({clean}, '(?is)(<(script|style)\\\\b[^>]*>).*?</\\\\2\\\\s*>', '$1')"
     df = df.selectExpr("*", f"regexp_extract_all({body}, '{TAG}', 0) as _raw", f"regexp_extract_all({clean}, '(?is)<script\\\\b[^>]*>.*?</script\\\\s*>', 0) as _all_scripts")
     names = ("href", "src", "action", "style", "type", "async", "hidden")
-    fields = ", ".join(f"'{n}', {attribute('a', n)}" for n in names)
+    fields = ", ".join(f"'{n}', {attribute('p.a', n)}" for n in names)
     split = "transform(_raw, x -> named_struct('name', lower(regexp_extract(x, '^<([A-Za-z][A-Za-z0-9:-]*)', 1)), 'a', regexp_replace(x, '^<[A-Za-z][A-Za-z0-9:-]*|>$', '')))"
-    df = df.selectExpr("*", f"{split} as _parts").selectExpr("*", f"transform(_parts, p -> named_struct('name', p.name, {fields.replace('(a,', '(p.a,').replace('if(a ', 'if(p.a ')})) as _tags")
+    df = df.selectExpr("*", f"{split} as _parts").selectExpr("*", f"transform(_parts, p -> named_struct('name', p.name, {fields})) as _tags")
     inline = f"array_join(filter(_all_scripts, x -> {attribute('''regexp_extract(x, '(?is)^<script([^>]*)>', 1)''', 'src')} is null), '')"
     return df.selectExpr("*", f"{inline} as _js").drop("_raw", "_parts", "_all_scripts")
 
