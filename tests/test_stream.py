@@ -5,6 +5,7 @@ import json
 
 import pytest
 
+from netsift.operators import stored
 from netsift.streaming import merge as sm
 
 NONE, SOME = '{"ips":[]}', '{"ips":["1.1.1.1"]}'
@@ -98,3 +99,12 @@ def test_a_restart_goes_on_with_what_was_read(spark, tmp_path):
     feed(spark, tmp_path, "ips", [ENDS["ips"]])
     assert times(merge_all(spark, tmp_path)) == [("d", True, 3.0)]
     assert times(merge_all(spark, tmp_path)) == [("d", True, 3.0)]
+
+
+def test_a_stream_is_written_as_it_comes(spark, tmp_path):
+    feed(spark, tmp_path, "own", COMPLETE)
+    rows = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 2).parquet(f"file://{tmp_path}/own")
+    query = stored.write_stream(rows.select("domain", "collector"), f"file://{tmp_path}/written", f"file://{tmp_path}/written-at", every="0 seconds")
+    query.processAllAvailable()
+    query.stop()
+    assert sorted(r.collector for r in spark.read.parquet(f"file://{tmp_path}/written").collect()) == ["dns", "rdap-dn", "tls", "zone"]
