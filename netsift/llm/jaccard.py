@@ -528,6 +528,25 @@ def _relabel(found: DataFrame, links: DataFrame) -> DataFrame:
     return keep(out.unionByName(alone), "components")
 
 
+def _linked(pairs: DataFrame, star: DataFrame | None, docs: DataFrame) -> DataFrame:
+    """node, component from the pairs (x, y, a, b) that are similar.
+
+    A forest comes first: each set with the least set that it may be similar to, and members of families with their hubs
+    (star). Of the other pairs only those are compared whose sets it has not joined.
+    """
+    least = pairs.groupBy("y").agg(F.min("x").alias("x")).select("x", "y")
+    first = keep(pairs.join((least if star is None else least.unionByName(star)).distinct(), ["x", "y"], "left_semi"), "first-pairs")
+    asked = pairs.select(F.col("x").alias("d1"), F.col("a").alias("rep")).unionByName(pairs.select(F.col("y").alias("d1"), F.col("b").alias("rep"))).distinct()
+    held = tokens_of(docs, keep(asked, "asked"))
+    found = keep(components(keep(similar(first, held), "links")), "components")
+    of = lambda side: found.withColumnsRenamed({"node": side, "component": f"c{side}"})
+    rest = pairs.join(first, ["x", "y"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left").select("x", "y", F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b")
+    links = keep(similar(rest, held).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+    forget(held)
+    forget(first)
+    return found if links.isEmpty() else _relabel(found, links)
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per row of docs: doc_id, n_shingles, component_id.
 
@@ -548,37 +567,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     met = keep(index(named, int(total[1]), buckets_for(0.8 * total[0], PER_BUCKET)).groupBy("bucket").applyInArrow(_meet_few, _MET), "met")
     release(spark)
     tight = keep(sets.join(_tight(met).select(F.col("x").bitwiseAND(F.lit(-2)).alias("d1")).distinct(), "d1", "left_semi").select("d1", "rep", "n_shingles"), "tight")
-    hot = tokens_of(named, tight)
-    again = tight.agg(F.sum("n_shingles")).first()[0] or 0
-    met_again = keep(finest(hot, buckets_for(again, PER_BUCKET, 12)).groupBy("bucket").applyInArrow(_meet_few, _MET), "met")
-    family = keep(_tight(met_again).withColumnRenamed("x", "d1").join(tight, "d1").select("d1", "rep", "n_shingles", (F.col("hot") / F.col("n_shingles")).alias("share")), "families")
-    hub = keep(hubs(hot, family.select("d1", "share")), "hubs")
-    star = hub.where("d1 <> hub").select(F.least("d1", "hub").alias("x"), F.greatest("d1", "hub").alias("y"))
-    few = met.unionByName(met_again).where("spare is null").select("x", "y")
-    pairs = keep(plausible(few.unionByName(star).distinct(), sets), "pairs")
-    forget(met)
-    forget(met_again)
-    # a forest first: each set with the least set that it may be similar to, and the members of families with their hubs
-    least = pairs.groupBy("y").agg(F.min("x").alias("x"))
-    first = keep(pairs.join(least.unionByName(star).distinct(), ["x", "y"], "left_semi"), "first-pairs")
-    asked = pairs.select(F.col("x").alias("d1"), F.col("a").alias("rep")).unionByName(pairs.select(F.col("y").alias("d1"), F.col("b").alias("rep"))).distinct()
-    held = tokens_of(named, keep(asked, "asked"))
-    release(spark)
-    found = keep(components(keep(similar(first, held), "links")), "components")
-    of = lambda side: found.withColumnsRenamed({"node": side, "component": f"c{side}"})
-    rest = pairs.join(first, ["x", "y"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left").select("x", "y", F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b")
-    links = keep(similar(rest, held).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
-    forget(held)
-    if not links.isEmpty():
-        found = _relabel(found, links)
-    home = hub.groupBy("d1").agg(F.max_by("hub", F.struct("hub_share", "hub")).alias("hub"))
-    members = family.join(found, F.col("rep") == F.col("node"), "left").select("d1", F.coalesce("component", "rep").alias("label"), "n_shingles").join(home, "d1")
-    links = _within_families(members, hot)
-    forget(hot)
+    few, hot, family, star, met_again = met.where("spare is null").select("x", "y"), None, None, None, None
+    if not tight.isEmpty():
+        hot = tokens_of(named, tight)
+        again = tight.agg(F.sum("n_shingles")).first()[0]
+        met_again = keep(finest(hot, buckets_for(again, PER_BUCKET, 12)).groupBy("bucket").applyInArrow(_meet_few, _MET), "met")
+        few = few.unionByName(met_again.where("spare is null").select("x", "y"))
+        family = keep(_tight(met_again).withColumnRenamed("x", "d1").join(tight, "d1").select("d1", "rep", "n_shingles", (F.col("hot") / F.col("n_shingles")).alias("share")), "families")
+        if not family.isEmpty():
+            hub = keep(hubs(hot, family.select("d1", "share")), "hubs")
+            star = hub.where("d1 <> hub").select(F.least("d1", "hub").alias("x"), F.greatest("d1", "hub").alias("y"))
+    pairs = keep(plausible((few if star is None else few.unionByName(star)).distinct(), sets), "pairs")
+    found = None
+    if not pairs.isEmpty():
+        found = _linked(pairs, star, named)
+    if star is not None:
+        home = hub.groupBy("d1").agg(F.max_by("hub", F.struct("hub_share", "hub")).alias("hub"))
+        label = F.coalesce("component", "rep") if found is not None else F.col("rep")
+        rows = family.join(found, F.col("rep") == F.col("node"), "left") if found is not None else family
+        links = _within_families(rows.select("d1", label.alias("label"), "n_shingles").join(home, "d1"), hot)
+        if not links.isEmpty():
+            found = _relabel(found, links) if found is not None else keep(components(links), "components")
+    for done in (met, met_again, hot, pairs):
+        forget(done)
     release(spark)
-    if not links.isEmpty():
-        found = _relabel(found, links)
-    several = sets.join(found, F.col("rep") == F.col("node"), "left").withColumn("_c", F.coalesce("component", "rep")).where("_c <> rep or last <> rep")
+    sets = sets.join(found, F.col("rep") == F.col("node"), "left") if found is not None else sets.withColumn("component", F.col("rep"))
+    several = sets.withColumn("_c", F.coalesce("component", "rep")).where("_c <> rep or last <> rep")
     named_sets = several.select(F.col("d1").alias("_1"), F.col("d2").alias("_2"), F.col("n_shingles").alias("_n"), "_c")
     same = (F.col("d1") == F.col("_1")) & (F.col("d2") == F.col("_2")) & (F.col("n_shingles") == F.col("_n"))
     rows = info.select("doc_id", "n_shingles", "d1", "d2").join(named_sets, same, "left")
