@@ -3,6 +3,8 @@
 import datetime as dt
 import json
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from netsift.operators import stored
@@ -15,10 +17,15 @@ BASE = dt.datetime(2024, 1, 1)
 SCHEMA = "domain string, ip string, collector string, value string, status_code int, offset long, ts timestamp"
 
 
-def feed(spark, tmp_path, name, rows, first=0):
+ARROW = pa.schema([("domain", pa.string()), ("ip", pa.string()), ("collector", pa.string()), ("value", pa.string()), ("status_code", pa.int32()), ("offset", pa.int64()), ("ts", pa.timestamp("us", "UTC"))])
+
+
+def feed(tmp_path, name, rows, first=0):
     """Write rows (domain, ip, collector, value, status, second) as files of one row each."""
+    (tmp_path / name).mkdir(exist_ok=True)
     for i, (d, ip, c, v, s, at) in enumerate(rows):
-        spark.createDataFrame([(d, ip, c, v, s, first + i, BASE + dt.timedelta(seconds=at))], SCHEMA).coalesce(1).write.mode("append").parquet(f"file://{tmp_path}/{name}")
+        row = dict(zip(ARROW.names, (d, ip, c, v, s, first + i, BASE.replace(tzinfo=dt.timezone.utc) + dt.timedelta(seconds=at))))
+        pq.write_table(pa.Table.from_pylist([row], ARROW), tmp_path / name / f"{first + i}.parquet")
 
 
 def merge_all(spark, tmp_path):
@@ -42,7 +49,7 @@ ENDS = {"own": ("end", None, "zone", "{}", 0, 10_000), "ips": ("end", "9.9.9.9",
 
 def run(spark, tmp_path, own, ips):
     for name, rows in (("own", own), ("ips", ips)):
-        feed(spark, tmp_path, name, [*rows, ENDS[name]])
+        feed(tmp_path, name, [*rows, ENDS[name]])
     return merge_all(spark, tmp_path)
 
 
@@ -93,16 +100,16 @@ def test_the_more_useful_result_stays(spark, tmp_path, second):
 
 
 def test_a_restart_goes_on_with_what_was_read(spark, tmp_path):
-    feed(spark, tmp_path, "own", own(("zone", "{}", 0, 1), ("dns", NONE, 0, 2)))
+    feed(tmp_path, "own", own(("zone", "{}", 0, 1), ("dns", NONE, 0, 2)))
     assert merge_all(spark, tmp_path) == []
-    feed(spark, tmp_path, "own", [*own(("rdap-dn", "{}", 0, 3)), ENDS["own"]], first=2)
-    feed(spark, tmp_path, "ips", [ENDS["ips"]])
+    feed(tmp_path, "own", [*own(("rdap-dn", "{}", 0, 3)), ENDS["own"]], first=2)
+    feed(tmp_path, "ips", [ENDS["ips"]])
     assert times(merge_all(spark, tmp_path)) == [("d", True, 3.0)]
     assert times(merge_all(spark, tmp_path)) == [("d", True, 3.0)]
 
 
 def test_a_stream_is_written_as_it_comes(spark, tmp_path):
-    feed(spark, tmp_path, "own", COMPLETE)
+    feed(tmp_path, "own", COMPLETE)
     rows = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 2).parquet(f"file://{tmp_path}/own")
     query = stored.write_stream(rows.select("domain", "collector"), f"file://{tmp_path}/written", f"file://{tmp_path}/written-at", every="0 seconds")
     query.processAllAvailable()
