@@ -198,9 +198,9 @@ def P6_ip_for_tls(spark, sf_dir):
     return records(spark, sf_dir).select("domain", ro.ip_for_tls().alias("ip"))
 
 
-@query(f"WITH h AS (SELECT page_id, {HOST_SQL} AS d FROM pages) SELECT page_id, d AS domain, k FROM h, (VALUES ('dns'), ('rdap')) t(k) WHERE page_id % 4 <> 0 AND (k = 'rdap' OR page_id % 3 <> 0)")
+@query(f"WITH h AS (SELECT page_id, {HOST_SQL} AS d FROM pages) SELECT page_id, d AS domain, k FROM h, (VALUES ('dns'), ('rdap')) t(k) WHERE page_id % 4 <> 0 AND page_id % 5 <> 1 AND (k = 'rdap' OR page_id % 3 <> 0)")
 def P3_P4_route_zone(spark, sf_dir):
-    rows = hosts(spark, sf_dir).selectExpr("page_id", "domain_name as domain", "cast(page_id as string) as zone", "if(page_id % 4 = 0, 12, 0) as status_code", "if(page_id % 3 = 0, false, null) as collect_dns", "cast(null as boolean) as collect_rdap", "cast(array() as array<string>) as types_to_collect", "cast(array() as array<string>) as types_to_process_ips_from")
+    rows = hosts(spark, sf_dir).selectExpr("page_id", "if(page_id % 5 = 1, concat(domain_name, '.in-addr.ARPA'), domain_name) as domain", "cast(page_id as string) as zone", "if(page_id % 4 = 0, 12, 0) as status_code", "if(page_id % 3 = 0, false, null) as collect_dns", "cast(null as boolean) as collect_rdap", "cast(array() as array<string>) as types_to_collect", "cast(array() as array<string>) as types_to_process_ips_from")
     rows = rows.where(ro.reject_arpa(F.col("domain")) == 0)
     dns, rdap = ro.route_zone(rows)
     return dns.selectExpr("cast(zone as bigint) as page_id", "domain", "'dns' as k").unionByName(rdap.selectExpr("cast(zone as bigint) as page_id", "domain", "'rdap' as k"))
@@ -262,13 +262,19 @@ def O8_json_nul_check(spark, sf_dir):
     return read(spark, sf_dir, "documents").selectExpr("doc_id", f"{raw} as raw").select("doc_id", st.json_storable(F.col("raw")).alias("storable"))
 
 
-@query("SELECT count(DISTINCT l_suppkey) AS sources, (SELECT count(DISTINCT l_orderkey) FROM lineitem) AS offenses, (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem)) AS links FROM lineitem")
+@query(
+    """WITH s AS (SELECT DISTINCT CASE WHEN l_suppkey % 2 = 0 THEN l_suppkey ELSE 2 END AS id FROM lineitem)
+    SELECT 'source' AS kind, id, 2::DOUBLE AS x FROM s UNION ALL SELECT 'source', l_suppkey, -1 FROM (SELECT DISTINCT l_suppkey FROM lineitem) WHERE l_suppkey NOT IN (SELECT id FROM s)
+    UNION ALL SELECT 'offense', l_orderkey, max(l_linenumber) FROM lineitem GROUP BY 2 UNION ALL SELECT 'link', l_orderkey, l_suppkey FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem)"""
+)
 def O10_siem_tables(spark, sf_dir):
     o = F.struct(F.col("l_orderkey").alias("id"), F.lit("d").alias("description"), F.lit(1.0).alias("magnitude"), F.col("l_linenumber").alias("updated"), F.array("l_suppkey").alias("source_ids"))
     rows = read(spark, sf_dir, "lineitem").where("l_suppkey % 2 = 0").select(F.col("l_suppkey").alias("source_id"), F.lit("1.1.1.1").alias("ip"), F.lit(2.0).alias("magnitude"), F.col("l_orderkey").alias("ts"), F.array(o).alias("offenses"))
     rest = read(spark, sf_dir, "lineitem").where("l_suppkey % 2 = 1").select(F.lit(2).cast("bigint").alias("source_id"), F.lit("1.1.1.1").alias("ip"), F.lit(2.0).alias("magnitude"), F.col("l_orderkey").alias("ts"), F.array(o).alias("offenses"))
     sources, offenses, links = st.siem_tables(rows.withColumn("source_id", F.col("source_id").cast("bigint")).unionByName(rest), spark.sql("SELECT CAST(-1 AS BIGINT) AS source_id"))
-    return sources.agg(F.count("*").alias("sources")).crossJoin(offenses.agg(F.count("*").alias("offenses"))).crossJoin(links.agg(F.count("*").alias("links")))
+    parts = (("source", sources, "source_id", "magnitude"), ("offense", offenses, "id", "updated"), ("link", links, "offense_id", "source_id"))
+    out = [df.select(F.lit(kind).alias("kind"), F.col(i).cast("bigint").alias("id"), F.col(x).cast("double").alias("x")) for kind, df, i, x in parts]
+    return out[0].unionByName(out[1]).unionByName(out[2])
 
 
 @query("SELECT 'd' || user_id AS domain, CASE event_type WHEN 'click' THEN 'dns' WHEN 'view' THEN 'tls' ELSE event_type END AS collector, epoch_ms(date_trunc('second', ts)) AS timestamp, count(*) AS n FROM events GROUP BY ALL")

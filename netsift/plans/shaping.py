@@ -45,12 +45,14 @@ def O4_ip_dim(spark, sf_dir):
     return st.new_ips(merged, merged.select("domain", F.lit("10.0.0.1").alias("ip")))
 
 
-@query(f"WITH {_EV} SELECT domain AS key, len(dns_ips) > 0 AS has_ips FROM a WHERE zone_offset IS NOT NULL AND dns_offset IS NOT NULL")
+@query(f"WITH {_EV} SELECT domain AS key, len(dns_ips) > 0 AS has_ips, tls_offset IS NOT NULL AS has_tls, rdap_offset IS NOT NULL AS has_rdap, CASE WHEN len(dns_ips) > 0 THEN coalesce(n, 0) END AS n_ips FROM a LEFT JOIN (SELECT domain, count(DISTINCT ip) AS n FROM best GROUP BY 1) USING (domain) WHERE zone_offset IS NOT NULL AND dns_offset IS NOT NULL")
 def O1_merged_json(spark, sf_dir):
     rows = st.merged_json(m.merge_batch(domain_rows(spark, sf_dir), ip_rows(spark, sf_dir)))
     has = F.get_json_object("value", "$.ipResults").isNotNull()
     good = F.get_json_object(F.get_json_object("value", "$.dnsResult"), "$.statusCode") == "0"
-    return rows.select("key", F.when(good, has).alias("has_ips"))
+    there = lambda name: F.get_json_object("value", f"$.{name}").isNotNull()
+    n = F.size(F.json_object_keys(F.get_json_object("value", "$.ipResults"))).cast("bigint")
+    return rows.select("key", F.when(good, has).alias("has_ips"), there("tlsResult").alias("has_tls"), there("rdapDomainResult").alias("has_rdap"), F.when(has, n).alias("n_ips"))
 
 
 @query("SELECT l_orderkey AS domain, CASE WHEN l_orderkey % 2 = 0 THEN 'tls' ELSE 'none' END AS extra, 2 + (l_orderkey % 2 = 0)::INTEGER + count(DISTINCT l_suppkey) AS n, 1000 - 500 AS zone_at FROM lineitem GROUP BY 1")
