@@ -25,7 +25,7 @@ SLOTS = 1 << 20
 LEAST_DOCS = 4
 BATCH, RATE, SPARSITY = 512, 0.07, 4e-4
 #: Rounds of averaging; in each a partition takes so many steps for each chunk of its documents.
-ROUNDS, STEPS, CHUNK = 2, 300, 16_384
+ROUNDS, STEPS, CHUNK = 2, 300, 8_192
 #: Partitions whose parameters are averaged at a time.
 FAN_IN = 64
 FOLDS, HELD = 5, 0
@@ -81,7 +81,7 @@ def _smallest(ids: DataFrame, most: int) -> DataFrame:
 
 def _csr(docs: list[np.ndarray], place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     rows = [p[p >= 0] for p in (place[d] for d in docs)]
-    return np.concatenate([np.zeros(0, np.int64), *rows]).astype(np.int64), np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
+    return np.concatenate([np.zeros(0, np.int32), *rows]).astype(np.int32), np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
 
 
 def _dot(weight: np.ndarray, idx: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -164,7 +164,7 @@ def pack(docs: DataFrame, used: np.ndarray, folds: int, held: int) -> DataFrame:
 
 def _packed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     each = [np.frombuffer(x.as_buffer(), np.int32) for x in column]
-    return np.concatenate([np.zeros(0, np.int32), *each]).astype(np.int64), np.cumsum([0, *map(len, each)])
+    return np.concatenate([np.zeros(0, np.int32), *each]), np.cumsum([0, *map(len, each)])
 
 
 def train(packed: DataFrame, toxic: tuple[np.ndarray, np.ndarray], n_features: int, prior: float, rounds: int = ROUNDS) -> np.ndarray:
@@ -182,7 +182,9 @@ def train(packed: DataFrame, toxic: tuple[np.ndarray, np.ndarray], n_features: i
             def use() -> None:
                 idx, starts = zip(*held)
                 ends = np.cumsum([0, *(len(x) for x in idx)])
-                fit.steps(toxic, (np.concatenate(idx), np.concatenate([[0], *(s[1:] + e for s, e in zip(starts, ends))])), STEPS)
+                both = np.concatenate(idx), np.concatenate([[0], *(s[1:] + e for s, e in zip(starts, ends))])
+                held.clear()
+                fit.steps(toxic, both, STEPS)
 
             for batch in batches:
                 if batch.num_rows:
@@ -190,7 +192,6 @@ def train(packed: DataFrame, toxic: tuple[np.ndarray, np.ndarray], n_features: i
                     seen += batch.num_rows
                 if sum(len(s) - 1 for _, s in held) >= CHUNK:
                     use()
-                    held = []
             if held:
                 use()
             if seen:
