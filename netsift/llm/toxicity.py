@@ -154,7 +154,7 @@ def pack(docs: DataFrame, used: np.ndarray, folds: int, held: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             slot, starts = features(batch.column("text"), shared.value >= 0)
-            ids = shared.value[slot]
+            ids = shared.value[slot].astype(_kind(len(used)))
             rows = pa.array([ids[a:b].tobytes() for a, b in zip(starts, starts[1:])], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), rows], names=["doc_id", "held_out", "ids"])
 
@@ -162,8 +162,13 @@ def pack(docs: DataFrame, used: np.ndarray, folds: int, held: int) -> DataFrame:
     return rows.mapInArrow(work, "doc_id long, held_out boolean, ids binary")
 
 
-def _packed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    each = [np.frombuffer(x.as_buffer(), np.int32) for x in column]
+def _kind(n_features: int) -> type:
+    """The narrowest numbers that name so many features."""
+    return np.uint16 if n_features <= 1 << 16 else np.int32
+
+
+def _packed(column: pa.Array, n_features: int) -> tuple[np.ndarray, np.ndarray]:
+    each = [np.frombuffer(x.as_buffer(), _kind(n_features)).astype(np.int32) for x in column]
     return np.concatenate([np.zeros(0, np.int32), *each]), np.cumsum([0, *map(len, each)])
 
 
@@ -188,7 +193,7 @@ def train(packed: DataFrame, toxic: tuple[np.ndarray, np.ndarray], n_features: i
 
             for batch in batches:
                 if batch.num_rows:
-                    held.append(_packed(batch.column("ids")))
+                    held.append(_packed(batch.column("ids"), n_features))
                     seen += batch.num_rows
                 if sum(len(s) - 1 for _, s in held) >= CHUNK:
                     use()
@@ -228,7 +233,7 @@ def score_packed(packed: DataFrame, params: np.ndarray) -> DataFrame:
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(_sigmoid(_dot(shared.value[:-1], *_packed(batch.column("ids"))) + shared.value[-1]))], names=["doc_id", "held_out", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(_sigmoid(_dot(shared.value[:-1], *_packed(batch.column("ids"), len(shared.value) - 1)) + shared.value[-1]))], names=["doc_id", "held_out", "score"])
 
     return packed.mapInArrow(scores, "doc_id long, held_out boolean, score double")
 
