@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunks, decontam, jaccard, langid, lblm, mixing, quality, toxicity, urlgraph, warc
+from . import chunks, decontam, jaccard, langid, lblm, mixing, quality, tokenstore, toxicity, urlgraph, warc
 from .common import table
 
 
@@ -53,7 +53,15 @@ def op10_logbilinear_nce(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lblm.score_texts(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_revisits, op2_gear_chunks, op3_url_trust, op4_latent_decontamination, op5_ngram_jaccard, op6_quality_forest, op7_entropy_mix, op8_toxicity_nnpu, op9_language_cnn, op10_logbilinear_nce)}
+def op11_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    store = tokenstore.write_store(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return tokenstore.lookup(tokenstore.keys_of(docs), store).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc_revisits, op2_gear_chunks, op3_url_trust, op4_latent_decontamination, op5_ngram_jaccard, op6_quality_forest, op7_entropy_mix, op8_toxicity_nnpu, op9_language_cnn, op10_logbilinear_nce, op11_token_index)}
 
 ORACLE_SQL = {
     "op1_warc_revisits": """
