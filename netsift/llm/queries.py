@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunks, decontam, jaccard, langid, lblm, mixing, negatives, quality, tokenstore, toxicity, urlgraph, warc
+from . import chunks, decontam, jaccard, langid, lblm, mixing, negatives, quality, repair, tokenstore, toxicity, urlgraph, warc
 from .common import table
 
 
@@ -61,13 +61,24 @@ def op11_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenstore.lookup(tokenstore.keys_of(docs), store).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows are damaged by a checksum of their key before they are repaired; nulls in them are one space."""
+    space = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    damage = F.crc32(F.concat(space("conv_id"), F.lit(":"), space("turn")).cast("binary")) % 20
+    text = F.when(damage == 1, "").when(damage == 2, F.translate(space("text"), ".!?", "")).otherwise(space("text"))
+    rows = table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", F.when(damage == 4, "user").otherwise(space("role")).alias("role"), text.alias("text"), F.when(damage == 0, 0).when(damage == 3, 2).otherwise(1).alias("times"),
+    )
+    return repair.repair(rows)
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", moved.alias("label"), F.col("embedding").alias("vector"))
     return negatives.mine(vectors, F.col("vec_id") % 50 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_revisits, op2_gear_chunks, op3_url_trust, op4_latent_decontamination, op5_ngram_jaccard, op6_quality_forest, op7_entropy_mix, op8_toxicity_nnpu, op9_language_cnn, op10_logbilinear_nce, op11_token_index, op13_hard_negatives)}
+QUERIES = {f.__name__: f for f in (op1_warc_revisits, op2_gear_chunks, op3_url_trust, op4_latent_decontamination, op5_ngram_jaccard, op6_quality_forest, op7_entropy_mix, op8_toxicity_nnpu, op9_language_cnn, op10_logbilinear_nce, op11_token_index, op12_conversation_repair, op13_hard_negatives)}
 
 ORACLE_SQL = {
     "op1_warc_revisits": """
