@@ -9,10 +9,16 @@ TOPIC_COLLECTORS = {"processed_zone": "zone", "processed_DNS": "dns", "processed
 
 
 def merged_json(merged: DataFrame) -> DataFrame:
-    """key and JSON value of merged rows with zone and dns; other entries may be null, as are addresses where DNS has none."""
-    raw = lambda c: F.col(f"{c}.value")
-    body = F.to_json(F.struct(raw("zone").alias("zone"), raw("dns").alias("dnsResult"), raw("tls").alias("tlsResult"), raw("rdap").alias("rdapDomainResult"), F.transform_values("ips", lambda _, m: F.transform_values(m, lambda _, e: e["value"])).alias("ipResults")))
-    return merged.where("zone is not null and dns is not null").select(F.col("domain").alias("key"), body.alias("value"))
+    """key and JSON value of merged rows with zone and dns, as parse_merged() reads it: bodies of results are objects in it, of
+    zone's only its ``zone``. Other results may be missing, as are ipResults where DNS has no address. What is no JSON is left
+    out. Bodies are passed on as variants, whatever they hold.
+    """
+    body = lambda entry: F.try_parse_json(entry["value"])
+    zone = F.try_variant_get(body(F.col("zone")), "$.zone", "variant")
+    own = [body(F.col(c)).alias(name) for c, name in (("dns", "dnsResult"), ("tls", "tlsResult"), ("rdap", "rdapDomainResult"))]
+    ips = F.transform_values("ips", lambda _, m: F.transform_values(m, lambda _, e: body(e)))
+    value = F.to_json(F.struct(zone.alias("zone"), *own, ips.alias("ipResults")))
+    return merged.where("zone is not null and dns is not null").select(F.col("domain").alias("key"), value.alias("value"))
 
 
 def write_stream(rows: DataFrame, path: str, checkpoint: str, every: str = "5 seconds", **kafka: str):

@@ -9,6 +9,7 @@ from netsift.sources.folders import new_folder
 from netsift.streaming import merge as sm
 
 from .features import read
+from .merging import BODY, IP_BODY, IP_KIND, KIND
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -19,12 +20,10 @@ def event_stream(spark, sf_dir, name: str) -> DataFrame:
 
 
 def stream_results(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    ips = "case when pmod(k, 3) = 0 then '' when pmod(k, 3) = 1 then '\"10.0.0.1\"' else '\"10.0.0.1\",\"10.0.0.2\"' end"
-    common = ("concat('d', user_id) as domain", "if(value < 80, 0, 10) as status_code", "event_id as offset", "cast(ts as timestamp) as ts")
-    kind = "case event_type when 'signup' then 'zone' when 'click' then 'dns' when 'view' then 'tls' when 'error' then 'rdap-dn' end"
-    own = event_stream(spark, sf_dir, "domain").selectExpr(*common, f"{kind} as collector", f"concat('{{\"ips\":[', {ips}, ']}}') as value").where("collector is not null")
-    kind = "case event_type when 'signup' then 'geo-asn' when 'click' then 'rdap-ip' when 'view' then 'rtt' when 'purchase' then 'nerd' end"
-    per_ip = event_stream(spark, sf_dir, "ip").selectExpr(*common, "concat('10.0.0.', pmod(k, 4)) as ip", f"{kind} as collector", "'{}' as value").where("collector is not null")
+    """The events of the batch merge as two streams of results."""
+    common = ("concat('d', user_id) as domain", "if(value < 80, 0, 10) as status_code", "if(value < 80, null, 'failed') as error", "event_id as offset", "cast(ts as timestamp) as ts")
+    own = event_stream(spark, sf_dir, "domain").selectExpr(*common, f"{KIND} as collector", f"{BODY} as value").where("collector is not null")
+    per_ip = event_stream(spark, sf_dir, "ip").selectExpr(*common, "concat('10.0.0.', pmod(k, 4)) as ip", f"{IP_KIND} as collector", f"{IP_BODY} as value").where("collector <> 'other'")
     return own, per_ip
 
 

@@ -166,3 +166,22 @@ def split_merged(merged: DataFrame) -> DataFrame:
     )
     all_ = F.concat(F.filter(own, lambda x: x.isNotNull()), F.coalesce(per_ip, F.array().cast("array<struct<ip:string,collector:string,status_code:int,error:string,last_attempt:bigint,data:string>>")))
     return merged.select("domain", F.explode(all_).alias("r")).select("domain", "r.*")
+
+
+def split_merged_json(raw: DataFrame) -> DataFrame:
+    """split_merged() of messages (key: the domain, value: a merged record as JSON), whatever the bodies hold: data is the whole
+    result as JSON text, zone's in an envelope. Records that are no JSON give no rows."""
+    rows = raw.select(F.col("key").cast("string").alias("domain"), F.try_parse_json(F.col("value").cast("string")).alias("v"))
+    at = lambda path, kind="variant": F.try_variant_get("v", path, kind)
+    zone_at = at("$.dnsResult.lastAttempt", "bigint") - 500
+    zone = F.to_json(F.struct(F.lit(0).alias("statusCode"), zone_at.alias("lastAttempt"), at("$.zone").alias("zone")))
+    own = F.array(
+        F.struct(F.lit(None).cast("string").alias("ip"), F.lit("zone").alias("collector"), F.when(at("$.zone").isNotNull() & ~F.is_variant_null(at("$.zone")), F.try_parse_json(zone)).alias("r")),
+        *[F.struct(F.lit(None).cast("string").alias("ip"), F.lit(name).alias("collector"), at(f"$.{c}").alias("r")) for name, c in (("dns", "dnsResult"), ("tls", "tlsResult"), ("rdap-dn", "rdapDomainResult"))],
+    )
+    maps = at("$.ipResults", "map<string, map<string, variant>>")
+    per_ip = F.flatten(F.transform(F.map_entries(maps), lambda x: F.transform(F.map_entries(x["value"]), lambda y: F.struct(x["key"].alias("ip"), y["key"].alias("collector"), y["value"].alias("r")))))
+    none = F.array().cast("array<struct<ip: string, collector: string, r: variant>>")
+    each = rows.select("domain", F.explode(F.concat(own, F.coalesce(per_ip, none))).alias("x")).select("domain", "x.*").where(F.col("r").isNotNull() & ~F.is_variant_null("r"))
+    got = lambda path, kind: F.try_variant_get("r", path, kind)
+    return each.select("domain", "ip", "collector", got("$.statusCode", "int").alias("status_code"), got("$.error", "string").alias("error"), got("$.lastAttempt", "bigint").alias("last_attempt"), F.to_json("r").alias("data"))
