@@ -20,3 +20,19 @@ def new_folder(spark: SparkSession, name: str) -> str:
             _own.append("file://" + tempfile.mkdtemp(prefix="spark-folders-"))
         base = _own[0]
     return f"{(base or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/netsift-{name}-{uuid.uuid4().hex}"
+
+
+def _at(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, where = _at(spark, path)
+    return system.exists(where)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    system, where = _at(spark, path)
+    system.delete(where, True)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from netsift.operators.merge import DOMAIN_COLLECTORS, ENTRY_TYPE, IP_COLLECTORS
+from netsift.streaming.inputs import with_heartbeat
 
 _ENTRY = "value string, status_code int, error string, at long, offset long"
 _ROW = f"struct<{_ENTRY.replace(' ', ':').replace(',:', ', ')}>"
@@ -250,12 +251,15 @@ def _both(domain_results: DataFrame, ip_results: DataFrame) -> DataFrame:
     return pick(domain_results, "null").unionByName(pick(ip_results, "ip"))
 
 
-def merge_stream(domain_results: DataFrame, ip_results: DataFrame, out_of_order: str = "1 second", processor: Merge | None = None) -> DataFrame:
+def merge_stream(domain_results: DataFrame, ip_results: DataFrame, out_of_order: str = "1 second", processor: Merge | None = None, idle: str | None = None) -> DataFrame:
     """Merged records (MERGED: the columns of merge_batch() and emitted_at) of two streams of results (domain, collector, value,
     status_code, offset, ts, maybe error; ip for the second one). The session needs the RocksDB state store provider.
 
-    Each input has its own watermark and the query follows the slower one.
+    Each input has its own watermark and the query follows the slower one. With ``idle`` (a time like "30 seconds") an input from
+    which nothing came for so long follows the clock instead of holding the other back; without it, it does.
     """
+    if idle:
+        domain_results, ip_results = (with_heartbeat(df, idle) for df in (domain_results, ip_results))
     both = _both(domain_results.withWatermark("ts", out_of_order), ip_results.withWatermark("ts", out_of_order))
     out = both.groupBy("domain").transformWithState(statefulProcessor=processor or Merge(), outputStructType=_OUT, outputMode="append", timeMode="eventTime")
     typed = lambda e: F.when(e.isNotNull(), F.struct(e["value"].alias("value"), e["status_code"].alias("status_code"), e["error"].alias("error"), F.timestamp_millis(e["at"]).alias("ts"), e["offset"].alias("offset")))
