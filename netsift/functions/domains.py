@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import unicodedata
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A short default table; callers may pass the full public list as a DataFrame with a column ``suffix``.
+#: A short default table; callers may pass the full public list as a DataFrame with a column ``suffix``, rules with ``*.`` and
+#: ``!`` included.
 DEFAULT_SUFFIXES = ("com", "net", "org", "edu", "gov", "int", "info", "biz", "io", "eu", "cz", "de", "fr", "es", "it", "us", "cc", "me", "uk", "co.uk", "ac.uk", "org.uk", "com.au", "co.jp")
-#: Labels of the longest suffix that is looked up.
-MOST_LABELS = 4
 
 HOSTNAME = r"(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\\.)+[A-Za-z][A-Za-z0-9-]{0,61}[A-Za-z0-9]"
 
@@ -72,19 +75,46 @@ def suffix_table(spark: SparkSession, suffixes: tuple[str, ...] = DEFAULT_SUFFIX
     return spark.sql("SELECT * FROM VALUES " + ", ".join(f"('{s}')" for s in suffixes) + " AS t(suffix)")
 
 
+def _ascii(names: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Names with each label that isn't ASCII as it stands in DNS (punycode)."""
+    label = lambda x: x if x.isascii() else "xn--" + x.encode("punycode").decode()
+    for batch in names:
+        yield batch.map(lambda n: ".".join(map(label, unicodedata.normalize("NFC", n.lower()).split("."))))
+
+
+def suffix_rules(suffixes: DataFrame) -> tuple[DataFrame, int]:
+    """Rules by the name that they are found at: tail, plain, wild (``*.tail``), exempt (``!tail``); and the labels of the longest
+    tail, which a small job over the rules finds. Rules that aren't ASCII stand in both spellings."""
+    own = suffixes.select(F.lower(F.trim("suffix")).alias("rule")).where("rule <> ''")
+    kinds = own.select(F.regexp_replace("rule", r"^(\*\.|!)", "").alias("tail"), F.startswith("rule", F.lit("*.")).alias("wild"), F.startswith("rule", F.lit("!")).alias("exempt"))
+    foreign = kinds.where("tail rlike '[^\\\\x00-\\\\x7f]'")
+    both = kinds.unionByName(foreign.withColumn("tail", F.pandas_udf(_ascii, "string")("tail")))
+    found = both.groupBy("tail").agg(F.bool_or(~F.col("wild") & ~F.col("exempt")).alias("plain"), F.bool_or("wild").alias("wild"), F.bool_or("exempt").alias("exempt"))
+    return found, own.agg(F.coalesce(F.max(F.size(F.split("rule", r"\."))), F.lit(0))).first()[0]
+
+
 def split_names(df: DataFrame, name: str = "domain_name", suffixes: DataFrame | None = None) -> DataFrame:
-    """df with subdomain, sld and suffix: the longest known suffix wins; without one, suffix is empty.
+    """df with subdomain, sld and suffix: an exception rule (``!``) wins, then the longest suffix, a ``*`` being any one label;
+    without a rule, suffix is empty.
 
-    One equi-join with the suffix table for each possible number of labels: no row is multiplied and none is grouped.
+    One equi-join with the rules for each possible number of labels, of which there are as many as the longest rule has: no row is
+    multiplied and none is grouped.
     """
-    table = suffix_table(df.sparkSession) if suffixes is None else suffixes.select("suffix").distinct()
-    labels = F.split(F.lower(F.col(name)), r"\.")
-    out = df.withColumn("_l", labels)
-    for k in range(1, MOST_LABELS + 1):
-        tail = F.when(F.size("_l") >= k, F.array_join(F.slice("_l", -k, k), "."))
-        out = out.withColumn(f"_c{k}", tail).join(table.withColumnRenamed("suffix", f"_s{k}"), F.col(f"_c{k}") == F.col(f"_s{k}"), "left")
-    n = F.coalesce(*[F.when(F.col(f"_s{k}").isNotNull(), k) for k in range(MOST_LABELS, 0, -1)], F.lit(0))
-    rest = F.size("_l") - F.col("_n")
+    if suffixes is None:
+        rules = suffix_table(df.sparkSession).select(F.col("suffix").alias("tail"), F.lit(True).alias("plain"), F.lit(False).alias("wild"), F.lit(False).alias("exempt"))
+        most = max(s.count(".") + 1 for s in DEFAULT_SUFFIXES)
+    else:
+        rules, most = suffix_rules(suffixes)
+    out = df.withColumn("_l", F.split(F.lower(F.col(name)), r"\."))
+    size = F.size("_l")
+    lengths, exempt = [], []
+    for k in range(1, most + 1):
+        tail = F.when(size >= k, F.array_join(F.slice("_l", -k, k), "."))
+        out = out.withColumn(f"_c{k}", tail).join(rules.select(F.col("tail").alias(f"_s{k}"), *[F.col(c).alias(f"_{c}{k}") for c in ("plain", "wild", "exempt")]), F.col(f"_c{k}") == F.col(f"_s{k}"), "left")
+        lengths += [F.when(F.col(f"_plain{k}"), k), F.when(F.col(f"_wild{k}") & (size > k), k + 1)]
+        exempt.append(F.when(F.col(f"_exempt{k}"), k - 1))
+    n = F.coalesce(*reversed(exempt), F.array_max(F.array(*lengths)), F.lit(0)) if most else F.lit(0)
+    rest = size - F.col("_n")
     out = out.withColumn("_n", n).withColumns(
         {
             "suffix": F.when(F.col("_n") > 0, F.array_join(F.slice("_l", rest + 1, F.col("_n")), ".")).otherwise(""),
@@ -92,7 +122,7 @@ def split_names(df: DataFrame, name: str = "domain_name", suffixes: DataFrame |
             "subdomain": F.when(rest > 1, F.array_join(F.slice("_l", F.lit(1), rest - 1), ".")).otherwise(""),
         }
     )
-    return out.drop("_l", "_n", *[f"_c{k}" for k in range(1, MOST_LABELS + 1)], *[f"_s{k}" for k in range(1, MOST_LABELS + 1)])
+    return out.drop("_l", "_n", *[f"_{c}{k}" for k in range(1, most + 1) for c in ("c", "s", "plain", "wild", "exempt")])
 
 
 def url_host(url: str) -> str:

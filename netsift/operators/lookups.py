@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,20 +12,33 @@ from netsift.functions import codes
 from netsift.functions.domains import split_names
 
 V4 = r"^(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])$"
-V6 = r"^(?=.*:)(?!.*::.*::)(?!.*:::)(?:[0-9A-Fa-f]{1,4}|:)(?::?[0-9A-Fa-f]{0,4}){0,8}$"
+GROUP = r"^[0-9A-Fa-f]{1,4}$"
+_V4_AT_END = r"^(.*:)([0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3})$"
+
+
+def _v4_hex(ip: Column) -> Column:
+    return F.array_join(F.transform(F.split(ip, r"\."), lambda x: F.lpad(F.lower(F.hex(x.cast("bigint"))), 2, "0")), "")
 
 
 def address_hex(ip: Column) -> Column:
-    """An address as fixed-width hex, 8 digits for IPv4 and 32 for IPv6, which compares like the number; null if it is none."""
-    v4 = F.array_join(F.transform(F.split(ip, r"\."), lambda x: F.lpad(F.lower(F.hex(x.cast("bigint"))), 2, "0")), "")
+    """An address as fixed-width hex, 8 digits for IPv4 and 32 for IPv6, which compares like the number; null if it is none.
+
+    IPv6 is read strictly: eight groups, or fewer with one ``::`` for at least one, the last two maybe written as IPv4. An address
+    that maps an IPv4 one (::ffff:1.2.3.4) is that one.
+    """
+    inner = F.regexp_extract(ip, _V4_AT_END, 2)
+    digits = _v4_hex(inner)
+    plain = F.when(inner == "", ip).when(inner.rlike(V4), F.concat(F.regexp_extract(ip, _V4_AT_END, 1), F.substring(digits, 1, 4), F.lit(":"), F.substring(digits, 5, 4)))
+    halves = F.split(plain, "::")
     none = F.array().cast("array<string>")
-    groups = lambda s: F.filter(F.split(s, ":"), lambda x: x != "")
-    head = groups(F.when(F.contains(ip, F.lit("::")), F.split_part(ip, F.lit("::"), F.lit(1))).otherwise(ip))
-    tail = F.when(F.contains(ip, F.lit("::")), groups(F.split_part(ip, F.lit("::"), F.lit(2)))).otherwise(none)
-    fill = F.array_repeat(F.lit("0"), F.greatest(8 - F.size(head) - F.size(tail), F.lit(0)))
-    full = F.transform(F.concat(head, fill, tail), lambda x: F.lpad(F.lower(x), 4, "0"))
-    fits = ip.rlike(V6) & (F.size(full) == 8)
-    return F.when(ip.rlike(V4), v4).when(fits, F.array_join(full, ""))
+    groups = lambda x: F.when(x == "", none).otherwise(F.split(x, ":"))
+    head, tail = groups(F.get(halves, 0)), F.when(F.size(halves) == 2, groups(F.get(halves, 1))).otherwise(none)
+    n = F.size(head) + F.size(tail)
+    whole = F.when(F.size(halves) == 1, n == 8).otherwise((F.size(halves) == 2) & (n <= 7))
+    fits = whole & F.forall(F.concat(head, tail), lambda x: x.rlike(GROUP))
+    fill = F.array_repeat(F.lit("0"), F.greatest(8 - n, F.lit(0)))
+    v6 = F.array_join(F.transform(F.concat(head, fill, tail), lambda x: F.lpad(F.lower(x), 4, "0")), "")
+    return F.when(ip.rlike(V4), _v4_hex(ip)).when(F.contains(ip, F.lit(":")) & fits, F.when(v6.startswith("0" * 20 + "ffff"), F.substring(v6, 25, 8)).otherwise(v6))
 
 
 def known_names(seeds: DataFrame, known: DataFrame, force: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -34,23 +50,58 @@ def known_names(seeds: DataFrame, known: DataFrame, force: bool = False) -> tupl
     return fresh, counts
 
 
+def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ranges (ip_start, ip_end: hex) as the fewest networks that cover them, two for each bit of an address at most: _p and _k, the
+    length and the first bits of each; an upside-down or unreadable range is no network."""
+    for batch in batches:
+        rows, lengths, keys = [], [], []
+        for i, (start, end) in enumerate(zip(batch.column("ip_start").to_pylist(), batch.column("ip_end").to_pylist())):
+            if start is None or end is None or len(start) != len(end):
+                continue
+            bits, a, z = 4 * len(start), int(start, 16), int(end, 16)
+            while a <= z:
+                # the largest block that begins at a and ends before z
+                free = min(bits if a == 0 else (a & -a).bit_length() - 1, (z - a + 1).bit_length() - 1)
+                rows.append(i)
+                lengths.append(bits - free)
+                keys.append(f"{a:0{len(start)}x}")
+                a += 1 << free
+        held = batch.take(pa.array(rows, pa.int64()))
+        yield pa.RecordBatch.from_arrays([*held.columns, pa.array(lengths, pa.int32()), pa.array(keys, pa.string())], [*batch.schema.names, "_p", "_start"])
+
+
 def range_lookup(addresses: DataFrame, networks: DataFrame, ip: str = "ip", out: str = "network") -> DataFrame:
-    """addresses with struct ``out``: the network with the longest prefix that holds the address; null if none does.
+    """addresses with struct ``out``: the narrowest of networks that holds the address, of equals the one that starts last; null if
+    none does.
 
-    networks: version, ip_start, ip_end (hex), prefix_len, others. A network is the addresses that share its first prefix_len
-    bits, so this is an equi-join: each distinct address is asked once for every prefix length that its version has (the
-    lengths are a table of at most 162 rows). The longest wins, of equals the one that starts last.
+    networks: version, ip_start, ip_end (hex, inclusive), others: any ranges. Each is cut into the fewest networks that cover it,
+    those that share their first bits, so this is an equi-join: each distinct address is asked once for every prefix length
+    that its version has (the lengths are a table of at most 162 rows).
     """
-    lengths = networks.select(F.col("version").alias("_v"), F.col("prefix_len").alias("_p")).distinct().groupBy("_v").agg(F.collect_set("_p").alias("_ps"))
-    hexed = addresses.select(ip).distinct().withColumn("_x", address_hex(F.col(ip))).where("_x is not null").withColumn("_v", F.when(F.length("_x") == 8, 4).otherwise(6))
-    keys = hexed.join(F.broadcast(lengths), "_v").select(ip, "_v", "_x", F.explode("_ps").alias("_p")).select(ip, "_v", "_p", _leading(F.col("_x"), F.col("_p")).alias("_k"))
-    nets = networks.withColumns({"_v": F.col("version"), "_p": F.col("prefix_len"), "_k": _leading(F.col("ip_start"), F.col("prefix_len"))})
     kept = [c for c in networks.columns if c != "version"]
+    named = networks.withColumn("_n", F.struct(*kept)).select(F.col("version").alias("_v"), F.col("ip_start"), F.col("ip_end"), "_n")
+    schema = f"_v {named.schema['_v'].dataType.simpleString()}, ip_start string, ip_end string, _n {named.schema['_n'].dataType.simpleString()}, _p int, _start string"
+    nets = named.mapInArrow(_prefixes, schema).withColumn("_k", _leading(F.col("_start"), F.col("_p")))
+    lengths = nets.select("_v", "_p").distinct().groupBy("_v").agg(F.collect_set("_p").alias("_ps"))
+    hexed = addresses.select(ip).distinct().withColumn("_x", address_hex(F.col(ip))).where("_x is not null").withColumn("_v", F.when(F.length("_x") == 8, 4).otherwise(6))
+    keys = hexed.join(F.broadcast(lengths), "_v").select(ip, "_v", F.col("_x"), F.explode("_ps").alias("_p")).select(ip, "_v", "_p", _leading(F.col("_x"), F.col("_p")).alias("_k"))
     hit = keys.join(nets, ["_v", "_p", "_k"])
-    best = hit.groupBy(ip).agg(F.max_by(F.struct(*kept), F.struct("prefix_len", "ip_start")).alias(out))
+    # narrowest first: ranges that hold one address and start later and end earlier are narrower; else by their size
+    best = hit.groupBy(ip).agg(F.max_by("_n", F.struct(F.translate(_width("ip_start", "ip_end"), "0123456789abcdef", "fedcba9876543210").alias("w"), F.col("ip_start"))).alias(out))
     return addresses.join(best, ip, "left")
 
 
+def _width(start: str, end: str) -> Column:
+    """end - start of hex numbers, digit by digit from the right with a borrow, as hex of the same length."""
+    digit = lambda c, i: F.conv(F.substring(c, i, F.lit(1)), 16, 10).cast("int")
+    step = lambda z, i: F.struct(
+        F.concat(F.lower(F.conv(F.pmod(digit(F.col(end), i) - digit(F.col(start), i) - z["borrow"], F.lit(16)).cast("string"), 10, 16)), z["text"]).alias("text"),
+        F.when(digit(F.col(end), i) - digit(F.col(start), i) - z["borrow"] < 0, 1).otherwise(0).alias("borrow"),
+    )
+    places = F.sequence(F.length(start), F.lit(1), F.lit(-1))
+    return F.aggregate(places, F.struct(F.lit("").alias("text"), F.lit(0).alias("borrow")), step)["text"]
+
+
 def _leading(hexed: Column, bits: Column) -> Column:
     """The first bits of a number in hex, as its whole leading digits and what is left of the next one."""
     whole, left = F.floor(bits / 4).cast("int"), F.pmod(bits, F.lit(4)).cast("int")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from netsift.functions.domains import split_names
 from netsift.operators import lookups as lk
 from netsift.operators import routing as ro
 from netsift.operators import stored as st
@@ -90,8 +91,6 @@ def J5_siem_lookup(spark, sf_dir):
     b AS (SELECT domain_name, max_by(zone, k) AS zone FROM c JOIN z USING (zone) GROUP BY 1) SELECT page_id, b.zone AS zone, CASE WHEN b.zone IS NULL THEN 12 ELSE 0 END AS status_code FROM parts LEFT JOIN b USING (domain_name)"""
 )
 def J6_zone_lookup(spark, sf_dir):
-    from netsift.functions.domains import split_names
-
     h = hosts(spark, sf_dir)
     zones = h.where("page_id % 3 = 0").select(F.col("domain_name").alias("zone")).unionByName(split_names(h).where("suffix <> 'net'").select(F.concat_ws(".", "sld", "suffix").alias("zone")))
     return lk.zone(h, zones).select("page_id", "zone", "status_code")
@@ -284,3 +283,50 @@ def O12_O13_result_row(spark, sf_dir):
         "if(event_type in ('click', 'view'), '{\"statusCode\":0}', concat('{\"collector\":\"', event_type, '\"}')) as value", "date_trunc('second', ts) as ts",
     )
     return st.result_row(rows.withColumn("ts", F.col("ts").cast("timestamp"))).groupBy(F.col("domainName").alias("domain"), "collector", "timestamp").agg(F.count("*").alias("n"))
+
+
+#: Rules with an exception, any-label rules, and one of six labels.
+_RULES = ("com", "jp", "*.kobe.jp", "!city.kobe.jp", "*.ck", "!www.ck", "a.b.c.d.e.f")
+_RULED = "CASE c_custkey % 9 WHEN 0 THEN concat('a', c_custkey, '.com') WHEN 1 THEN concat('x.a', c_custkey, '.ck') WHEN 2 THEN 'www.ck' WHEN 3 THEN concat('y', c_custkey, '.www.ck') WHEN 4 THEN concat('b.c', c_custkey, '.kobe.jp') WHEN 5 THEN concat('z', c_custkey, '.city.kobe.jp') WHEN 6 THEN concat('q', c_custkey, '.a.b.c.d.e.f') WHEN 7 THEN concat('a', c_custkey, '.ck') ELSE concat('n', c_custkey, '.none') END"
+
+
+@query(
+    f"""WITH h AS (SELECT c_custkey, {_RULED} AS name FROM customer), l AS (SELECT *, string_split(name, '.') AS l FROM h),
+    rules AS (SELECT * FROM (VALUES {", ".join(f"('{x.removeprefix('*.').removeprefix('!')}', {x.startswith('*.')}, {x.startswith('!')})" for x in _RULES)}) t(tail, wild, exempt)),
+    c AS (SELECT c_custkey, l, k, array_to_string(l[-k:], '.') AS tail FROM l, range(1, 8) t(k) WHERE k <= len(l)),
+    f AS (SELECT c_custkey, CASE WHEN exempt THEN k - 1 END AS e, CASE WHEN NOT exempt AND NOT (wild AND k = len(l)) THEN k + wild::INTEGER END AS n FROM c JOIN rules USING (tail)),
+    g AS (SELECT c_custkey, coalesce(max(e), max(n), 0) AS n FROM f GROUP BY 1)
+    SELECT c_custkey, name, CASE WHEN coalesce(n, 0) > 0 THEN array_to_string(l[len(l) - n + 1:], '.') ELSE '' END AS suffix, CASE WHEN len(l) > coalesce(n, 0) THEN l[len(l) - coalesce(n, 0)] ELSE '' END AS sld FROM l LEFT JOIN g USING (c_custkey)"""
+)
+def J8_suffix_rules(spark, sf_dir):
+    rules = spark.createDataFrame([(x,) for x in _RULES], "suffix string")
+    names = read(spark, sf_dir, "customer").selectExpr("c_custkey", f"{_RULED} as name")
+    return split_names(names, "name", rules).select("c_custkey", "name", "suffix", "sld")
+
+
+@query(
+    """WITH n AS (SELECT s_suppkey, 167772160 + s_suppkey * 777 AS a, 167772160 + s_suppkey * 777 + s_suppkey * 13 % 3000 AS z FROM supplier), c AS (SELECT c_custkey, 167772160 + c_custkey * 991 % 90000 AS x FROM customer),
+    b AS (SELECT c_custkey, min_by(s_suppkey, (z - a, -a)) AS s_suppkey FROM c JOIN n ON x BETWEEN a AND z GROUP BY 1) SELECT c_custkey, s_suppkey FROM c LEFT JOIN b USING (c_custkey)"""
+)
+def J3_ranges_lookup(spark, sf_dir):
+    """Networks that are no prefixes, many over each other."""
+    as_hex = lambda x: f"lpad(lower(hex({x})), 8, '0')"
+    a = "167772160 + s_suppkey * 777"
+    nets = read(spark, sf_dir, "supplier").selectExpr("4 as version", f"{as_hex(a)} as ip_start", f"{as_hex(f'{a} + s_suppkey * 13 % 3000')} as ip_end", "s_suppkey")
+    ips = read(spark, sf_dir, "customer").selectExpr("c_custkey", "c_custkey * 991 % 90000 as x").selectExpr("c_custkey", "concat('10.', x div 65536, '.', x div 256 % 256, '.', x % 256) as ip")
+    return lk.range_lookup(ips, nets).select("c_custkey", F.col("network.s_suppkey").alias("s_suppkey"))
+
+
+@query(
+    f"""WITH h AS (SELECT page_id, {HOST_SQL} AS host FROM pages)
+    SELECT host AS url, CASE WHEN page_id % 4 = 0 THEN 'This, "is"' || chr(10) || 'it' WHEN page_id % 4 = 1 THEN 'malware' WHEN page_id % 4 = 2 THEN 'phish' ELSE 'unknown' END AS category FROM h WHERE page_id % 5 > 0"""
+)
+def S8_S10_S11_quoted_sources(spark, sf_dir):
+    """Source lists as data: quoted cells with delimiters, quotes and line ends, and getters and mappers in columns. Each record is
+    one of a text of records, and its category is read from its own line."""
+    rule = "case page_id % 4 when 0 then concat(host, ',\"This, \"\"is\"\"\\nit\",this,,') when 1 then concat('\"', host, '\",,csv,;2,\"kit;mal=malware\"') when 2 then concat(host, ',x,txt,\"kind=(\\\\\\\\w+)\",\"p.*sh=phish;x\"') else concat(host, ',x,other,,') end"
+    records = hosts(spark, sf_dir).withColumnRenamed("domain_name", "host").selectExpr("page_id", f"case when page_id % 5 = 0 then 'short,line' else {rule} end as value")
+    texts = records.groupBy((F.col("page_id") % 50).alias("g")).agg(F.array_join(F.collect_list("value"), "\n").alias("text"))
+    rows = r.source_definitions(texts.select(F.explode(r.csv_records(F.col("text"), ",")).alias("value")), 0, 1, 2, 3, 4)
+    lines = rows.withColumn("value", F.lit("1;2;Malicious kind=PoSH;kind=punish"))
+    return r.categorised(lines).select("url", "category")

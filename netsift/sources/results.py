@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,17 +91,85 @@ def _field(fields: Column, i: int, default: Column) -> Column:
     return default if i < 0 else F.get(fields, i)
 
 
+#: A cell put behind each line, so that an empty last cell can be told from a missing one.
+_END = "\x02end"
+
+
+def _cells(line: Column | str, n: int, delimiter: str) -> Column:
+    """Fields c0 to c<n-1> of a CSV line, cells maybe quoted (quotes doubled within); null for lines of fewer cells."""
+    options = {"sep": "\\\\" if delimiter == "\\" else delimiter, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    names = [f"c{i}" for i in range(n)]
+    got = F.from_csv(F.concat(line, F.lit(delimiter + _END)), F.lit(", ".join(f"{c} string" for c in [*names, "rest"])), options)
+    short = F.lit(False)
+    for c in names:
+        short = short | (F.coalesce(got[c], F.lit("")) == _END)
+    return F.when(~short, F.struct(*[F.coalesce(got[c], F.lit("")).alias(c) for c in names]))
+
+
+def csv_records(text: Column, delimiter: str) -> Column:
+    """The records of a CSV text, whose quoted cells may go over several lines; lines without anything are left out."""
+    d = re.escape(delimiter)
+    cell = rf'(?:"(?:[^"]++|"")*+"[^{d}\r\n]*+|[^{d}\r\n"][^{d}\r\n]*+|)'
+    return F.filter(F.regexp_extract_all(text, F.lit(f"{cell}(?:{d}{cell})*+"), F.lit(0)), lambda r: r != "")
+
+
+def _from_cells(cells: Column, column: int, category: int, category_source: int, getter: int = -1, mapper: int = -1) -> dict[str, Column]:
+    at = lambda i, default: cells[f"c{i}"] if i >= 0 else default
+    none = F.lit(None).cast("string")
+    return {"url": at(column, none), "category": at(category, F.lit("unknown")), "category_source": at(category_source, F.lit("this")), "getter_def": at(getter, none), "mapper_def": at(mapper, none)}
+
+
+def source_definitions(lines: DataFrame, column: int = 0, category: int = -1, category_source: int = -1, getter: int = -1, mapper: int = -1, delimiter: str = ",") -> DataFrame:
+    """url, category, category_source, getter_def, mapper_def from CSV lines (column ``value``), cells maybe quoted.
+
+    Lines shorter than the highest index used, and those without a host name in ``column``, are dropped. A negative index means
+    the default: unknown, this, null.
+    """
+    rows = lines.select(_cells(F.col("value"), max(column, category, category_source, getter, mapper) + 1, delimiter).alias("r")).where("r is not null")
+    found = rows.select(*[c.alias(k) for k, c in _from_cells(F.col("r"), column, category, category_source, getter, mapper).items()])
+    return found.where(F.col("url").rlike(HOST))
+
+
+def load_source_csv(spark: SparkSession, path: str, delimiter: str = ",", **columns: int) -> DataFrame:
+    """source_definitions() of files, whose quoted cells may go over several lines. A file is read by one task, as where a record
+    begins depends on all quotes before it."""
+    files = spark.read.text(path, wholetext=True)
+    return source_definitions(files.select(F.explode(csv_records(F.col("value"), delimiter)).alias("value")), delimiter=delimiter, **columns)
+
+
+def categorised(lines: DataFrame, line: str = "value") -> DataFrame:
+    """lines with ``category`` as their source defines it in columns (category, category_source, getter_def, mapper_def).
+
+    category_source: ``this`` takes category as it is, ``csv`` the cell that getter_def names as delimiter and index, ``txt`` the
+    first group of the regex getter_def, anything else is unknown, as is a cell that isn't there or an index below zero, a regex
+    that isn't found or has no group. mapper_def: ``regex=category;...``, of which the first that is found counts, without
+    case; unknown if none is; without mapper_def the category stays, and unknown stays unknown.
+    """
+    text, getter = F.col(line), F.col("getter_def")
+    quoted = F.concat(F.lit("\\Q"), F.substring(getter, 1, 1), F.lit("\\E"))
+    index = F.substring(getter, 2, 10).try_cast("int")
+    cell = F.when(index >= 0, F.get(F.split(text, quoted), index))
+    group = F.call_function("regexp_extract", text, F.concat(F.lit("(?:"), getter, F.lit(")()")), F.lit(1))
+    own = F.when(F.col("category_source") == "this", F.col("category")).when(F.coalesce(getter, F.lit("")) == "", "unknown")
+    own = own.when(F.col("category_source") == "csv", cell).when(F.col("category_source") == "txt", F.when(group != "", group))
+    own = F.coalesce(own, F.lit("unknown"))
+    rules = F.transform(F.split("mapper_def", ";"), lambda r: F.split(r, "="))
+    hit = F.get(F.filter(rules, lambda r: F.call_function("regexp", F.col("_own"), F.concat(F.lit("(?i)"), r[0]))), 0)
+    mapped = F.when((F.coalesce("mapper_def", F.lit("")) == "") | (F.col("_own") == "unknown"), F.col("_own")).otherwise(F.coalesce(F.when(F.size(hit) == 2, hit[1]), F.lit("unknown")))
+    return lines.withColumn("_own", own).withColumn("category", mapped).drop("_own")
+
+
 def source_rows(lines: DataFrame, column: int, category: int = -1, category_source: int = -1, getter: Column | None = None, mapper: list[tuple[str, str]] | None = None, delimiter: str = ",") -> DataFrame:
-    """name, category, category_source from delimited lines (column ``value``).
+    """name, category, category_source from CSV lines (column ``value``), cells maybe quoted.
 
     Lines shorter than the highest index used, and those without a host name in ``column``, are dropped. A negative index
     means the default: ``unknown`` or what getter says, and ``this``.
     """
-    fields = F.split(F.col("value"), f"[{delimiter}]")
-    need = max(column, category, category_source) + 1
-    rows = lines.where(F.size(fields) >= need).select("value", fields.alias("fields"))
-    found = _field(F.col("fields"), category, getter if getter is not None else F.lit("unknown"))
-    rows = rows.select(F.regexp_extract(F.get("fields", column), HOST, 0).alias("name"), category_mapper(found, mapper).alias("category"), _field(F.col("fields"), category_source, F.lit("this")).alias("category_source"))
+    cells = _cells(F.col("value"), max(column, category, category_source) + 1, delimiter)
+    rows = lines.withColumn("fields", cells).where("fields is not null")
+    own = _from_cells(F.col("fields"), column, category, category_source)
+    found = own["category"] if category >= 0 or getter is None else getter
+    rows = rows.select(F.regexp_extract(own["url"], HOST, 0).alias("name"), category_mapper(found, mapper).alias("category"), own["category_source"].alias("category_source"))
     return rows.where("name <> ''")
 
 
@@ -124,7 +194,7 @@ def category_getter(line: Column, definition: str | None) -> Column:
     if not definition[0].isalnum() and definition[1:].lstrip("-").isdigit():
         if int(definition[1:]) < 0:
             raise ValueError("a negative cell index counts from the end by accident only")
-        return F.coalesce(F.get(F.split(line, f"[{definition[0]}]"), int(definition[1:])), F.lit("unknown"))
+        return F.coalesce(F.get(F.split(line, re.escape(definition[0])), int(definition[1:])), F.lit("unknown"))
     return F.lit(definition)
 
 
