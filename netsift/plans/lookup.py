@@ -324,7 +324,7 @@ def J3_ranges_lookup(spark, sf_dir):
 def S8_S10_S11_quoted_sources(spark, sf_dir):
     """Source lists as data: quoted cells with delimiters, quotes and line ends, and getters and mappers in columns. Each record is
     one of a text of records, and its category is read from its own line."""
-    rule = "case page_id % 4 when 0 then concat(host, ',\"This, \"\"is\"\"\\nit\",this,,') when 1 then concat('\"', host, '\",,csv,;2,\"kit;mal=malware\"') when 2 then concat(host, ',x,txt,\"kind=(\\\\\\\\w+)\",\"p.*sh=phish;x\"') else concat(host, ',x,other,,') end"
+    rule = "case page_id % 4 when 0 then concat(host, ',\"This, \"\"is\"\"\\nit\",this,,') when 1 then concat('\"', host, '\",,csv,;2,\"kit;mal=malware\"') when 2 then concat(host, ',x,txt,\"kind=([A-Za-z]+)\",\"p.*sh=phish;x\"') else concat(host, ',x,other,,') end"
     records = hosts(spark, sf_dir).withColumnRenamed("domain_name", "host").selectExpr("page_id", f"case when page_id % 5 = 0 then 'short,line' else {rule} end as value")
     texts = records.groupBy((F.col("page_id") % 50).alias("g")).agg(F.array_join(F.collect_list("value"), "\n").alias("text"))
     rows = r.source_definitions(texts.select(F.explode(r.csv_records(F.col("text"), ",")).alias("value")), 0, 1, 2, 3, 4)
