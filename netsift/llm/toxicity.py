@@ -16,16 +16,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, average, held_out, keep, slices, smallest
+from .common import Words, average, held_out, keep, mix, slices, smallest
 
 #: Bound of the toxic labelled documents that are learned from, those whose doc_id has the smallest hash.
 MOST_TOXIC = 3_000
 SLOTS = 1 << 20
+#: A feature that is one in so many of a text's words is marked as standing there often.
+SHARES = (200, 100)
 #: A feature is learned if so many toxic training documents have it.
-LEAST_DOCS = 4
+LEAST_DOCS = 3
 BATCH, RATE, SPARSITY = 512, 0.07, 4e-4
 #: Rounds of averaging; in each a partition takes so many steps for each chunk of its documents.
-ROUNDS, STEPS, CHUNK = 2, 300, 8_192
+ROUNDS, STEPS, CHUNK = 2, 600, 8_192
 #: Partitions whose parameters are averaged at a time.
 FAN_IN = 64
 FOLDS, HELD = 5, 0
@@ -44,20 +46,38 @@ def _slots(vocab: pa.Array) -> np.ndarray:
     return out
 
 
+def _often(slots: np.ndarray, level: int) -> np.ndarray:
+    """The slots that say that a feature stands often in a text."""
+    return (mix(slots.astype(np.uint64) + np.uint64(level << 32)) % np.uint64(SLOTS)).astype(np.int64)
+
+
 def features(texts: pa.Array, used: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct feature slots of each text and where each text's begin; only slots marked in used, if given."""
+    """Distinct feature slots of each text and where each text's begin; only slots marked in used, if given.
+
+    A feature that makes up one in SHARES[i] of a text's words or more has a second slot for each such i.
+    """
     words = Words(texts)
     n = len(words.starts) - 1
     slots = _slots(words.vocab)
+    if used is not None:
+        asked = used.copy()
+        for i in range(len(SHARES)):
+            asked |= used[_often(np.arange(SLOTS), i)]
     parts = []
     for j in range(3):
         slot = slots[:, j]
         ids, rows = words.ids, words.rows
         if used is not None and len(slot):
-            fine = used[slot][ids]
+            fine = asked[slot][ids]
             ids, rows = ids[fine], rows[fine]
         parts.append(rows * SLOTS + (slot[ids] if len(ids) else np.zeros(0, np.int64)))
-    pairs = np.unique(np.concatenate(parts))
+    pairs, count = np.unique(np.concatenate(parts), return_counts=True)
+    row, slot = np.divmod(pairs, SLOTS)
+    size = words.counts[row]
+    every = [pairs, *(row[f] * SLOTS + _often(slot[f], i) for i, f in enumerate(count * k >= size for k in SHARES))]
+    pairs = np.unique(np.concatenate(every))
+    if used is not None:
+        pairs = pairs[used[pairs % SLOTS]]
     return (pairs % SLOTS).astype(np.int32), np.searchsorted(pairs // SLOTS, np.arange(n + 1))
 
 
@@ -99,8 +119,8 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def common(toxic: list[np.ndarray]) -> np.ndarray:
-    """Which features are learned: those of LEAST_DOCS toxic documents, of a fifth if there are few."""
-    return np.bincount(np.concatenate([np.zeros(0, np.int32), *toxic]), minlength=SLOTS) >= min(LEAST_DOCS, max(1, len(toxic) // 5))
+    """Which features are learned: those of LEAST_DOCS toxic documents."""
+    return np.bincount(np.concatenate([np.zeros(0, np.int32), *toxic]), minlength=SLOTS) >= LEAST_DOCS
 
 
 class Fit:

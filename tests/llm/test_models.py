@@ -54,6 +54,15 @@ def test_the_language_model_beats_its_base(spark, folder):
     assert own / n > base / n + 0.1, (own / n, base / n)
 
 
+@pytest.mark.parametrize("size, least, most", [("sf0.01", 4, 0), ("sf0.1", 78, 1)])
+def test_held_out_toxic_documents_are_found(spark, size, least, most):
+    """No worse than looking for the words that toxic training documents have more often than all: these found 4 and 78."""
+    read = lambda name: spark.read.parquet(f"/root/testdata/{size}/{name}.parquet")
+    rows = toxicity.classify(read("documents"), read("labels")).where("held_out").join(read("labels"), "doc_id").groupBy("toxic").agg(F.sum("predicted").alias("n"))
+    found = {r.toxic: r.n for r in rows.collect()}
+    assert found[1] >= least and found[0] <= most
+
+
 LABELS = "doc_id long, quality int, toxic int"
 OPERATORS = {
     "near_duplicates": lambda d, lab, ben: jaccard.near_duplicates(d), "chunks": lambda d, lab, ben: chunks.dedupe(d), "contaminated": lambda d, lab, ben: decontam.contaminated(d, ben),
