@@ -31,8 +31,10 @@ from .common import Words, buckets_for, forget, keep, mix, new_path, slices
 BLOCK_BYTES, BLOCKS = 2_000_000, 8
 #: Documents that one bucket of the index holds about.
 KEYS_PER_BUCKET = 100_000
+#: Bytes of text that are encoded at once, but for a longer text.
+ENCODED_BYTES = 6_000_000
 #: Words whose ids a Python worker remembers; then it forgets all and begins again.
-REMEMBERED = 400_000
+REMEMBERED = 500_000
 TRAILER, TRAILER_BYTES = "<QQ8s", 24
 MAGIC = b"netsift1"
 PLACES = "shard long, doc_id long, occurrence long, offset long, n_tokens long, before long"
@@ -42,14 +44,17 @@ _encoders: dict[str, Encoder] = {}
 
 
 class Encoder:
-    """A tokenizer of the library, asked once for each distinct piece of a batch.
+    """A tokenizer of the library, asked once for each distinct piece of text while a worker remembers it.
 
     The tokenizer cuts at white space whatever it does within words, so ids of a text are those of its words. Words of visible
-    ASCII without ``'`` and ``<`` are cut further, where letters, single digits and other signs meet, as the tokenizer does.
-    A tokenizer that doesn't cut so is asked for whole texts: __init__ tries it.
+    ASCII without ``'`` and ``<``, and of Latin letters that no normalisation takes apart, are cut further where letters, single
+    digits and other signs meet, as the tokenizer does; such pieces are sent many at a time with spaces between, and told apart by
+    the mark that ends a piece's last token. A tokenizer that doesn't work so is asked for whole texts: __init__ tries it.
     """
 
-    PROBE = "Ab1,2 c--d.E9 it's x,y (don't) café 42nd #tag a_b Ångström end"
+    PROBE = "Ab1,2 c--d.E9 it's x,y (don't) café 42nd #tag a_b Ångström ÄÖ end"
+    LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
+    SIMPLE, MEET = f"^[!-&(-;=-~{LETTERS}]*$", f"([0-9]|[^0-9{LETTERS}]+)"
 
     def __init__(self, path: str):
         import os
@@ -59,60 +64,80 @@ class Encoder:
 
         self.model = Tokenizer.from_file(path)
         self.size = self.model.get_vocab_size()
-        self.known: dict[str, np.ndarray] = {}
+        self.ends = np.zeros(max(self.model.get_vocab().values()) + 1, bool)
+        for token, i in self.model.get_vocab().items():
+            self.ends[i] = token.endswith("</w>")
+        self.forget()
         self.by_word = True
         whole = self.model.encode(self.PROBE, add_special_tokens=False).ids
         self.by_word = self(pa.array([self.PROBE]))[0].tolist() == whole
 
-    def _ids(self, pieces: list[str]) -> list[np.ndarray]:
-        new = [p for p in pieces if p not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known, new = {}, pieces
-        for a in range(0, len(new), 2000):
-            part = new[a : a + 2000]
-            for p, e in zip(part, self.model.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[p] = np.array(e.ids, np.uint32)
-        return [self.known[p] for p in pieces]
+    def forget(self) -> None:
+        """known: the number of a piece; its ids lie in flat from begin[number] to begin[number + 1]."""
+        self.known: dict[str, int] = {}
+        self.flat, self.begin = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _encoded(self, texts: list[str]) -> tuple[list[int], list[int]]:
+        """Ids of texts, each on its own, and their numbers."""
+        got = [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+        return [i for ids in got for i in ids], [len(ids) for ids in got]
+
+    def _together(self, pieces: list[str]) -> tuple[list[int], list[int]]:
+        """The same of pieces that are one token's parts each, in one text."""
+        ids = self.model.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)[0].ids
+        ends = np.flatnonzero(self.ends[np.array(ids, np.int64)])
+        return (ids, np.diff(ends, prepend=-1).tolist()) if len(ends) == len(pieces) else self._encoded(pieces)
+
+    def _numbers(self, pieces: list[str], words: list[str]) -> np.ndarray:
+        """The numbers of pieces and of words, new ones being encoded."""
+        if len(self.known) > REMEMBERED:
+            self.forget()
+        for texts, encode in ((pieces, self._together), (words, self._encoded)):
+            new = [t for t in texts if t not in self.known]
+            ids, sizes = [], []
+            for a in range(0, len(new), 2000):
+                i, n = encode(new[a : a + 2000])
+                ids += i
+                sizes += n
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+            self.flat = np.concatenate([self.flat, np.array(ids, np.uint32)])
+            self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(np.array(sizes, np.int64))])
+        return np.fromiter(map(self.known.__getitem__, [*pieces, *words]), np.int64, len(pieces) + len(words))
 
     def _of_words(self, vocab: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of each entry of vocab, one after the other, and where they begin."""
-        simple = pc.match_substring_regex(vocab, "^[!-&(-;=-~]*$")
-        cut = pc.replace_substring_regex(pc.ascii_lower(vocab), "([0-9]|[^0-9a-z]+)", r" \1 ")
-        lists = pc.ascii_split_whitespace(pc.if_else(simple, pc.ascii_trim_whitespace(cut), ""))
+        simple = pc.match_substring_regex(vocab, self.SIMPLE)
         hard = ~simple.to_numpy(zero_copy_only=False)
-        offsets = lists.offsets.to_numpy()
-        pieces = lists.values.take(pa.array(np.flatnonzero(~np.repeat(hard, np.diff(offsets))))).dictionary_encode()
+        cut = pc.replace_substring_regex(pc.utf8_lower(vocab.filter(simple)), self.MEET, r" \1 ")
+        lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(cut))
+        pieces = lists.values.dictionary_encode()
         words = vocab.take(pa.array(np.flatnonzero(hard))).to_pylist()
-        ids = self._ids(pieces.dictionary.to_pylist() + words)
-        count = np.where(hard, 1, np.diff(offsets))
+        numbers = self._numbers(pieces.dictionary.to_pylist(), words)
+        count = np.ones(len(vocab), np.int64)
+        count[~hard] = np.diff(lists.offsets.to_numpy())
         which = np.empty(count.sum(), np.int64)
-        at_hard = np.repeat(hard, count)
-        which[~at_hard] = pieces.indices.to_numpy()
-        which[at_hard] = len(pieces.dictionary) + np.arange(len(words))
-        flat, starts = gathered(ids, which)
+        of_hard = np.repeat(hard, count)
+        which[~of_hard] = numbers[pieces.indices.to_numpy()]
+        which[of_hard] = numbers[len(pieces.dictionary) :]
+        flat, starts = gathered(self.flat, self.begin, which)
         return flat, starts[np.concatenate([[0], np.cumsum(count)])]
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and where each text's begin."""
         texts = pc.fill_null(texts, "")
         if not self.by_word:
-            ids = [np.array(e.ids, np.uint32) for e in self.model.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
-            return gathered(ids, np.arange(len(ids)))
+            ids, sizes = self._encoded(texts.to_pylist())
+            return np.array(ids, np.uint32), np.concatenate([[0], np.cumsum(np.array(sizes, np.int64))])
         words = Words(texts, lower=False)
-        flat, starts = self._of_words(words.vocab)
-        size = np.diff(starts)[words.ids]
-        ends = np.concatenate([[0], np.cumsum(size)])
-        places = np.repeat(starts[:-1][words.ids] - ends[:-1], size) + np.arange(ends[-1])
-        return flat[places], ends[words.starts]
+        flat, starts = gathered(*self._of_words(words.vocab), words.ids)
+        return flat, starts[words.starts]
 
 
-def gathered(arrays: list[np.ndarray], which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """arrays[which] in a row, and where each begins."""
-    size = np.fromiter(map(len, arrays), np.int64, len(arrays))
-    flat = np.concatenate([np.zeros(0, np.uint32), *arrays])
-    begin = np.cumsum(size) - size
-    ends = np.concatenate([[0], np.cumsum(size[which])])
-    return flat[np.repeat(begin[which] - ends[:-1], size[which]) + np.arange(ends[-1])], ends
+def gathered(flat: np.ndarray, begin: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The parts ``which`` of flat in a row, and where each begins; part i goes from begin[i] to begin[i + 1]."""
+    size = np.diff(begin)[which]
+    ends = np.concatenate([[0], np.cumsum(size)])
+    return flat[np.repeat(begin[which] - ends[:-1], size) + np.arange(ends[-1])], ends
 
 
 def encoder(path: str) -> Encoder:
@@ -127,7 +152,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = encoder(tokenizer)
         kind = id_type(of.size, end_id)
-        for batch in slices(batches):
+        for batch in slices(batches, most=ENCODED_BYTES):
             flat, starts = of(batch.column("text"))
             n = len(starts) - 1
             ends = starts[1:] + np.arange(n)
@@ -197,7 +222,7 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["shard", "doc_id", "occurrence", "offset", "n_tokens", "before"]
     for batch in batches:
         for shard, content in zip(batch.column("shard").to_pylist(), batch.column("content")):
-            ids, null, sizes, places, _ = read_footer(content.as_buffer().to_pybytes())
+            ids, null, sizes, places, _ = read_footer(content.as_buffer())
             columns = [pa.array(np.full(len(ids), shard)), pa.array(ids, mask=null), pa.array(_runs(ids, null)), pa.array(places), pa.array(sizes), pa.array(np.cumsum(sizes) - sizes)]
             yield pa.record_batch(columns, names)
 
