@@ -204,9 +204,9 @@ def P13_P14_all_groups(spark, sf_dir):
     return rounded(out.select(*names, F.round(F.col("ip_mean_average_rtt") + 1e-7, 4).alias("ip_mean_average_rtt")))
 
 
-@query("SELECT CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE 'o' || o_orderkey END AS domain_name, CASE WHEN o_orderkey % 7 = 0 THEN 'Invalid data' ELSE 'Missing domain name' END AS error FROM orders WHERE o_orderkey % 3 <> 0 AND (o_orderkey % 5 = 0 OR o_orderkey % 7 = 0)")
+@query("SELECT CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE 'o' || o_orderkey END AS domain_name, CASE WHEN o_orderkey % 7 = 0 THEN 'Invalid data' WHEN o_orderkey % 11 = 0 THEN 'Unreadable: dnsResult.lastAttempt, dnsResult.dnsData.A, tlsResult' ELSE 'Missing domain name' END AS error FROM orders WHERE o_orderkey % 3 <> 0 AND (o_orderkey % 5 = 0 OR o_orderkey % 7 = 0 OR o_orderkey % 11 = 0)")
 def S6_extractor_errors(spark, sf_dir):
-    rows = read(spark, sf_dir, "orders").selectExpr("if(o_orderkey % 5 = 0, '', concat('o', o_orderkey)) as key", "case when o_orderkey % 3 = 0 then null when o_orderkey % 7 = 0 then 'broken' else '{}' end as value")
+    rows = read(spark, sf_dir, "orders").selectExpr("if(o_orderkey % 5 = 0, '', concat('o', o_orderkey)) as key", """case when o_orderkey % 3 = 0 then null when o_orderkey % 7 = 0 then 'broken' when o_orderkey % 11 = 0 then '{"zone":{"zone":"z"},"dnsResult":{"statusCode":0,"lastAttempt":"soon","dnsData":{"A":"1.1.1.1","TXT":["t"]}},"tlsResult":7}' else '{}' end as value""")
     return ex.extract(rows, extractor(spark))[1]
 
 

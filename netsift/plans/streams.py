@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from netsift.sources.folders import new_folder
 from netsift.streaming import merge as sm
+from netsift.streaming import tables as tb
 
 from .features import read
-from .merging import BODY, IP_BODY, IP_KIND, KIND
+from .merging import _EV, BODY, IP_BODY, IP_KIND, KIND
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -41,3 +42,22 @@ def T0_T1_T2_stream_merge(spark, sf_dir):
 
 
 QUERIES["T0_T1_T2_stream_merge"] = T0_T1_T2_stream_merge
+
+
+def O2_O5_O6_stored_by_stream(spark, sf_dir):
+    """Results of both streams as stored tables: those of each domain, address, collector and time, and each address's newest place."""
+    own, per_ip = stream_results(spark, sf_dir)
+    rows = own.withColumn("ip", F.lit(None).cast("string")).unionByName(per_ip).withColumnRenamed("value", "raw")
+    tables = tb.Tables(spark, new_folder(spark, "tables"), tb.RESULT_TABLES)
+    tb.store_stream(rows, tables, tb.result_frames, new_folder(spark, "tables-checkpoint"), availableNow=True).awaitTermination()
+    results = tables.read("collection_results").select(F.lit("results").alias("stored"), "domain", "ip", "collector", F.unix_micros("ts").alias("ts_us"), "status_code", "error", "raw")
+    geo = tables.read("geo").select(F.lit("geo").alias("stored"), "domain", "ip", F.unix_micros("ts").alias("ts_us"), F.col("asn").cast("string").alias("raw"))
+    return results.unionByName(geo, allowMissingColumns=True)
+
+
+QUERIES["O2_O5_O6_stored_by_stream"] = O2_O5_O6_stored_by_stream
+ORACLE_SQL["O2_O5_O6_stored_by_stream"] = f"""WITH {_EV}, r AS (SELECT domain, NULL AS ip, collector, ts, off, status_code, body FROM dom UNION ALL SELECT domain, ip, collector, ts, off, status_code, body FROM ipr),
+    b AS (SELECT domain, ip, collector, ts, max_by(status_code, off) AS status_code, max_by(body, off) AS raw FROM r GROUP BY ALL),
+    g AS (SELECT domain, ip, max(ts) AS ts, max_by(body, (ts, off)) AS raw FROM r WHERE collector = 'geo-asn' AND status_code = 0 GROUP BY ALL)
+    SELECT 'results' AS stored, domain, ip, collector, epoch_us(ts) AS ts_us, status_code, CASE WHEN status_code <> 0 THEN 'failed' END AS error, raw FROM b
+    UNION ALL SELECT 'geo', domain, ip, NULL, epoch_us(ts), NULL, NULL, CAST(raw AS JSON)->'data'->>'asn' FROM g"""

@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from netsift.functions.domains import HOSTNAME
 
@@ -61,20 +62,46 @@ def parse_payload(value: Column, schema: str) -> Column:
     return F.from_json(F.when(F.trim(value) != "", value), f"{schema}, _corrupt_record string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
 
 
+def unreadable_fields(value: Column, data: Column, schema: str) -> Column:
+    """Paths of fields that JSON text gives a value for, while ``data``, read from it by schema, has none: of another type than the
+    schema has, or with something of another type within. Null for text that is no JSON object."""
+
+    def leaves(kind: StructType, path: str, at: Column) -> list[Column]:
+        out = []
+        for f in kind.fields:
+            here, own = f"{path}.{f.name}", at[f.name]
+            given = F.try_variant_get(body, here, "variant")
+            there = given.isNotNull() & ~F.coalesce(F.is_variant_null(given), F.lit(False))
+            if isinstance(f.dataType, StructType):
+                out.append(F.when(there & own.isNull(), here[2:]))
+                out += leaves(f.dataType, here, own)
+            else:
+                out.append(F.when(there & own.isNull(), here[2:]))
+        return out
+
+    body = F.try_parse_json(value)
+    fields = F.filter(F.array(*leaves(StructType.fromDDL(schema), "$", data)), lambda x: x.isNotNull())
+    # a struct that can't be read names all that is in it; the struct alone is enough
+    short = F.filter(fields, lambda x: ~F.exists(fields, lambda y: F.startswith(x, F.concat(y, F.lit(".")))))
+    return F.when(F.startswith(F.schema_of_variant(body), F.lit("OBJECT")), short)
+
+
 def parse_merged(raw: DataFrame, schema: str) -> DataFrame:
-    """key and value as text: domain_name from the key, data, invalid_data; null values are skipped."""
+    """key and value as text: domain_name from the key, data, invalid_data, and unreadable (the fields of invalid data that are of
+    another type than schema has); null values are skipped."""
     rows = raw.where("value is not null").select(F.col("key").cast("string").alias("domain_name"), F.col("value").cast("string").alias("value"))
-    data = parse_payload(F.col("value"), schema)
-    rows = rows.withColumn("data", data)
+    rows = rows.withColumn("data", parse_payload(F.col("value"), schema))
     bad = F.col("data").isNull() | F.col("data._corrupt_record").isNotNull()
-    return rows.withColumn("invalid_data", bad).withColumn("data", F.when(~F.col("invalid_data"), F.col("data").dropFields("_corrupt_record"))).drop("value")
+    rows = rows.withColumn("invalid_data", bad).withColumn("unreadable", F.when(F.col("invalid_data"), unreadable_fields(F.col("value"), F.col("data"), schema)))
+    return rows.withColumn("data", F.when(~F.col("invalid_data"), F.col("data").dropFields("_corrupt_record"))).drop("value")
 
 
 def validate_merged(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and errors (domain_name, error)."""
-    error = F.when(F.col("invalid_data"), "Invalid data").when(F.coalesce(F.trim("domain_name"), F.lit("")) == "", "Missing domain name")
+    """Good rows, and errors (domain_name, error): one for each record, which names the fields that couldn't be read."""
+    fields = F.when(F.size("unreadable") > 0, F.concat(F.lit("Unreadable: "), F.array_join("unreadable", ", ")))
+    error = F.when(F.col("invalid_data"), F.coalesce(fields, F.lit("Invalid data"))).when(F.coalesce(F.trim("domain_name"), F.lit("")) == "", "Missing domain name")
     rows = parsed.withColumn("error", error)
-    return rows.where("error is null").drop("error", "invalid_data"), rows.where("error is not null").select("domain_name", "error")
+    return rows.where("error is null").drop("error", "invalid_data", "unreadable"), rows.where("error is not null").select("domain_name", "error")
 
 
 def plain_list(lines: DataFrame, category: str, column: str = "value") -> DataFrame:
