@@ -23,11 +23,11 @@ MOST_TOXIC = 3_000
 SLOTS = 1 << 20
 #: A feature that is one in so many of a text's words is marked as standing there often.
 SHARES = (200, 100)
-#: A feature is learned if so many toxic training documents have it.
-LEAST_DOCS = 3
+#: A feature is learned if so many toxic training documents have it, and this share of them.
+LEAST_DOCS, LEAST_SHARE = 3, 0.01
 BATCH, RATE, SPARSITY = 512, 0.07, 4e-4
 #: Rounds of averaging; in each a partition takes so many steps for each chunk of its documents.
-ROUNDS, STEPS, CHUNK = 2, 600, 8_192
+ROUNDS, STEPS, CHUNK = 2, 450, 8_192
 #: Partitions whose parameters are averaged at a time.
 FAN_IN = 64
 FOLDS, HELD = 5, 0
@@ -119,8 +119,8 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def common(toxic: list[np.ndarray]) -> np.ndarray:
-    """Which features are learned: those of LEAST_DOCS toxic documents."""
-    return np.bincount(np.concatenate([np.zeros(0, np.int32), *toxic]), minlength=SLOTS) >= LEAST_DOCS
+    """Which features are learned: those of LEAST_DOCS toxic documents, and of LEAST_SHARE of all."""
+    return np.bincount(np.concatenate([np.zeros(0, np.int32), *toxic]), minlength=SLOTS) >= max(LEAST_DOCS, LEAST_SHARE * len(toxic))
 
 
 class Fit:
