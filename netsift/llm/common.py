@@ -47,10 +47,10 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
+def keep(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: the lineage ends here and lost executors lose nothing."""
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._kept_at = path
     return out
