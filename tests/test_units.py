@@ -56,13 +56,13 @@ def test_more_useful_does_not_depend_on_order(spark):
 
 
 def test_merge_batch_cases(spark):
-    none, some = '{"ips":[]}', '{"ips":["1.1.1.1"]}'
+    none, some = '{"ips":[],"dnsData":{}}', '{"ips":[{"ip":"1.1.1.1","rrType":"A"}],"dnsData":{"A":["1.1.1.1"]}}'
     own = [("a", "zone", "{}", 0, 1, 1), ("a", "dns", none, 0, 2, 2), ("a", "rdap-dn", "{}", 0, 3, 3), ("b", "zone", "{}", 0, 4, 1), ("b", "dns", some, 0, 5, 2), ("b", "rdap-dn", "{}", 0, 6, 3), ("c", "rdap-dn", "{}", 0, 7, 1)]
     own += [("e", "zone", "{}", 0, 8, 1), ("e", "dns", some, 0, 9, 2), ("e", "rdap-dn", "{}", 0, 10, 3), ("e", "tls", "{}", 0, 11, 4)]
     ips = [("e", "1.1.1.1", c, "{}", 0, 20 + i, 5) for i, c in enumerate(merge.IP_COLLECTORS)] + [("x", "1.1.1.1", "rtt", "{}", 0, 30, 5)]
     ip = spark.createDataFrame([(d, i, c, v, s, None, o, ts) for d, i, c, v, s, o, ts in ips], "domain string, ip string, collector string, value string, status_code int, error string, offset long, ts_s long").withColumn("ts", F.timestamp_seconds("ts_s"))
     got = {r.domain: (r.is_complete, None if r.ips is None else len(r.ips)) for r in merge.merge_batch(results_of(spark, own), ip).collect()}
-    assert got == {"a": (True, None), "b": (False, 0), "e": (True, 1)}
+    assert got == {"a": (True, None), "b": (False, 1), "e": (True, 1)}
     more = ip.unionByName(ip.where("ip = '1.1.1.1' and collector = 'rtt' and domain = 'e'").withColumn("ip", F.lit("2.2.2.2")))
     assert not merge.merge_batch(results_of(spark, own), more).where("domain = 'e'").first().is_complete
 
