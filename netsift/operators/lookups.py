@@ -86,7 +86,7 @@ def range_lookup(addresses: DataFrame, networks: DataFrame, ip: str = "ip", out:
     hexed = addresses.select(ip).distinct().withColumn("_x", address_hex(F.col(ip))).where("_x is not null").withColumn("_v", F.when(F.length("_x") == 8, 4).otherwise(6))
     keys = hexed.join(F.broadcast(lengths), "_v").select(ip, "_v", F.col("_x"), F.explode("_ps").alias("_p")).select(ip, "_v", "_p", _leading(F.col("_x"), F.col("_p")).alias("_k"))
     hit = keys.join(nets, ["_v", "_p", "_k"])
-    # narrowest first: ranges that hold one address and start later and end earlier are narrower; else by their size
+    # the smallest width is the largest once its digits are turned round
     best = hit.groupBy(ip).agg(F.max_by("_n", F.struct(F.translate(_width("ip_start", "ip_end"), "0123456789abcdef", "fedcba9876543210").alias("w"), F.col("ip_start"))).alias(out))
     return addresses.join(best, ip, "left")
 
