@@ -52,42 +52,47 @@ def known_names(seeds: DataFrame, known: DataFrame, force: bool = False) -> tupl
 
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Ranges (ip_start, ip_end: hex) as the fewest networks that cover them, two for each bit of an address at most: _p and _k, the
-    length and the first bits of each; an upside-down or unreadable range is no network."""
+    length and the first bits of each, and _end; without ip_end, prefix says where it is. An upside-down range is no network."""
     for batch in batches:
-        rows, lengths, keys = [], [], []
-        for i, (start, end) in enumerate(zip(batch.column("ip_start").to_pylist(), batch.column("ip_end").to_pylist())):
-            if start is None or end is None or len(start) != len(end):
+        rows, lengths, keys, ends = [], [], [], []
+        for i, (start, end, prefix) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("ip_start", "ip_end", "_prefix")))):
+            if not start or (end and len(end) != len(start)) or (not end and prefix is None):
                 continue
-            bits, a, z = 4 * len(start), int(start, 16), int(end, 16)
+            bits, a = 4 * len(start), int(start, 16)
+            if not end:
+                a = a >> bits - prefix << bits - prefix
+            z = int(end, 16) if end else a | (1 << bits - prefix) - 1
             while a <= z:
                 # the largest block that begins at a and ends before z
                 free = min(bits if a == 0 else (a & -a).bit_length() - 1, (z - a + 1).bit_length() - 1)
                 rows.append(i)
                 lengths.append(bits - free)
                 keys.append(f"{a:0{len(start)}x}")
+                ends.append(f"{z:0{len(start)}x}")
                 a += 1 << free
         held = batch.take(pa.array(rows, pa.int64()))
-        yield pa.RecordBatch.from_arrays([*held.columns, pa.array(lengths, pa.int32()), pa.array(keys, pa.string())], [*batch.schema.names, "_p", "_start"])
+        yield pa.RecordBatch.from_arrays([*held.columns, pa.array(lengths, pa.int32()), pa.array(keys, pa.string()), pa.array(ends, pa.string())], [*batch.schema.names, "_p", "_start", "_end"])
 
 
 def range_lookup(addresses: DataFrame, networks: DataFrame, ip: str = "ip", out: str = "network") -> DataFrame:
     """addresses with struct ``out``: the narrowest of networks that holds the address, of equals the one that starts last; null if
     none does.
 
-    networks: version, ip_start, ip_end (hex, inclusive), others: any ranges. Each is cut into the fewest networks that cover it,
+    networks: version, ip_start, ip_end (hex, inclusive), others: any ranges; where ip_end is null or empty, prefix_len tells it. Each is cut into the fewest networks that cover it,
     those that share their first bits, so this is an equi-join: each distinct address is asked once for every prefix length
     that its version has (the lengths are a table of at most 162 rows).
     """
     kept = [c for c in networks.columns if c != "version"]
-    named = networks.withColumn("_n", F.struct(*kept)).select(F.col("version").alias("_v"), F.col("ip_start"), F.col("ip_end"), "_n")
-    schema = f"_v {named.schema['_v'].dataType.simpleString()}, ip_start string, ip_end string, _n {named.schema['_n'].dataType.simpleString()}, _p int, _start string"
+    prefix = F.col("prefix_len").cast("int") if "prefix_len" in networks.columns else F.lit(None).cast("int")
+    named = networks.withColumn("_n", F.struct(*kept)).select(F.col("version").alias("_v"), "ip_start", "ip_end", prefix.alias("_prefix"), "_n")
+    schema = f"_v {named.schema['_v'].dataType.simpleString()}, ip_start string, ip_end string, _prefix int, _n {named.schema['_n'].dataType.simpleString()}, _p int, _start string, _end string"
     nets = named.mapInArrow(_prefixes, schema).withColumn("_k", _leading(F.col("_start"), F.col("_p")))
     lengths = nets.select("_v", "_p").distinct().groupBy("_v").agg(F.collect_set("_p").alias("_ps"))
     hexed = addresses.select(ip).distinct().withColumn("_x", address_hex(F.col(ip))).where("_x is not null").withColumn("_v", F.when(F.length("_x") == 8, 4).otherwise(6))
     keys = hexed.join(F.broadcast(lengths), "_v").select(ip, "_v", F.col("_x"), F.explode("_ps").alias("_p")).select(ip, "_v", "_p", _leading(F.col("_x"), F.col("_p")).alias("_k"))
     hit = keys.join(nets, ["_v", "_p", "_k"])
     # the smallest width is the largest once its digits are turned round
-    best = hit.groupBy(ip).agg(F.max_by("_n", F.struct(F.translate(_width("ip_start", "ip_end"), "0123456789abcdef", "fedcba9876543210").alias("w"), F.col("ip_start"))).alias(out))
+    best = hit.groupBy(ip).agg(F.max_by("_n", F.struct(F.translate(_width("ip_start", "_end"), "0123456789abcdef", "fedcba9876543210").alias("w"), F.col("ip_start"))).alias(out))
     return addresses.join(best, ip, "left")
 
 
