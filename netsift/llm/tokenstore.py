@@ -28,13 +28,13 @@ from pyspark.sql import functions as F
 from .common import Words, buckets_for, forget, keep, mix, new_path, slices
 
 #: Bytes of ids in a block, but for a longer document, and blocks in a file.
-BLOCK_BYTES, BLOCKS = 1_000_000, 4
+BLOCK_BYTES, BLOCKS = 1_000_000, 8
 #: Documents that one bucket of the index holds about.
 KEYS_PER_BUCKET = 100_000
 #: Bytes of text that are encoded at once, but for a longer text.
-ENCODED_BYTES = 3_000_000
+ENCODED_BYTES = 4_000_000
 #: Words whose ids a Python worker remembers; then it forgets all and begins again.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 TRAILER, TRAILER_BYTES = "<QQ8s", 24
 MAGIC = b"netsift1"
 PLACES = "shard long, doc_id long, occurrence long, offset long, n_tokens long, before long"
@@ -253,7 +253,7 @@ def write_store(docs: DataFrame, tokenizer: str, end_id: int = 1, path: str | No
     """Encode docs (doc_id, text), write the ids in ascending doc_id, and index them.
 
     Ranges of doc_id are cut by Spark's sample of the encoded rows, equal ids too, so no id fills a task. What goes through the
-    driver is a row for each file (4 MB of ids): its number of ids, its first and last doc_id.
+    driver is a row for each file (8 MB of ids): its number of ids, its first and last doc_id.
     """
     spark = docs.sparkSession
     path = path or new_path(spark, "tokens")
