@@ -25,7 +25,7 @@ SLOTS = 1 << 20
 SHARES = (200, 100)
 #: A feature is learned if so many toxic training documents have it, and this share of them.
 LEAST_DOCS, LEAST_SHARE = 3, 0.01
-BATCH, RATE, SPARSITY = 512, 0.07, 4e-4
+BATCH, RATE, SPARSITY = 512, 0.07, 8e-4
 #: Rounds of averaging; in each a partition takes so many steps for each chunk of its documents.
 ROUNDS, STEPS, CHUNK = 2, 450, 8_192
 #: Partitions whose parameters are averaged at a time.
