@@ -141,6 +141,7 @@ def merge_lives(domain_results: DataFrame, ip_results: DataFrame, gap: int = 60,
 
 
 def lifetimes(results: DataFrame, gap: str = "60 seconds") -> DataFrame:
-    """Lives (life_start, life_end) of domains and the number of their results: a gap without results ends a life."""
-    rows = results.groupBy("domain", F.session_window("ts", gap).alias("life")).agg(F.count("*").alias("n"))
-    return rows.select("domain", F.col("life.start").alias("life_start"), F.col("life.end").alias("life_end"), "n")
+    """Lives (life_start, life_end) of domains, the number of their results and these results' offsets in ascending order, all in
+    one row: a gap without results ends a life."""
+    rows = results.groupBy("domain", F.session_window("ts", gap).alias("life")).agg(F.count("*").alias("n"), F.sort_array(F.collect_list("offset")).alias("offsets"))
+    return rows.select("domain", F.col("life.start").alias("life_start"), F.col("life.end").alias("life_end"), "n", "offsets")

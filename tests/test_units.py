@@ -201,3 +201,10 @@ def test_too_many_countries_stop_the_job(spark):
     ids = spark.range(records.MOST_COUNTRIES + 1).selectExpr("cast(id as string) as country", "id")
     with pytest.raises(Exception, match="too many rows"):
         records.geo_features(spark.sql("SELECT array('1') AS countries, array(1D) AS latitudes, array(1D) AS longitudes"), ids).collect()
+
+
+def test_lifetimes_name_their_results(spark):
+    at = lambda *seconds: [("d", s, o) for o, s in seconds]
+    rows = spark.createDataFrame(at((12, 0), (10, 20), (11, 10), (3, 200)), "domain string, s long, offset long").withColumn("ts", F.timestamp_seconds("s"))
+    got = sorted((r.n, r.offsets) for r in merge.lifetimes(rows, "60 seconds").collect())
+    assert got == [(1, [3]), (3, [10, 11, 12])]
