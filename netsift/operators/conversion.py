@@ -25,22 +25,27 @@ def ip_records(ips: Column, results: Column) -> Column:
     without any answer. A reputation of 0 counts as missing, -1.
     """
 
-    def one(x: Column) -> Column:
-        own = results[x["ip"]]
-        of = lambda c, f: own[c]["data"][f]
-        rep = of("nerd", "reputation")
-        net = F.concat_ws("/", F.regexp_replace(of("geo-asn", "networkAddress"), "^/", ""), of("geo-asn", "prefixLength").cast("string"))
+    # a step for each look-up, so that each address looks into the maps once, not for every field
+    def found(x: Column) -> Column:
+        return F.struct(x["ip"].alias("ip"), x["rrType"].alias("rrType"), results[x["ip"]].alias("own"))
+
+    def data(x: Column) -> Column:
+        own = x["own"]
         answers = F.filter(F.map_values(F.map_filter(own, lambda k, _: k.startswith("rtt"))), lambda r: r["statusCode"] == 0)
-        count = F.aggregate(answers, F.lit(0.0), lambda z, r: z + F.coalesce(r["data"]["received"], F.lit(0)))
-        total = F.aggregate(answers, F.lit(0.0), lambda z, r: z + F.coalesce(r["data"]["avg"] * r["data"]["received"], F.lit(0.0)))
-        version = of("rdap-ip", "ipVersion")
+        return F.struct(x["ip"].alias("ip"), x["rrType"].alias("rrType"), *[own[c]["data"].alias(name) for c, name in (("geo-asn", "geo"), ("rdap-ip", "rdap"), ("nerd", "nerd"))], answers.alias("answers"))
+
+    def one(x: Column) -> Column:
+        geo, rdap, rep = x["geo"], x["rdap"], x["nerd"]["reputation"]
+        net = F.concat_ws("/", F.regexp_replace(geo["networkAddress"], "^/", ""), geo["prefixLength"].cast("string"))
+        count = F.aggregate(x["answers"], F.lit(0.0), lambda z, r: z + F.coalesce(r["data"]["received"], F.lit(0)))
+        total = F.aggregate(x["answers"], F.lit(0.0), lambda z, r: z + F.coalesce(r["data"]["avg"] * r["data"]["received"], F.lit(0.0)))
         return F.struct(
-            x["ip"].alias("ip"), x["rrType"].alias("from_record"), of("geo-asn", "asn").alias("asn"), F.when(of("geo-asn", "networkAddress").isNotNull(), net).alias("as_address"),
-            of("geo-asn", "countryCode").alias("country"), of("geo-asn", "latitude").alias("latitude"), of("geo-asn", "longitude").alias("longitude"), F.when(count > 0, total / count).otherwise(0.0).alias("average_rtt"),
-            F.when(rep.isNull() | (rep == 0), -1.0).otherwise(rep).alias("reputation"), F.struct(F.regexp_replace(version, "^v(?=[46]$)", "").alias("ip_version"), of("rdap-ip", "prefixLen").alias("prefix_len"), of("rdap-ip", "adminName").alias("admin_name"), of("rdap-ip", "adminEmail").alias("admin_email")).alias("rdap"),
+            x["ip"].alias("ip"), x["rrType"].alias("from_record"), geo["asn"].alias("asn"), F.when(geo["networkAddress"].isNotNull(), net).alias("as_address"),
+            geo["countryCode"].alias("country"), geo["latitude"].alias("latitude"), geo["longitude"].alias("longitude"), F.when(count > 0, total / count).otherwise(0.0).alias("average_rtt"),
+            F.when(rep.isNull() | (rep == 0), -1.0).otherwise(rep).alias("reputation"), F.struct(F.regexp_replace(rdap["ipVersion"], "^v(?=[46]$)", "").alias("ip_version"), rdap["prefixLen"].alias("prefix_len"), rdap["adminName"].alias("admin_name"), rdap["adminEmail"].alias("admin_email")).alias("rdap"),
         )
 
-    return F.transform(F.coalesce(ips, F.array().cast("array<struct<ip:string,rrType:string>>")), one)
+    return F.transform(F.transform(F.transform(F.coalesce(ips, F.array().cast("array<struct<ip:string,rrType:string>>")), found), data), one)
 
 
 def flatten_geo(data: Column) -> dict[str, Column]:
@@ -64,9 +69,10 @@ def flat_record(merged: DataFrame) -> DataFrame:
     )
     rows = rows.withColumns(soa_split(F.col("domain_name"), F.col("dns_zone"), F.col("_soa")) | {"dns_email_extras": email_extras(F.col("dns_TXT"))} | flatten_geo(F.col("ip_data")))
     rows = rdap_columns(rows, F.col("_rdap.rdapData"), F.col("_rdap.entities"))
-    dates = whois_dates(whois_fields(F.col("_rdap.whoisParsed")), F.col("_rdap.whoisRaw"))
     no_rdap = F.col("_rdap.rdapData").isNull()
-    return rows.withColumns({c: F.when(no_rdap, dates[k]).otherwise(F.col(c)) for k, c in (("created", "rdap_registration_date"), ("expires", "rdap_expiration_date"), ("updated", "rdap_last_changed_date"))}).drop("_soa", "_rdap")
+    rows = rows.withColumn("_whois", F.when(no_rdap, whois_fields(F.col("_rdap.whoisParsed"))))
+    dates = whois_dates(F.col("_whois"), F.col("_rdap.whoisRaw"))
+    return rows.withColumns({c: F.when(no_rdap, dates[k]).otherwise(F.col(c)) for k, c in (("created", "rdap_registration_date"), ("expires", "rdap_expiration_date"), ("updated", "rdap_last_changed_date"))}).drop("_soa", "_rdap", "_whois")
 
 
 RDAP = "events array<map<string,string>>, entities array<struct<roles: string, vcardArray: string, entities: string>>, secureDNS struct<delegationSigned: boolean>"
@@ -78,13 +84,15 @@ def rdap_columns(df: DataFrame, body: Column, entities: Column | None = None) ->
     Event keys come in case variants, roles as text or as objects with a value. Entities that were asked for one by one
     (JSON text) stand for those in the body.
     """
-    got = F.from_json(body, RDAP)
-    own = got["entities"] if entities is None else F.coalesce(F.from_json(entities, "array<struct<roles: string, vcardArray: string, entities: string>>"), got["entities"])
+    # columns of a select of their own, so that each text is parsed once, not for every field that is read
+    df = df.withColumns({"_body": F.from_json(body, RDAP), "_entities": F.from_json(F.lit(None).cast("string") if entities is None else entities, "array<struct<roles: string, vcardArray: string, entities: string>>")})
+    df = df.withColumn("_own", F.coalesce("_entities", "_body.entities"))
+    got, own = F.col("_body"), F.col("_own")
     date = lambda action: F.get(F.filter(got["events"], lambda e: F.lower(F.coalesce(e["eventAction"], e["EventAction"], e["eventaction"])) == action), 0)
     when = lambda action: F.try_to_timestamp(F.coalesce(date(action)["eventDate"], date(action)["EventDate"], date(action)["eventdate"]))
     return df.withColumns(
         {"rdap_registration_date": when("registration"), "rdap_expiration_date": when("expiration"), "rdap_last_changed_date": when("last changed"), "rdap_dnssec": got["secureDNS"]["delegationSigned"], "rdap_entities": entities_by_role(own)}
-    )
+    ).drop("_body", "_entities", "_own")
 
 
 def entity_roles(roles: Column) -> Column:
@@ -96,8 +104,10 @@ def entities_by_role(entities: Column) -> Column:
     """Map of role to entities (name, email), from their cards: pairs of a property's name and its last item."""
     field = lambda card, name: F.nullif(F.regexp_extract(card, rf'\["{name}",\{{[^}}]*\}},"[^"]*","([^"]*)"\]', 1), F.lit(""))
     one = F.transform(entities, lambda e: F.struct(F.coalesce(F.filter(entity_roles(e["roles"]), lambda r: r.isNotNull()), F.array().cast("array<string>")).alias("roles"), F.struct(field(e["vcardArray"], "fn").alias("name"), field(e["vcardArray"], "email").alias("email")).alias("e")))
-    roles = F.array_distinct(F.flatten(F.transform(one, lambda x: x["roles"])))
-    return F.map_from_entries(F.transform(roles, lambda r: F.struct(r.alias("role"), F.transform(F.filter(one, lambda x: F.array_contains(x["roles"], r)), lambda x: x["e"]).alias("of"))))
+    roles = lambda each: F.array_distinct(F.flatten(F.transform(each, lambda x: x["roles"])))
+    of = lambda each, r: F.transform(F.filter(each, lambda x: F.array_contains(x["roles"], r)), lambda x: x["e"])
+    # the cards are read once, however many roles there are
+    return F.get(F.transform(F.array(one), lambda each: F.map_from_entries(F.transform(roles(each), lambda r: F.struct(r.alias("role"), of(each, r).alias("of"))))), 0)
 
 
 def whois_fields(parsed: Column) -> Column:

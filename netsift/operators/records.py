@@ -78,9 +78,8 @@ def dns_features(df: DataFrame) -> DataFrame:
 
 def entropy_column(s: Column) -> Column:
     """Character entropy of s divided by its length, 0 for an empty string; usable inside higher-order functions."""
-    chars = F.regexp_extract_all(s, F.lit("(?s)."), F.lit(0))
     n = F.length(s)
-    parts = F.transform(F.array_distinct(chars), lambda c: F.size(F.filter(chars, lambda y: y == c)) / n)
+    parts = F.transform(F.array_distinct(F.split(s, "")), lambda c: (n - F.length(F.replace(s, c, F.lit("")))) / n)
     return F.when(n > 0, F.abs(F.aggregate(parts, F.lit(0.0), lambda z, p: z - p * F.log2(p))) / n).otherwise(0.0)
 
 

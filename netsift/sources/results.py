@@ -86,11 +86,18 @@ def unreadable_fields(value: Column, data: Column, schema: str) -> Column:
     return F.when(F.startswith(F.schema_of_variant(body), F.lit("OBJECT")), short)
 
 
+def once(rows: DataFrame, **columns: Column) -> DataFrame:
+    """rows with columns that are computed once a row: filters on them stay behind the array of one element that they come from,
+    while a filter on a plain column is moved before it and computes it again."""
+    kept = [c for c in rows.columns if c not in columns]
+    return rows.select(*kept, F.inline_outer(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 def parse_merged(raw: DataFrame, schema: str) -> DataFrame:
     """key and value as text: domain_name from the key, data, invalid_data, and unreadable (the fields of invalid data that are of
     another type than schema has); null values are skipped."""
-    rows = raw.where("value is not null").select(F.col("key").cast("string").alias("domain_name"), F.col("value").cast("string").alias("value"))
-    rows = rows.withColumn("data", parse_payload(F.col("value"), schema))
+    rows = once(raw.select(F.col("key").cast("string").alias("domain_name"), F.col("value").cast("string").alias("value")), value=F.col("value")).where("value is not null")
+    rows = once(rows, data=parse_payload(F.col("value"), schema))
     bad = F.col("data").isNull() | F.col("data._corrupt_record").isNotNull()
     rows = rows.withColumn("invalid_data", bad).withColumn("unreadable", F.when(F.col("invalid_data"), unreadable_fields(F.col("value"), F.col("data"), schema)))
     return rows.withColumn("data", F.when(~F.col("invalid_data"), F.col("data").dropFields("_corrupt_record"))).drop("value")

@@ -208,3 +208,22 @@ def test_lifetimes_name_their_results(spark):
     rows = spark.createDataFrame(at((12, 0), (10, 20), (11, 10), (3, 200)), "domain string, s long, offset long").withColumn("ts", F.timestamp_seconds("s"))
     got = sorted((r.n, r.offsets) for r in merge.lifetimes(rows, "60 seconds").collect())
     assert got == [(1, [3]), (3, [10, 11, 12])]
+
+
+def test_entropies_count_every_character_once_and_as_before(spark):
+    words = ["", "a", "aabb", "a.b-c", "žluťoučký kůň", "😀😀x", "a\nb\\", "$1$1", None]
+    rows = spark.createDataFrame([(w,) for w in words], "s string")
+    before = f"if(length(s) > 0, {t.entropy_of(t.chars('s'))} / length(s), 0D)"
+    for a, b in rows.select(F.expr(t.norm_entropy("s")), F.expr(before)).union(rows.select(records.entropy_column(F.col("s")), F.expr(before))).collect():
+        assert a == b
+    assert "filter" not in t.norm_entropy("s")  # no lambda for each pair of characters
+
+
+def test_each_text_of_a_record_is_parsed_once(spark):
+    raw = spark.createDataFrame([("a.com", '{"zone": {"zone": "a.com"}}')], "key string, value string").withColumn("value", F.translate("value", "~", "-"))
+    good, _ = results.validate_merged(results.parse_merged(raw, results.MERGED))
+    flat = cv.flat_record(good.select(F.col("domain_name").alias("domain"), "data.*"))
+    plan = flat._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("translate(") == 1
+    assert plan.count("from_json(StructField(events") == 1
+    assert [r.dns_zone for r in flat.collect()] == ["a.com"]
