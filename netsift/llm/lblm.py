@@ -1,8 +1,8 @@
 """A log-bilinear language model trained by noise-contrastive estimation, and unigram counts over the whole corpus.
 
-Counts: which tokens are HOT is taken from a sample, so that batches send one sum for each of these. All others travel as
-packed arrays, one entry for a document and token, to buckets of the token's hash; a bucket counts its tokens over all
-training documents and sends back what each document needs of them, again packed.
+Counts: tokens guessed to be frequent (HOT) are summed by batches; the guess changes how counts travel, not what they are. All
+others travel as packed arrays, one entry for a document and token, to buckets of the token's hash; a bucket counts its
+tokens over all training documents and sends back what each document needs of them, again packed, and its most frequent ones.
 
 Model: the most frequent tokens are classes of their own, every other token belongs to the class of its ending, within
 which it has its share of the counts (plus one; unseen ones together have one more). So all words take part, whatever
@@ -85,7 +85,8 @@ def _named(docs: DataFrame) -> DataFrame:
 
 
 def hot_tokens(texts: DataFrame) -> np.ndarray:
-    """Sorted hashes of the HOT - 1 most frequent words of HOT_DOCS training documents (ties by hash), and of the end."""
+    """Sorted hashes of the HOT - 1 most frequent words of HOT_DOCS training documents (ties by hash), and of the end: what batches
+    sum. No result depends on it."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -135,7 +136,8 @@ def _count(n_buckets: int, hot: np.ndarray):
         return {"kind": pa.array(np.full(m, kind, np.int32)), "bucket": pa.array(at.astype(np.int32)), "payload": pa.nulls(m, pa.binary()), "a": pa.array(a.astype(np.int64)), "b": pa.array(b.astype(np.int64))}
 
     def work(table: pa.Table) -> pa.Table:
-        """Of this bucket's tokens: parts of documents (kind 0), and for each ending tokens and types (kind 1); of sums of hot tokens their sum (kind 2)."""
+        """Of this bucket's tokens: parts of documents (kind 0), and for each ending tokens and types (kind 1), and
+        counts and hashes of the SINGLE most frequent ones (kind 3); of sums of hot tokens their sum (kind 2)."""
         views = [memoryview(p.as_buffer()) for p in table.column("payload")]
         if table.column("bucket")[0].as_py() < 0:
             total = sum(np.frombuffer(v, np.int64) for v in views)
@@ -149,6 +151,9 @@ def _count(n_buckets: int, hot: np.ndarray):
         count = np.add.reduceat(n * train, first)
         form = (h[first] & np.uint64(FORMS - 1)).astype(np.int64)
         own = sums(1, np.arange(FORMS), np.bincount(form, count, FORMS), np.bincount(form, count > 0, FORMS))
+        top = np.argsort(-count, kind="stable")[:SINGLE]  # ties by hash, as first is in its order
+        top = top[count[top] > 0]
+        most = sums(3, np.arange(len(top)), count[top], h[first[top]].view(np.int64))
         each = np.repeat(count, np.diff(np.append(first, len(h))))
         order = np.argsort(key, kind="stable")
         key, n, each = key[order], n[order], each[order]
@@ -159,7 +164,7 @@ def _count(n_buckets: int, hot: np.ndarray):
         full = np.flatnonzero(np.diff(cut))
         parts = sums(0, full, np.zeros(len(full)), np.zeros(len(full)))
         parts["payload"] = pa.array([b"".join(c[cut[b] : cut[b + 1]].tobytes() for c in docs) for b in full], pa.binary())
-        return pa.concat_tables([pa.table(parts), pa.table(own)])
+        return pa.concat_tables([pa.table(parts), pa.table(own), pa.table(most)])
 
     return work
 
@@ -178,11 +183,16 @@ def _collect_parts(table: pa.Table) -> pa.Table:
 
 @dataclass
 class Vocabulary:
-    hot: np.ndarray  # sorted hashes
+    hot: np.ndarray  # sorted hashes: what batches sum, and all single tokens
     hot_counts: np.ndarray
     classes: np.ndarray  # class of each hot token
     counts: np.ndarray  # training tokens by class
     types: np.ndarray  # and seen types; 1 for the end and single tokens
+    summed: np.ndarray | None = None  # hot tokens that batches sum (None: all); the others' counts reach documents from buckets
+
+    def __post_init__(self):
+        if self.summed is None:
+            self.summed = np.ones(len(self.hot), bool)
 
     @property
     def n_tokens(self) -> int:
@@ -210,11 +220,23 @@ class Vocabulary:
 
 
 def vocabulary(counted: DataFrame, hot: np.ndarray) -> Vocabulary:
-    """Counts of classes: the SINGLE most frequent hot words (ties by hash) are classes of their own."""
+    """Counts of classes: the SINGLE most frequent words of all training documents (ties by hash) are classes of their own."""
     rows = counted.where("kind in (1, 2)").groupBy("kind", "bucket").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).toPandas()
     forms, own = rows[rows["kind"] == 1], rows[rows["kind"] == 2]
     counts, types, hot_counts = np.zeros(FORMS), np.zeros(FORMS), np.zeros(len(hot))
     counts[forms["bucket"]], types[forms["bucket"]], hot_counts[own["bucket"]] = forms["a"], forms["b"], own["a"]
+    # in order of the hash as an unsigned number
+    top = counted.where("kind = 3").select("a", "b").orderBy(F.desc("a"), F.col("b").bitwiseXOR(F.lit(-(1 << 63)))).limit(SINGLE).collect()
+    hot, hot_counts = np.append(hot, np.array([r.b for r in top], np.int64).view(np.uint64)), np.append(hot_counts, [float(r.a) for r in top])
+    summed = np.arange(len(hot)) < len(hot) - len(top)
+    order = np.lexsort((hot, -hot_counts))
+    chosen = np.zeros(len(hot), bool)
+    chosen[order[(hot[order] != _END_HASH) & (hot_counts[order] > 0)][:SINGLE]] = True
+    at = np.flatnonzero(summed | chosen)
+    at = at[np.argsort(hot[at])]
+    hot, hot_counts, summed = hot[at], hot_counts[at], summed[at]
+    rest = (hot[~summed] & np.uint64(FORMS - 1)).astype(np.int64)  # now single, no longer of their ending's class
+    counts, types = counts - np.bincount(rest, hot_counts[~summed], FORMS), types - np.bincount(rest, minlength=FORMS)
     order = np.lexsort((hot, -hot_counts))
     single = order[(hot[order] != _END_HASH) & (hot_counts[order] > 0)][:SINGLE]
     classes = (hot & np.uint64(FORMS - 1)).astype(np.int64)
@@ -223,7 +245,7 @@ def vocabulary(counted: DataFrame, hot: np.ndarray) -> Vocabulary:
     k = END + 1 + len(single)
     counts = np.append(counts, np.zeros(k - FORMS)) + np.bincount(classes, hot_counts, k)
     types = np.append(types, np.zeros(k - FORMS)) + np.bincount(classes, hot_counts > 0, k)
-    return Vocabulary(hot, hot_counts, classes, counts, types)
+    return Vocabulary(hot, hot_counts, classes, counts, types, summed)
 
 
 @dataclass
@@ -370,9 +392,10 @@ def _score(model: Model, vocab: Vocabulary):
                 a = at[i : i + (1 << 17)]
                 own[i : i + (1 << 17)] = np.einsum("ij,ij->i", q[a], model.target[y[i : i + (1 << 17)]]) + model.bias[y[i : i + (1 << 17)]] - log_z[a]
             sums = lambda x: np.add.reduceat(x, t.starts[:-1]) if len(y) else np.zeros(0)
-            is_hot = hot >= 0
+            is_hot = (hot >= 0) & vocab.summed[hot]
             log = np.where(is_hot, log_hot[hot], 0.0)
-            inside = np.where(y < END, log - within[y], 0.0)  # what the rest's counts add comes from their buckets
+            # what the rest's counts add comes from their buckets, and is taken from those that are single
+            inside = np.where(y < END, log - within[y], np.where(is_hot, 0.0, -log_hot[hot]))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("doc_id", "held_out", "_k")), pa.array(np.diff(t.starts)), pa.array(sums(own / shift + inside)), pa.array(sums(log)), pa.array(sums((is_hot & known[hot]).astype(np.int64))), pa.array(sums((~is_hot).astype(np.int64)))],
                 names=["doc_id", "held_out", "_k", "n_tokens", "own_score", "log_hot", "known_hot", "n_rest"],

@@ -167,3 +167,12 @@ def test_pipeline(spark):
     ids = {r.doc_id for r in docs.select("doc_id").collect()}
     assert 0 < len(rows) < len(ids) and {r.doc_id for r in rows} <= ids
     assert spark.createDataFrame([], DOCS).columns == docs.columns
+
+
+def test_the_model_does_not_depend_on_the_tokens_guessed_to_be_frequent(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    score = lambda: {r.doc_id: (r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 3)) for r in lblm.score_texts(docs).collect()}
+    wanted = score()
+    monkeypatch.setattr(lblm, "HOT", 40)
+    monkeypatch.setattr(lblm, "HOT_DOCS", 1)
+    assert score() == wanted
