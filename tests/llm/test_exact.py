@@ -646,3 +646,22 @@ def test_latent_search_recalls_brute_force_neighbours(spark):
             if c >= 0.6:
                 near, got = near + 1, got + bool(latent[i, j])
     assert near >= len(bench) and got >= 0.9 * near, (got, near)
+
+
+def test_latent_space_is_fitted_on_the_passages_of_all_documents(spark):
+    """Over all passages of all documents, more than a sample ever had, the space's directions are uncorrelated and none is spread
+    more than 1, which holds of no fit that has left documents out."""
+    docs = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").collect()]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    weights = decontam.idf(*decontam.document_frequencies(df))
+    table = decontam.latent_space(df, spark.read.parquet(f"{SMALL}/benchmark.parquet").select("text"), weights)
+    total = np.zeros((decontam.RANK, decontam.RANK))
+    for text in docs:
+        ids = np.array([xxhash.xxh3_64_intdigest(w, 17) % decontam.FEATURES for w in words(text)], np.int64)
+        for k in range(max(1, -(-len(ids) // decontam.BLOCK) - decontam.WINDOW + 1) if len(ids) else 0):
+            part = ids[k * decontam.BLOCK : (k + decontam.WINDOW) * decontam.BLOCK]
+            y = table[part].sum(axis=0, dtype=np.float64) / max(float(np.sqrt((weights[part].astype(np.float64) ** 2).sum())), 1e-9)
+            total += np.outer(y, y)
+    share = np.diag(total)
+    assert share.max() <= 1.001 and np.median(share) > 0.5
+    assert np.abs(total - np.diag(share)).max() < 0.005
