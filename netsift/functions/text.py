@@ -51,7 +51,10 @@ def simhash32(s: str) -> str:
 
 def md5_mod(s: str) -> str:
     """md5 of s as a number modulo 2147483647, by Horner's rule over four 32-bit parts."""
-    return f"aggregate(sequence(0, 3), 0L, (z, i) -> (z * 4294967296L + cast(conv(substr(md5({s}), i * 8 + 1, 8), 16, 10) as bigint)) % 2147483647L)"
+    out = "0L"
+    for i in range(4):
+        out = f"(({out} * 4294967296L + cast(conv(substr(_h, {i * 8 + 1}, 8), 16, 10) as bigint)) % 2147483647L)"
+    return let(f"md5({s})", "_h", out)
 
 
 def longest_match(s: str, pattern: str) -> str:

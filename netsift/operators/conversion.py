@@ -31,18 +31,19 @@ def ip_records(ips: Column, results: Column) -> Column:
 
     def data(x: Column) -> Column:
         own = x["own"]
-        answers = F.filter(F.map_values(F.map_filter(own, lambda k, _: k.startswith("rtt"))), lambda r: r["statusCode"] == 0)
+        answers = F.filter(F.map_entries(own), lambda e: e["key"].startswith("rtt") & (e["value"]["statusCode"] == 0))
         return F.struct(x["ip"].alias("ip"), x["rrType"].alias("rrType"), *[own[c]["data"].alias(name) for c, name in (("geo-asn", "geo"), ("rdap-ip", "rdap"), ("nerd", "nerd"))], answers.alias("answers"))
 
     def one(x: Column) -> Column:
         geo, rdap, rep = x["geo"], x["rdap"], x["nerd"]["reputation"]
-        net = F.concat_ws("/", F.regexp_replace(geo["networkAddress"], "^/", ""), geo["prefixLength"].cast("string"))
-        count = F.aggregate(x["answers"], F.lit(0.0), lambda z, r: z + F.coalesce(r["data"]["received"], F.lit(0)))
-        total = F.aggregate(x["answers"], F.lit(0.0), lambda z, r: z + F.coalesce(r["data"]["avg"] * r["data"]["received"], F.lit(0.0)))
+        address, version = geo["networkAddress"], rdap["ipVersion"]
+        net = F.concat_ws("/", F.when(address.startswith("/"), F.substr(address, F.lit(2))).otherwise(address), geo["prefixLength"].cast("string"))
+        count = F.aggregate(x["answers"], F.lit(0.0), lambda z, e: z + F.coalesce(e["value"]["data"]["received"], F.lit(0)))
+        total = F.aggregate(x["answers"], F.lit(0.0), lambda z, e: z + F.coalesce(e["value"]["data"]["avg"] * e["value"]["data"]["received"], F.lit(0.0)))
         return F.struct(
-            x["ip"].alias("ip"), x["rrType"].alias("from_record"), geo["asn"].alias("asn"), F.when(geo["networkAddress"].isNotNull(), net).alias("as_address"),
+            x["ip"].alias("ip"), x["rrType"].alias("from_record"), geo["asn"].alias("asn"), F.when(address.isNotNull(), net).alias("as_address"),
             geo["countryCode"].alias("country"), geo["latitude"].alias("latitude"), geo["longitude"].alias("longitude"), F.when(count > 0, total / count).otherwise(0.0).alias("average_rtt"),
-            F.when(rep.isNull() | (rep == 0), -1.0).otherwise(rep).alias("reputation"), F.struct(F.regexp_replace(rdap["ipVersion"], "^v(?=[46]$)", "").alias("ip_version"), rdap["prefixLen"].alias("prefix_len"), rdap["adminName"].alias("admin_name"), rdap["adminEmail"].alias("admin_email")).alias("rdap"),
+            F.when(rep.isNull() | (rep == 0), -1.0).otherwise(rep).alias("reputation"), F.struct(F.when(version.isin("v4", "v6"), F.substr(version, F.lit(2))).otherwise(version).alias("ip_version"), rdap["prefixLen"].alias("prefix_len"), rdap["adminName"].alias("admin_name"), rdap["adminEmail"].alias("admin_email")).alias("rdap"),
         )
 
     return F.transform(F.transform(F.transform(F.coalesce(ips, F.array().cast("array<struct<ip:string,rrType:string>>")), found), data), one)
@@ -86,18 +87,20 @@ def rdap_columns(df: DataFrame, body: Column, entities: Column | None = None) ->
     """
     # columns of a select of their own, so that each text is parsed once, not for every field that is read
     df = df.withColumns({"_body": F.from_json(body, RDAP), "_entities": F.from_json(F.lit(None).cast("string") if entities is None else entities, "array<struct<roles: string, vcardArray: string, entities: string>>")})
-    df = df.withColumn("_own", F.coalesce("_entities", "_body.entities"))
+    event = lambda e: F.struct(F.lower(F.coalesce(e["eventAction"], e["EventAction"], e["eventaction"])).alias("action"), F.coalesce(e["eventDate"], e["EventDate"], e["eventdate"]).alias("date"))
+    df = df.withColumns({"_own": F.coalesce("_entities", "_body.entities"), "_events": F.transform("_body.events", event)})
     got, own = F.col("_body"), F.col("_own")
-    date = lambda action: F.get(F.filter(got["events"], lambda e: F.lower(F.coalesce(e["eventAction"], e["EventAction"], e["eventaction"])) == action), 0)
-    when = lambda action: F.try_to_timestamp(F.coalesce(date(action)["eventDate"], date(action)["EventDate"], date(action)["eventdate"]))
+    when = lambda action: F.try_to_timestamp(F.get(F.filter("_events", lambda e: e["action"] == action), 0)["date"])
     return df.withColumns(
         {"rdap_registration_date": when("registration"), "rdap_expiration_date": when("expiration"), "rdap_last_changed_date": when("last changed"), "rdap_dnssec": got["secureDNS"]["delegationSigned"], "rdap_entities": entities_by_role(own)}
-    ).drop("_body", "_entities", "_own")
+    ).drop("_body", "_entities", "_own", "_events")
 
 
 def entity_roles(roles: Column) -> Column:
     """Roles given as text, or as objects whose value is the role."""
-    return F.coalesce(F.transform(F.from_json(roles, "array<struct<value: string>>"), lambda x: x["value"]), F.from_json(roles, "array<string>"))
+    # a reading that fails is dear, so objects are only looked for where there is a brace
+    plain = F.from_json(roles, "array<string>")
+    return F.when(F.contains(roles, F.lit("{")), F.coalesce(F.transform(F.from_json(roles, "array<struct<value: string>>"), lambda x: x["value"]), plain)).otherwise(plain)
 
 
 def entities_by_role(entities: Column) -> Column:

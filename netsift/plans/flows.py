@@ -156,11 +156,10 @@ def rdap_ip_features(spark, sf_dir):
 
 def merged_raw(spark, sf_dir):
     """Orders as messages with a merged record: key, value (JSON)."""
-    fields = {"asn": "bigint", "networkAddress": "string", "prefixLength": "bigint", "countryCode": "string", "latitude": "double", "longitude": "double", "avg": "double", "received": "bigint", "ipVersion": "string", "prefixLen": "int", "adminName": "string"}
-    data = lambda code=0, **own: "named_struct('statusCode', " + str(code) + ", 'data', named_struct(" + ", ".join(f"'{k}', cast({own.get(k, 'null')} as {kind})" for k, kind in fields.items()) + "))"
+    data = lambda code=0, **own: f"named_struct('statusCode', {code}, 'data', named_struct(" + ", ".join(f"'{k}', {v}" for k, v in own.items()) + "))"
     ip = "concat('10.', x.l_suppkey % 4, '.', x.l_linenumber, '.', n)"
     geo = data(asn="x.l_suppkey % 5", networkAddress="concat('/n', x.l_suppkey % 3)", countryCode="x.l_shipmode", latitude="x.d", longitude="x.p")
-    rtt = data("if(x.q > 10, 0, 11)", avg="x.p", received="3")
+    rtt = data("if(x.q > 10, 0, 11)", avg="x.p", received="3L")
     rdap = data(ipVersion="'v4'", prefixLen="cast(x.q as int)", adminName="x.l_shipmode")
     person = lambda role, name: f"named_struct('roles', array('{role}'), 'vcardArray', concat('[\"vcard\",[[\"fn\",{{}},\"text\",\"', {name}, '\"]]]'))"
     event = lambda action, days: f"named_struct('eventAction', '{action}', 'eventDate', concat(date_add(rdap_registration_date, {days}), 'T00:00:00Z'))"
@@ -171,7 +170,7 @@ def merged_raw(spark, sf_dir):
             'A', dns_A, 'AAAA', dns_AAAA, 'NS', transform(i, x -> named_struct('nameserver', x.l_shipmode)), 'MX', transform(i, x -> named_struct('value', x.l_shipmode, 'priority', 1)), 'TXT', dns_TXT))""",
         "tlsResult": "named_struct('statusCode', 0, 'html', concat('<p>order ', l_orderkey, '</p><script>eval(1)</script>'), 'tlsData', tls)",
         "rdapDomainResult": f"named_struct('statusCode', 0, 'rdapData', named_struct('events', array({event('registration', 0)}, {event('expiration', 365)}, {event('last changed', 30)}), 'secureDNS', named_struct('delegationSigned', rdap_dnssec)), 'entities', array({person('registrar', 'i[0].l_shipmode')}, {person('registrant', "'Some One'")}))",
-        "ipResults": f"map_from_entries(transform(i, (x, n) -> struct({ip}, map('geo-asn', {geo}, 'rtt', {rtt}, 'rdap-ip', {rdap}))))",
+        "ipResults": f"map_from_entries(transform(i, (x, n) -> struct({ip}, named_struct('geo-asn', {geo}, 'rtt', {rtt}, 'rdap-ip', {rdap}))))",
     }
     rows = flat(spark, sf_dir, with_items=True).withColumn("own", F.col("l_orderkey") % 3 == 0)
     return rows.selectExpr("domain_name as key", f"to_json(named_struct({', '.join(f"'{k}', {v}" for k, v in parts.items())})) as value")

@@ -227,3 +227,27 @@ def test_each_text_of_a_record_is_parsed_once(spark):
     assert plan.count("translate(") == 1
     assert plan.count("from_json(StructField(events") == 1
     assert [r.dns_zone for r in flat.collect()] == ["a.com"]
+
+
+def test_roles_versions_and_networks_in_all_their_forms(spark):
+    """Roles as text, objects or both; versions and addresses with and without what is cut off; answers of several rtt collectors."""
+    texts = ['["a", "b"]', '[{"value": "b"}]', '["a", {"value": "b"}]', "[null]", "[]", '"x"', '{"value": "c"}', "null", "", "broken", "[1, 2]", '[["a"]]', None]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, x string")
+    got = {r.i: r.r for r in rows.select("i", cv.entity_roles(F.col("x")).alias("r")).collect()}
+    assert [got[i] for i in range(len(texts))] == [["a", "b"], ["b"], ["a", '{"value":"b"}'], [None], [], None, ["c"], None, None, None, ["1", "2"], ['["a"]'], None]
+    data = "struct<networkAddress:string, prefixLength:bigint, asn:bigint, countryCode:string, latitude:double, longitude:double, avg:double, received:bigint, reputation:double, ipVersion:string, prefixLen:int, adminName:string, adminEmail:string>"
+    none = dict.fromkeys(("networkAddress", "prefixLength", "asn", "countryCode", "latitude", "longitude", "avg", "received", "reputation", "ipVersion", "prefixLen", "adminName", "adminEmail"))
+    ok = lambda code=0, **own: {"statusCode": code, "data": none | own}
+    cases = [("/1.0.0.0", 8, "v4"), ("2::", None, "v6"), ("", 1, "v5"), (None, 4, "4"), ("//x", 2, "v46"), ("/", 3, None)]
+    results = {f"i{k}": {"geo-asn": ok(networkAddress=a, prefixLength=p), "rdap-ip": ok(ipVersion=v), "rtt": ok(avg=2.0, received=k), "rtt2": ok(avg=8.0, received=1), "rtt3": ok(11, avg=99.0, received=9), "xrtt": ok(avg=50.0, received=9)} for k, (a, p, v) in enumerate(cases)}
+    ips = [{"ip": x, "rrType": "A"} for x in [*results, "absent"]]
+    df = spark.createDataFrame([(ips, results)], f"ips array<struct<ip:string,rrType:string>>, results map<string,map<string,struct<statusCode:int, data:{data}>>>")
+    one = df.select(F.inline(cv.ip_records(F.col("ips"), F.col("results")))).collect()
+    assert [(r.as_address, r.rdap.ip_version if r.rdap else None, round(r.average_rtt, 6)) for r in one] == [("1.0.0.0/8", "4", 8.0), ("2::", "6", 5.0), ("/1", "v5", 4.0), (None, "4", 3.5), ("/x/2", "v46", 3.2), ("/3", None, 3.0), (None, None, 0.0)]
+
+
+def test_digest_is_taken_once_for_all_parts(spark):
+    assert "aggregate" not in t.md5_mod("x")
+    texts = ["", "a", "žluť", "x" * 1000, None]
+    rows = spark.createDataFrame([(x,) for x in texts], "x string").selectExpr(f"{t.md5_mod('x')} as h").collect()
+    assert [r.h for r in rows] == [None if x is None else int(hashlib.md5(x.encode()).hexdigest(), 16) % 2147483647 for x in texts]
